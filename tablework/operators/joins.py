@@ -100,15 +100,11 @@ def pair_sums(df: DataFrame, id_col: str, value: str, target) -> DataFrame:
     Rows are counted per distinct value first, so no list of row pairs is ever produced.
     """
     counts = df.groupBy(F.col(value).alias("low_value")).agg(
-        F.count(F.lit(1)).alias("low_rows"),
-        F.min(id_col).alias("low_first"),
-        F.min_by(id_col, id_col).alias("_first"),
-    ).drop("_first")
-    second = (
-        df.join(counts.select("low_value", "low_first"), F.col(value) == F.col("low_value"))
-        .where(F.col(id_col) > F.col("low_first"))
-        .groupBy("low_value").agg(F.min(id_col).alias("low_second"))
-    )
+        F.count(F.lit(1)).alias("low_rows"), F.min(id_col).alias("low_first"))
+    # a value that is half the target pairs with itself: its second-lowest id is needed too
+    halves = df.where(F.col(value) * 2 == target).select(F.col(value).alias("low_value"), id_col)
+    second = halves.join(counts.select("low_value", "low_first"), "low_value").where(
+        F.col(id_col) > F.col("low_first")).groupBy("low_value").agg(F.min(id_col).alias("low_second"))
     counts = counts.join(second, "low_value", "left")
     partner = counts.select(
         (F.lit(target) - F.col("low_value")).alias("low_value"), F.col("low_value").alias("high_value"),
