@@ -104,10 +104,12 @@ def ordered_lists(df: DataFrame, keys: list[str], value: str, order: list[str],
 
 
 def letter_sets(words: DataFrame, word: str) -> DataFrame:
-    """Distinct words with the set of their letters and the number of words sharing that set."""
+    """Distinct words with the set of their letters, and how many words (and uses) share that set."""
     letters = F.array_join(F.array_sort(F.array_distinct(F.split(word, ""))), "")
     distinct = words.groupBy(word).agg(F.count(F.lit(1)).alias("uses")).withColumn("letters", letters)
-    return with_group_value(distinct, ["letters"], F.count(F.lit(1)).alias("words_in_set"))
+    # both sides of the join back need the same columns, so the word count is shuffled once and reused
+    return with_group_value(
+        distinct, ["letters"], F.count(F.lit(1)).alias("words_in_set"), F.sum("uses").alias("uses_in_set"))
 
 
 def frequency_of_frequency(df: DataFrame, value: str) -> DataFrame:

@@ -4,7 +4,7 @@ import importlib
 
 from tablework.plans.registry import QUERIES, Query
 
-QUERY_MODULES = ("agg_queries",)
+QUERY_MODULES = ("reshape_queries","expression_queries",)
 
 
 def load_queries() -> dict[str, Query]:

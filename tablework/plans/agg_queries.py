@@ -232,12 +232,12 @@ def occurrences_and_conditional_sum(spark, sf):
 
 
 @query("D-20", """
-    WITH w AS (SELECT word, count(*) AS uses FROM (SELECT unnest(string_split(text, ' ')) AS word FROM documents WHERE lang = 'en') GROUP BY 1),
+    WITH w AS (SELECT word, count(*) AS uses FROM (SELECT unnest(string_split(text, ' ')) AS word FROM documents) GROUP BY 1),
     s AS (SELECT word, uses, list_aggregate(list_sort(list_distinct(string_split(word, ''))), 'string_agg', '') AS letters FROM w WHERE word <> '')
-    SELECT word, uses, letters, count(*) OVER (PARTITION BY letters) AS words_in_set FROM s""")
+    SELECT word, uses, letters, count(*) OVER (PARTITION BY letters) AS words_in_set,
+           CAST(sum(uses) OVER (PARTITION BY letters) AS BIGINT) AS uses_in_set FROM s""")
 def words_by_letter_set(spark, sf):
-    documents = table(spark, sf, "documents").where("lang = 'en'")
-    words = documents.select(F.explode(F.split("text", " ")).alias("word")).where("word <> ''")
+    words = table(spark, sf, "documents").select(F.explode(F.split("text", " ")).alias("word")).where("word <> ''")
     return aggs.letter_sets(words, "word")
 
 
