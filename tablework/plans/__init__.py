@@ -4,7 +4,10 @@ import importlib
 
 from tablework.plans.registry import QUERIES, Query
 
-QUERY_MODULES = ("reshape_queries","expression_queries",)
+QUERY_MODULES = (
+    "source_queries", "filter_queries", "join_queries", "agg_queries", "window_queries", "reshape_queries",
+    "expression_queries", "history_queries", "report_queries",
+)
 
 
 def load_queries() -> dict[str, Query]:

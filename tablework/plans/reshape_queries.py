@@ -98,12 +98,12 @@ def grouped_keys_as_columns(spark, sf):
 TRADE_SQL = """
     WITH pairs AS (SELECT DISTINCT c.c_nationkey AS x, s.s_nationkey AS y FROM lineitem l
       JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN customer c ON o.o_custkey = c.c_custkey
-      JOIN supplier s ON l.l_suppkey = s.s_suppkey WHERE l.l_quantity >= 49),
+      JOIN supplier s ON l.l_suppkey = s.s_suppkey),
     edges AS (SELECT DISTINCT least(x, y) AS a, greatest(x, y) AS b FROM pairs)"""
 
 
 def _trade_edges(spark, sf):
-    lines = table(spark, sf, "lineitem").where("l_quantity >= 49").select("l_orderkey", "l_suppkey")
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_suppkey")
     pairs = (
         lines.join(table(spark, sf, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey"), "l_orderkey")
         .join(table(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey"), "o_custkey")
