@@ -62,7 +62,8 @@ def unescape_unicode(c: Column | str) -> Column:
     c = _col(c)
     quoted = F.concat(F.lit('["'), F.replace(c, F.lit('"'), F.lit('\\"')), F.lit('"]'))
     return F.when(
-        c.rlike(r"\\u[0-9a-fA-F]{4}"), F.coalesce(F.from_json(quoted, "array<string>")[0], c)
+        c.rlike(r"\\u[0-9a-fA-F]{4}"),
+        F.coalesce(F.from_json(quoted, "array<string>", {"allowUnquotedControlChars": "true"})[0], c),
     ).otherwise(c)
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tablework.operators.joins import with_group_value
 from tablework.operators.ordered import positions, running
+from tablework.sources.tables import staged
 
 
 def keep_last(value: Column, order: Column, how: str = "max", date: bool = False) -> Column:
@@ -64,7 +65,8 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs: dict[str, float],
     """
     named = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in columns]))
     values = df.select(named.alias("p")).select("p.column", "p.v").where("v IS NOT NULL")
-    counts = values.groupBy("column", "v").agg(F.count(F.lit(1)).alias("n"))
+    # read three times below (group sizes, running count, totals), so written once
+    counts = staged(values.groupBy("column", "v").agg(F.count(F.lit(1)).alias("n")), "value_counts")
     ranked = running(counts, ["column"], ["v"], {"upto": ("sum", F.col("n"))}, **options)
     totals = counts.groupBy("column").agg(F.sum("n").alias("total"))
     ranked = ranked.join(totals, "column")

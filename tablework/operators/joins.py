@@ -5,19 +5,25 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tablework.functions.dates import shift_months
-from tablework.operators.ordered import positions, running
+from tablework.operators.ordered import positions, running, shifted
 
 
 def year_over_year(df: DataFrame, keys: list[str], date: str, values: list[str], months: int = 12,
                    prefix: str = "last_") -> DataFrame:
-    """Add each row's values of the same key ``months`` earlier (month ends match month ends)."""
-    earlier = df.select(
-        *keys,
-        F.col(date).alias(f"{prefix}{date}"),
-        shift_months(date, months).alias(date),
-        *[F.col(v).alias(f"{prefix}{v}") for v in values],
-    )
-    return df.join(earlier, [*keys, date], "left")
+    """Add each row's values of the same key ``months`` earlier (month ends match month ends).
+
+    The input has one row per key and date. Each row is emitted for its own date and for the date it is
+    compared with; the two meet as neighbours in date order. That reads the input once and shuffles it
+    once on the key, where a self join would do both twice.
+    """
+    own = F.struct(F.col(date).alias("_at"), F.lit(1).alias("_side"))
+    later = F.struct(shift_months(date, months).alias("_at"), F.lit(0).alias("_side"))
+    rows = df.select("*", F.inline(F.array(own, later)))
+    before = F.struct(date, *values, "_at", "_side")
+    paired = shifted(rows, keys, ["_at", "_side"], {"_before": (before, 1)}, bounded=True)
+    found = (F.col("_before._side") == 0) & (F.col("_before._at") == F.col("_at"))
+    return paired.where("_side = 1").select(
+        *df.columns, *[F.when(found, F.col(f"_before.{c}")).alias(f"{prefix}{c}") for c in [date, *values]])
 
 
 def asof_join(left: DataFrame, right: DataFrame, keys: list[str], left_date: str, right_date: str,
@@ -67,10 +73,10 @@ def new_rows(incoming: DataFrame, stored: DataFrame, keys: list[str]) -> DataFra
 
 
 def first_appearances(membership: DataFrame, keys: list[str], period: str) -> DataFrame:
-    """Memberships that were not there in the period before."""
+    """Memberships that were not there in the period before (one row per key and period once distinct)."""
     present = membership.select(*keys, period).distinct()
-    before = present.withColumn(period, F.col(period) + 1)
-    return present.join(before, [*keys, period], "left_anti")
+    lagged = shifted(present, keys, [period], {"_last": (F.col(period), 1)}, bounded=True)
+    return lagged.where(F.col("_last").isNull() | (F.col(period) - F.col("_last") > 1)).drop("_last")
 
 
 def with_group_value(df: DataFrame, keys: list[str], *aggregates: Column) -> DataFrame:

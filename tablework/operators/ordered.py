@@ -11,7 +11,7 @@ spread over many blocks, and
 * lag, lead and rolling frames run over segments of a fixed number of rows, each extended by the few
   rows its frame reaches into the neighbouring segment.
 
-The block number is fixed by a reliable checkpoint, because range bounds are sampled and a second
+The per-block result is fixed by a reliable checkpoint, because range bounds are sampled and a second
 evaluation could place them differently. ``order`` must be a total order inside a key (end it with a
 unique column) or equal rows may be numbered either way.
 """
@@ -42,6 +42,14 @@ def group_extent(df: DataFrame, keys: list[str]) -> tuple[int, int]:
     return row[0] or 0, row[1] or 0
 
 
+def fits(df: DataFrame, keys: list[str], rows_per_row: int = 1, group_rows: int | None = None) -> bool:
+    """Is every group small enough for a plain window, even if each row becomes ``rows_per_row`` rows?
+
+    An operator with several passes over the same keys asks once and hands the answer on as ``bounded``.
+    """
+    return group_extent(df, keys)[0] * rows_per_row <= _group_rows(df, group_rows)
+
+
 def _as_columns(order) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in order]
 
@@ -64,17 +72,14 @@ def _merge(kind: str, local: Column, carry: Column) -> Column:
     return {"min": F.least, "max": F.greatest}[kind](local, carry)
 
 
-def _blocks(df: DataFrame, keys: list[str], order: list[Column], parts: int | None) -> DataFrame:
+def _running_in_blocks(df: DataFrame, keys, order, outputs, earlier: bool, parts: int) -> DataFrame:
     by = [F.col(k) for k in keys] + order
     ranged = df.repartitionByRange(parts, *by) if parts else df.repartitionByRange(*by)
-    return checkpointed(ranged.withColumn("_block", F.spark_partition_id()))
-
-
-def _running_in_blocks(blocks: DataFrame, keys, order, outputs, earlier: bool) -> DataFrame:
+    blocks = ranged.withColumn("_block", F.spark_partition_id())
     w = W.partitionBy("_block", *keys).orderBy(*order)
     full = {f"_full_{o}": _agg(k, v).over(w.rowsBetween(*_INCLUSIVE)) for o, (k, v) in outputs.items()}
     own = {o: _agg(k, v).over(w.rowsBetween(*(_EARLIER if earlier else _INCLUSIVE))) for o, (k, v) in outputs.items()}
-    local = blocks.withColumns({**full, **own, "_tail": F.lead(F.lit(1)).over(w).isNull()})
+    local = checkpointed(blocks.withColumns({**full, **own, "_tail": F.lead(F.lit(1)).over(w).isNull()}))
 
     across = W.partitionBy(*[f"_k_{k}" for k in keys]).orderBy("_b")
     tails = local.where("_tail").select(
@@ -98,7 +103,7 @@ def _running_in_blocks(blocks: DataFrame, keys, order, outputs, earlier: bool) -
     topped = local.join(F.broadcast(carries), on, "left").withColumns(
         {o: _merge(k, F.col(o), F.col(f"_carry_{o}")) for o, (k, _) in outputs.items()}
     )
-    return topped.select(*[c for c in blocks.columns if c != "_block"], *outputs)
+    return topped.select(*df.columns, *outputs)
 
 
 def _plan(df, keys, group_rows, bounded) -> int | None:
@@ -125,7 +130,7 @@ def running(df: DataFrame, keys: list[str], order, outputs: dict, *, earlier: bo
     if parts is None:
         w = W.partitionBy(*keys).orderBy(*order).rowsBetween(*(_EARLIER if earlier else _INCLUSIVE))
         return df.withColumns({o: _agg(k, v).over(w) for o, (k, v) in outputs.items()})
-    return _running_in_blocks(_blocks(df, keys, order, parts), keys, order, outputs, earlier)
+    return _running_in_blocks(df, keys, order, outputs, earlier, parts)
 
 
 def positions(df: DataFrame, keys: list[str], order, name: str = "pos", **options) -> DataFrame:
@@ -144,7 +149,7 @@ def _framed(df, keys, order, outputs, back: int, ahead: int, bounded, group_rows
     if parts is None:
         w = W.partitionBy(*keys).orderBy(*order)
         return df.withColumns({o: make(w) for o, make in outputs.items()})
-    numbered = _running_in_blocks(_blocks(df, keys, order, parts), keys, order, {"_pos": ("count", F.lit(1))}, False)
+    numbered = _running_in_blocks(df, keys, order, {"_pos": ("count", F.lit(1))}, False, parts)
     size = max(_group_rows(df, group_rows), back, ahead, 1)
     segment = F.floor((F.col("_pos") - 1) / size)
     offset = F.pmod(F.col("_pos") - 1, F.lit(size))

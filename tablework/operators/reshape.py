@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
+
+from tablework.operators.ordered import shifted
 
 
 def stack(*frames: DataFrame) -> DataFrame:
@@ -32,11 +34,13 @@ def resample_last(df: DataFrame, keys: list[str], date: str, values: list[str],
         F.max(F.when(F.col(v).isNotNull(), F.struct(*at, F.col(v).alias("_v"))))["_v"].alias(v) for v in values
     ]
     monthly = df.groupBy(*keys, F.last_day(date).alias("month_end")).agg(*last)
-    span = monthly.groupBy(*keys).agg(F.min("month_end").alias("a"), F.max("month_end").alias("b"))
-    starts = F.sequence(F.trunc("a", "month"), F.trunc("b", "month"), F.expr("interval 1 month"))
-    ends = F.transform(starts, F.last_day)
-    calendar = span.select(*keys, F.explode(ends).alias("month_end"))
-    return calendar.join(monthly, [*keys, "month_end"], "left")
+    # each month is spread up to the month before the next one; a key has one row per calendar month
+    led = shifted(monthly, keys, ["month_end"], {"_next": (F.col("month_end"), -1)}, bounded=bool(keys))
+    until = F.coalesce(F.add_months("_next", -1), F.col("month_end"))
+    starts = F.sequence(F.trunc("month_end", "month"), F.trunc(until, "month"), F.expr("interval 1 month"))
+    spread = led.select("*", F.posexplode(starts).alias("_i", "_start"))
+    return spread.select(
+        *keys, F.last_day("_start").alias("month_end"), *[F.when(F.col("_i") == 0, F.col(v)).alias(v) for v in values])
 
 
 def drop_last_groups(df: DataFrame, group: str, n: int) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from tablework.operators.ordered import positions, rolling, running, shifted
+from tablework.operators.ordered import fits, positions, rolling, running, shifted
 
 
 def line_ids(df: DataFrame, order: list, prefix: Column, name: str, width: int = 6) -> DataFrame:
@@ -77,8 +77,9 @@ def best_gain(df: DataFrame, keys: list[str], order: list[str], value: str, **op
     return low.groupBy(*keys).agg(F.greatest(F.lit(0.0), F.max(F.col(value) - F.col("_low"))).alias("gain"))
 
 
-def best_run_sum(df: DataFrame, keys: list[str], order: list[str], value: str, **options) -> DataFrame:
+def best_run_sum(df: DataFrame, keys: list[str], order: list[str], value: str, group_rows: int | None = None) -> DataFrame:
     """Largest sum of a contiguous, non-empty run of rows per key: prefix sum minus the lowest earlier one."""
+    options = {"bounded": fits(df, keys, group_rows=group_rows), "group_rows": group_rows}
     prefix = running(df.select(*keys, *order, value), keys, order, {"_sum": ("sum", F.col(value))}, **options)
     low = running(prefix, keys, order, {"_low": ("min", F.col("_sum"))}, earlier=True, **options)
     best = F.col("_sum") - F.least(F.lit(0), F.coalesce("_low", F.lit(0)))
@@ -105,19 +106,22 @@ def missing_ids(df: DataFrame, id_col: str) -> DataFrame:
         df.select(id_col).distinct(), id_col, "left_anti")
 
 
-def target_windows(df: DataFrame, keys: list[str], order: list[str], value: str, target, **options) -> DataFrame:
+def target_windows(df: DataFrame, keys: list[str], order: list[str], value: str, target,
+                   group_rows: int | None = None) -> DataFrame:
     """Rows that end a contiguous window summing to ``target``: how many such windows and the nearest start.
 
     A window from i to j sums to the target when the sum before i plus the target equals the sum up to j.
     Starts and ends meet under that common number and a running count matches them, so the work is linear
     and no list of pairs is produced.
     """
+    # every row is one start and one end
+    options = {"bounded": fits(df, keys, rows_per_row=2, group_rows=group_rows), "group_rows": group_rows}
     rows = running(df.select(*keys, *order, value), keys, order,
                    {"_sum": ("sum", F.col(value)), "_at": ("count", F.lit(1))}, **options)
-    ends = rows.select(*keys, F.col("_sum").alias("_meet"), "_at", F.lit(1).alias("_side"), F.lit(0).alias("_start"))
-    starts = rows.select(*keys, (F.col("_sum") - F.col(value) + target).alias("_meet"), "_at",
-                         F.lit(0).alias("_side"), F.lit(1).alias("_start"))
-    met = running(starts.unionByName(ends), [*keys, "_meet"], ["_at", "_side"],
+    start = F.struct((F.col("_sum") - F.col(value) + target).alias("_meet"), F.lit(0).alias("_side"), F.lit(1).alias("_start"))
+    end = F.struct(F.col("_sum").alias("_meet"), F.lit(1).alias("_side"), F.lit(0).alias("_start"))
+    marks = rows.select(*keys, "_at", F.inline(F.array(start, end)))
+    met = running(marks, [*keys, "_meet"], ["_at", "_side"],
                   {"windows": ("sum", F.col("_start")),
                    "nearest_start": ("last", F.when(F.col("_start") == 1, F.col("_at")))}, **options)
     return met.where("_side = 1 AND windows > 0").select(*keys, F.col("_at").alias("end"), "windows", "nearest_start")

@@ -14,6 +14,7 @@ from tablework.plans import reports
 from tablework.plans.registry import query
 from tablework.session import scratch_path, table
 from tablework.sources import delimited, html
+from tablework.sources.tables import staged
 
 # --- statements and exposures shared by the credit reports ---------------------------------------------------------
 
@@ -42,13 +43,21 @@ MATCHED_SQL = f"""{STATEMENTS_SQL},{EXPOSURES_SQL},
     m AS (SELECT ex.report_date, ex.exposure, ex.bucket, y.* FROM ex ASOF JOIN y ON ex.firm = y.firm AND ex.report_date >= y.date)"""
 
 
-def _statements(spark, sf):
-    """Quarterly statements per firm; orders are aggregated before the customers are joined."""
+def _monthly(spark, sf):
+    """Orders per firm and month, written once: statements and exposures are both built from it."""
     price, status = F.col("o_totalprice"), F.col("o_orderstatus")
-    raw = table(spark, sf, "orders").groupBy(F.col("o_custkey").alias("firm"), quarter_end("o_orderdate").alias("date")).agg(
+    monthly = table(spark, sf, "orders").groupBy(F.col("o_custkey").alias("firm"), F.last_day("o_orderdate").alias("month")).agg(
         F.sum(price).alias("total"), F.sum(F.when(status == "F", price).otherwise(0.0)).alias("filled"),
-        F.count(F.lit(1)).cast("double").alias("n"), F.count_if(status == "F").alias("nf"), F.count_if(status == "O").alias("no"),
-        F.count_if(F.col("o_orderpriority") == "1-URGENT").alias("nu"), F.max(price).alias("top"))
+        F.count(F.lit(1)).alias("n"), F.count_if(status == "F").alias("nf"), F.count_if(status == "O").alias("no"),
+        F.count_if(status == "P").alias("np"), F.count_if(F.col("o_orderpriority") == "1-URGENT").alias("nu"),
+        F.max(price).alias("top"))
+    return staged(monthly, "firm_months")
+
+
+def _statements(spark, sf, monthly):
+    """Quarterly statements per firm; the months are added up before the customers are joined."""
+    raw = monthly.groupBy("firm", quarter_end("month").alias("date")).agg(
+        *[F.sum(c).alias(c) for c in ("total", "filled", "n", "nf", "no", "nu")], F.max("top").alias("top"))
     firms = table(spark, sf, "customer").select(F.col("c_custkey").alias("firm"), "c_acctbal", "c_nationkey")
     profit = F.col("filled") - F.lit(0.6) * F.col("total")
     return raw.join(firms, "firm").select(
@@ -59,11 +68,9 @@ def _statements(spark, sf):
         F.round(profit, 2).alias("profit"), F.col("c_acctbal").alias("equity"))
 
 
-def _exposures(spark, sf):
-    return table(spark, sf, "orders").groupBy(
-        F.col("o_custkey").alias("firm"), F.last_day("o_orderdate").alias("report_date")
-    ).agg(F.round(F.sum("o_totalprice"), 2).alias("exposure"),
-          F.max(F.when(F.col("o_orderstatus") == "P", 2).otherwise(1)).alias("bucket"))
+def _exposures(monthly):
+    return monthly.select("firm", F.col("month").alias("report_date"), F.round("total", 2).alias("exposure"),
+                          F.when(F.col("np") > 0, 2).otherwise(1).alias("bucket"))
 
 
 def _rounded(df, *columns, digits=3):
@@ -86,7 +93,8 @@ _RATIO_SQL = ", ".join(f"round({c}, 3) AS {c}" for c in _RATIOS)
       AND year(date) >= 1996 AND exposure > 100000 AND bucket = 1""")
 def early_warning(spark, sf):
     """Flagship: early-warning flags from quarterly statements, for every report date."""
-    matched = reports.monitored(_statements(spark, sf), _exposures(spark, sf))
+    monthly = _monthly(spark, sf)
+    matched = reports.monitored(_statements(spark, sf, monthly), _exposures(monthly))
     flagged = reports.early_warning(matched, report_date=None, min_year=1996, min_exposure=100_000, bucket=1)
     return _rounded(flagged, *_RATIOS)
 
@@ -97,7 +105,8 @@ def early_warning(spark, sf):
           FROM m WHERE woz IS NOT NULL AND abs(woz) < 1000000)
     SELECT report_date, firm, date, bucket, exposure, hits FROM w WHERE hits >= 6 AND year(date) >= 1996 AND exposure > 100000 AND bucket = 1""")
 def early_warning_shared(spark, sf):
-    matched = reports.monitored(_statements(spark, sf), _exposures(spark, sf))
+    monthly = _monthly(spark, sf)
+    matched = reports.monitored(_statements(spark, sf, monthly), _exposures(monthly))
     return reports.early_warning_shared(matched, report_date=None, min_year=1996, min_exposure=100_000, bucket=1)
 
 
@@ -114,7 +123,8 @@ def early_warning_shared(spark, sf):
     FROM l LEFT JOIN t ON l.firm = t.firm WHERE l.date = DATE '1998-12-31'""")
 def premises_report(spark, sf):
     day = datetime.date(1998, 12, 31)
-    return reports.premises(_statements(spark, sf), _exposures(spark, sf), day, day)
+    monthly = _monthly(spark, sf)
+    return reports.premises(_statements(spark, sf, monthly), _exposures(monthly), day, day)
 
 
 PROFILE_SQL = """
@@ -179,8 +189,9 @@ def leverage_report(spark, sf):
         F.col("o_custkey").alias("account"), F.to_date("o_orderdate").alias("date"), F.col("o_totalprice").alias("capital"),
         (F.col("o_orderstatus") == "P").cast("int").alias("defaulted"), (F.col("o_totalprice") > 400000).cast("int").alias("overdue"),
         F.when(F.col("o_orderpriority") == "1-URGENT", "T").otherwise("N").alias("lost"))
-    exposures = _exposures(spark, sf).withColumnRenamed("firm", "owner").withColumn("account", F.col("owner"))
-    found = reports.leverage_report(_statements(spark, sf), exposures, reports.default_profile(rows))
+    monthly = _monthly(spark, sf)
+    exposures = _exposures(monthly).withColumnRenamed("firm", "owner").withColumn("account", F.col("owner"))
+    found = reports.leverage_report(_statements(spark, sf, monthly), exposures, reports.default_profile(rows))
     return found.withColumns({"equity_share": F.round("equity_share", 8), "leverage": F.round("leverage", 3)})
 
 

@@ -11,7 +11,7 @@ from tablework.functions.dates import age_now, decade, season, try_date
 from tablework.functions.numbers import leverage, pct_change, safe_div
 from tablework.functions.text import money
 from tablework.operators.aggs import first_event, keep_last
-from tablework.operators.filters import split_complete, split_on
+from tablework.operators.filters import split_complete
 from tablework.operators.history import fill_from_candidates
 from tablework.operators.joins import asof_join, new_rows, top_rows, with_group_value, year_over_year
 from tablework.operators.ordered import rolling, shifted
@@ -233,13 +233,12 @@ def player_master(transfers: DataFrame, squads: DataFrame, seasons: DataFrame, y
     lacking = lacking.withColumn("date", try_date("date", "yyyy-MM-dd")).na.drop(subset=["date"])
     lacking = lacking.withColumn("season", season("date"))
     attributes = ["first_name", "age", "nationality"]
-    # the season itself first, then the one before
-    tries = lacking.select("player", "season").distinct().select(
-        "player", "season", F.explode(F.array(F.lit(1), F.lit(2))).alias("rank"))
-    candidates = tries.join(
-        seasons.withColumnRenamed("season", "_s"), "player").where(F.col("_s") == F.col("season") - F.col("rank") + 1)
-    rolled = candidates.select("player", "season", "rank", "first_name", age_now("age", "_s", year).alias("age"), "nationality")
-    filled = fill_from_candidates(lacking, rolled, ["player", "season"], attributes, "rank", tries=2)
+    # a season's attributes are the first try for that season and the second try for the one after
+    tries = F.explode(F.array(F.lit(1), F.lit(2))).alias("rank")
+    candidates = seasons.select("*", tries).select(
+        "player", (F.col("season") + F.col("rank") - 1).alias("season"), "rank", "first_name",
+        age_now("age", "season", year).alias("age"), "nationality")
+    filled = fill_from_candidates(lacking, candidates, ["player", "season"], attributes, "rank", tries=2)
     counted = with_group_value(filled, ["team", "season"], F.count(F.lit(1)).alias("count"))
     return stack(complete.withColumn("date", F.to_date("date")), counted)
 
@@ -259,9 +258,8 @@ def film_facts(films: DataFrame) -> DataFrame:
 
 def film_profitability(films: DataFrame, until_year: int) -> DataFrame:
     """Per era and decade: films, share that lost money, zero-gross films, mean and highest budget."""
-    old, new = split_on(film_facts(films), F.year("released") <= until_year)
-    both = old.withColumn("era", F.lit("old")).unionByName(new.withColumn("era", F.lit("new")))
-    return both.groupBy("era", "decade").agg(
+    era = F.when(F.year("released") <= until_year, "old").otherwise("new")
+    return film_facts(films).groupBy(era.alias("era"), "decade").agg(
         F.count(F.lit(1)).alias("films"), F.round(F.avg(F.col("loss").cast("double")), 6).alias("loss_share"),
         F.count_if(F.col("worldwide") == 0).alias("zero_worldwide"),
         F.count_if((F.col("domestic") == 0) & (F.col("worldwide") > 0)).alias("international_only"),

@@ -173,7 +173,7 @@ def select_all_ordered(spark, sf):
               "FROM customer GROUP BY c_mktsegment")
 def one_folder_per_key(spark, sf):
     path = scratch_path(spark, "customer_by_segment")
-    delimited.write_partitioned(table(spark, sf, "customer"), path, ["c_mktsegment"], files_per_key=4)
+    delimited.write_partitioned(table(spark, sf, "customer"), path, ["c_mktsegment"])
     back = spark.read.schema(CUSTOMER).csv(path)
     return back.groupBy("c_mktsegment").agg(
         F.count(F.lit(1)).alias("customers"), F.round(F.sum("c_acctbal"), 2).alias("balance"))

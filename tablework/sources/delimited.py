@@ -31,10 +31,9 @@ def read_fixed_width(spark: SparkSession, path: str, fields: dict[str, tuple[int
     return lines.select(*[F.trim(F.substring("value", at, n)).alias(c) for c, (at, n) in fields.items()])
 
 
-def write_partitioned(df: DataFrame, path: str, keys: list[str], files_per_key: int = 1, **options):
-    """One folder per key value. Rows of a key are dealt over ``files_per_key`` tasks, so a hot key is not one task."""
-    spread = F.pmod(F.xxhash64(*[c for c in df.columns if c not in keys]), F.lit(files_per_key))
-    writer = df.repartition(*keys, spread).write.partitionBy(*keys)
+def write_partitioned(df: DataFrame, path: str, keys: list[str], **options):
+    """One folder per key value. Rows are rebalanced by key: small keys share a task, a hot key is split."""
+    writer = df.hint("rebalance", *keys).write.partitionBy(*keys)
     for name, value in options.items():
         writer = writer.option(name, value)
     writer.csv(path)

@@ -40,8 +40,9 @@ def nav_links(pages: DataFrame, key: str, html: str) -> DataFrame:
 
 def parse_listings(pages: DataFrame, html: str, anchor: Column) -> DataFrame:
     """Listing pages to one row per listing; relative times are resolved against ``anchor``."""
-    cards = pages.select(F.explode(F.slice(F.split(html, LISTING_START), 2, 2_147_483_646)).alias("card"))
-    clean = lambda pattern: F.trim(repair_utf8(unescape_unicode(F.regexp_extract("card", pattern, 1))))
+    text = repair_utf8(unescape_unicode(html))
+    cards = pages.select(F.explode(F.slice(F.split(text, LISTING_START), 2, 2_147_483_646)).alias("card"))
+    clean = lambda pattern: F.trim(F.regexp_extract("card", pattern, 1))
     value = lambda name: clean(LISTING_VALUE.format(name))
     line = F.col("line")
     return (

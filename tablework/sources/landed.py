@@ -49,4 +49,4 @@ def latest_per(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
 def append_log(df: DataFrame, path: str, fields: list[str], day: str):
     """Append rows as ``key ? value|...`` lines below one folder per day."""
     line = F.concat_ws("|", *[F.concat(F.lit(f"{c} ? "), F.coalesce(F.col(c).cast("string"), F.lit("None"))) for c in fields])
-    df.select(line.alias("value"), F.col(day)).write.mode("append").partitionBy(day).text(path)
+    df.select(line.alias("value"), F.col(day)).hint("rebalance", day).write.mode("append").partitionBy(day).text(path)
