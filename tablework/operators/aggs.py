@@ -63,10 +63,11 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs: dict[str, float],
     Equal values are counted first; a running count over the sorted distinct values then tells which of
     them sit at the wanted ranks. Nothing but those counts is ordered, and no task holds a whole column.
     """
-    named = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in columns]))
-    values = df.select(named.alias("p")).select("p.column", "p.v").where("v IS NOT NULL")
-    # read three times below (group sizes, running count, totals), so written once
-    counts = staged(values.groupBy("column", "v").agg(F.count(F.lit(1)).alias("n")), "value_counts")
+    # one narrow scan per column; the counts are read three times below (group sizes, running count,
+    # totals), so they are written once
+    counts = staged(reduce(DataFrame.unionByName, [
+        df.where(F.col(c).isNotNull()).groupBy(F.col(c).cast("double").alias("v")).agg(F.count(F.lit(1)).alias("n"))
+        .select(F.lit(c).alias("column"), "v", "n") for c in columns]), "value_counts")
     ranked = running(counts, ["column"], ["v"], {"upto": ("sum", F.col("n"))}, **options)
     totals = counts.groupBy("column").agg(F.sum("n").alias("total"))
     ranked = ranked.join(totals, "column")

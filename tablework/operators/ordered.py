@@ -24,8 +24,11 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tablework.session import checkpointed
 
-GROUP_ROWS = 2_000_000
+GROUP_ROWS = 5_000_000
 GROUP_ROWS_CONF = "spark.tablework.groupRows"
+# More range blocks than this cost more in shuffle files than they save in block size; a larger block
+# still streams through its window from a spilled sort.
+MAX_BLOCKS = 20_000
 
 _INCLUSIVE = (W.unboundedPreceding, W.currentRow)
 _EARLIER = (W.unboundedPreceding, -1)
@@ -114,7 +117,7 @@ def _plan(df, keys, group_rows, bounded) -> int | None:
         return None
     largest, total = group_extent(df, keys)
     limit = _group_rows(df, group_rows)
-    return None if largest <= limit else max(2, math.ceil(total / limit))
+    return None if largest <= limit else min(MAX_BLOCKS, max(2, math.ceil(total / limit)))
 
 
 def running(df: DataFrame, keys: list[str], order, outputs: dict, *, earlier: bool = False,

@@ -151,7 +151,7 @@ def deviation_share(details: DataFrame, profile: DataFrame, applications: DataFr
     started in it whose audit was less than a day after they were first seen."""
     risky = details.join(profile, "account").where(
         F.col("first_date").between(F.lit(start), F.lit(end)) & (F.col("deviations") > 0))
-    first = top_rows(applications, ["account"], [F.col("audit").asc_nulls_last()])
+    first = top_rows(applications, ["account"], [F.col("audit").asc_nulls_last(), F.col("started").desc_nulls_last()])
     seen = rows.groupBy("account").agg(F.min("date").alias("first_date"))
     days = (F.unix_date(F.to_date("audit")) - F.unix_date("first_date")).cast("double")
     started = first.join(seen, "account").where(
