@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, functions as F
 
 # The relative-time words a listing page uses ("N minut temu", "wczoraj", ...).
@@ -58,9 +60,33 @@ def window_date(season_col: Column, month: Column, day: Column) -> Column:
     return F.make_date(season_col + (month < SEASON_START_MONTH).cast("int"), month, day)
 
 
+def _shape(pattern: str) -> str | None:
+    """Regular expression for texts a numeric date pattern can parse; None for patterns with names in them."""
+    shape = ""
+    for run in re.findall(r"([A-Za-z])(\1*)|(.)", pattern):
+        if run[2]:
+            shape += re.escape(run[2])
+        elif run[0] in "yMdHms":
+            width = 1 + len(run[1])
+            shape += r"\d{1,2}" if width == 1 else rf"\d{{{width}}}"
+        else:
+            return None
+    return f"^{shape}$"
+
+
 def try_date(text: Column | str, *patterns: str) -> Column:
-    """First pattern that parses, else null."""
-    return F.coalesce(*[F.try_to_timestamp(_col(text), F.lit(p)).cast("date") for p in patterns])
+    """First pattern that parses, else null.
+
+    A pattern is tried only on text of its shape: a failed parse costs an exception per row.
+    """
+    t = _col(text)
+
+    def parsed(pattern):
+        shape = _shape(pattern)
+        date = F.try_to_timestamp(t, F.lit(pattern)).cast("date")
+        return F.when(t.rlike(shape), date) if shape else date
+
+    return F.coalesce(*[parsed(p) for p in patterns])
 
 
 def relative_time(text: Column | str, anchor: Column) -> Column:

@@ -17,6 +17,8 @@ from tablework.operators.ordered import positions
 # Rows per side of one distance block: 2,048 x 8,192 doubles are 128 MB in a task.
 TEST_BLOCK = 2048
 TRAIN_BLOCK = 8192
+# Categories whose list may be held on the driver.
+MAX_CATEGORIES = 100_000
 
 
 def linear_model(df: DataFrame, features: list[str], label: str) -> tuple[LinearRegressionModel, DataFrame]:
@@ -45,13 +47,28 @@ def stratified_split(df: DataFrame, label: str, id_col: str, share: float, seed:
     return sized.withColumn("part", F.when(F.col("_pos") < cut, "train").otherwise("test")).drop("_h", "_pos", "_n")
 
 
-def encode_categories(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Category indexes (most frequent first) and one-hot vectors for text columns."""
-    indexes = [f"{c}_index" for c in columns]
-    stages = [
-        StringIndexer(inputCols=columns, outputCols=indexes, handleInvalid="keep"),
-        OneHotEncoder(inputCols=indexes, outputCols=[f"{c}_hot" for c in columns]),
-    ]
+def category_index(df: DataFrame, column: str, name: str) -> DataFrame:
+    """Index of each category, most frequent first, by a join: for columns with very many categories."""
+    counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("_c"))
+    ranked = positions(counts, [], [F.col("_c").desc(), F.col(column)], "_i")
+    return df.join(ranked.select(column, F.col("_i").cast("double").alias(name)), column, "left")
+
+
+def encode_categories(df: DataFrame, columns: list[str], max_categories: int = MAX_CATEGORIES) -> DataFrame:
+    """Category indexes (most frequent first) and one-hot vectors for text columns.
+
+    The indexer keeps the list of categories on the driver, so the number of categories is checked first;
+    a column with more of them is indexed by a join. Its one-hot vector has one slot per category either way.
+    """
+    sizes = df.agg(*[F.countDistinct(c).alias(c) for c in columns]).first()
+    small = [c for c in columns if sizes[c] <= max_categories]
+    for c in columns:
+        if c not in small:
+            df = category_index(df, c, f"{c}_index")
+    stages = [OneHotEncoder(inputCols=[f"{c}_index" for c in columns], outputCols=[f"{c}_hot" for c in columns],
+                            dropLast=False)]
+    if small:
+        stages.insert(0, StringIndexer(inputCols=small, outputCols=[f"{c}_index" for c in small], handleInvalid="error"))
     return Pipeline(stages=stages).fit(df).transform(df)
 
 

@@ -117,7 +117,8 @@ def relative_times(spark, sf):
         .when(n % 5 == 3, F.concat(n % 6 + 2, F.lit(" dni temu")))
         .otherwise("kiedyś")
     )
-    return table(spark, sf, "events").select("event_id", dates.relative_time(word, F.col("ts")).alias("added"))
+    worded = table(spark, sf, "events").select("event_id", "ts", word.alias("word"))
+    return worded.select("event_id", dates.relative_time("word", F.col("ts")).alias("added"))
 
 
 @query("H12", r"""

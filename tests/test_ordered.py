@@ -149,3 +149,11 @@ def test_linear_model_equals_least_squares(spark):
     x = np.array([[1, a, b] for a, b, _ in data])
     expected = np.linalg.lstsq(x, np.array([y for _, _, y in data]), rcond=None)[0]
     assert [model.intercept, *model.coefficients] == pytest.approx(list(expected))
+
+
+def test_category_index_by_join_equals_indexer(spark, rows):
+    df = spark.createDataFrame([(i, "abcab"[i % 5]) for i in range(50)], "id int, c string")
+    small = ml.encode_categories(df, ["c"])
+    large = ml.encode_categories(df, ["c"], max_categories=1)
+    assert rows(small.select("id", "c_index")) == rows(large.select("id", "c_index"))
+    assert rows(small.select("id", "c_hot")) == rows(large.select("id", "c_hot"))
