@@ -94,7 +94,8 @@ def relative_time(text: Column | str, anchor: Column) -> Column:
     t = F.replace(_col(text), F.lit(YESTERDAY), F.lit(YESTERDAY_MEANS))
 
     def amount(pattern):
-        return F.regexp_extract(t, pattern, 1).try_cast("int")
+        # a failed cast costs an exception per row, so "no match" becomes null before it
+        return F.nullif(F.regexp_extract(t, pattern, 1), F.lit("")).try_cast("int")
 
     zero = F.lit(0)
     steps = ((MINUTES_AGO, lambda n: (zero, zero, n)), (HOURS_AGO, lambda n: (zero, n, zero)),

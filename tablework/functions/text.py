@@ -43,14 +43,19 @@ def ascii_upper(c: Column | str) -> Column:
     return F.translate(_col(c), "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ")
 
 
+def _number(c: Column, to: str) -> Column:
+    """Cast text that holds a digit; a failed cast costs an exception per row."""
+    return F.when(c.rlike("[0-9]"), c.try_cast(to))
+
+
 def money(c: Column | str) -> Column:
     """``$1,234.50`` to a number; text that is no number gives null."""
-    return F.regexp_replace(_col(c), "[$,]", "").try_cast("double")
+    return _number(F.translate(_col(c), "$,", ""), "double")
 
 
 def strip_unit(c: Column | str, unit: str, to: str = "int") -> Column:
     """``1 234 km`` to a number."""
-    return F.regexp_replace(_col(c), rf"\s|{unit}", "").try_cast(to)
+    return _number(F.regexp_replace(_col(c), rf"\s|{unit}", ""), to)
 
 
 def extract_or(c: Column | str, pattern: str, default: str) -> Column:
@@ -108,4 +113,4 @@ def split_rank_title(c: Column | str) -> tuple[Column, Column]:
     """``12) Title`` to (12, Title)."""
     c = _col(c)
     pattern = r"^(\d+)\)\s*(.*)$"
-    return F.regexp_extract(c, pattern, 1).try_cast("int"), F.regexp_extract(c, pattern, 2)
+    return _number(F.regexp_extract(c, pattern, 1), "int"), F.regexp_extract(c, pattern, 2)

@@ -70,7 +70,8 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs: dict[str, float],
         .select(F.lit(c).alias("column"), "v", "n") for c in columns]), "value_counts")
     ranked = running(counts, ["column"], ["v"], {"upto": ("sum", F.col("n"))}, **options)
     totals = counts.groupBy("column").agg(F.sum("n").alias("total"))
-    ranked = ranked.join(totals, "column")
+    # one row per column that was asked for
+    ranked = ranked.join(F.broadcast(totals), "column")
     picked = []
     for name, p in probs.items():
         rank = (F.col("total") - 1) * F.lit(float(p))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tablework.functions.dates import shift_months
 from tablework.operators.ordered import positions, running, shifted
+from tablework.sources.tables import staged
 
 
 def year_over_year(df: DataFrame, keys: list[str], date: str, values: list[str], months: int = 12,
@@ -27,27 +28,28 @@ def year_over_year(df: DataFrame, keys: list[str], date: str, values: list[str],
 
 
 def asof_join(left: DataFrame, right: DataFrame, keys: list[str], left_date: str, right_date: str,
-              right_tie: list[str] | None = None, **options) -> DataFrame:
+              right_tie: str | None = None, **options) -> DataFrame:
     """Left rows with the latest right row of the same key dated on or before them.
 
     Both sides go into one table ordered by date, statements before reports on the same date, and each
-    report takes the last statement seen: one shuffle on the key, no pairs. ``options`` go to
-    :func:`running` (a hot key is spread over blocks there).
+    report takes the last statement seen: one shuffle on the key, no pairs. Among statements of one date
+    the highest ``right_tie`` counts. ``options`` go to :func:`running` (a hot key is spread there).
     """
     right_rest = [c for c in right.columns if c not in keys]
     left_rest = [c for c in left.columns if c not in keys]
     statement = F.struct(*[F.col(c) for c in right_rest])
     report = F.struct(*[F.col(c) for c in left_rest])
-    ties = [F.col(c) for c in right_tie or []]
+    tie = F.col(right_tie) if right_tie else F.lit(None).cast("int")
+    tie_type = right.select(tie.alias("t")).schema["t"].dataType
     rows = left.select(
         *keys, F.col(left_date).alias("_at"), F.lit(1).alias("_side"), report.alias("_left"),
         F.lit(None).cast(right.select(statement.alias("s")).schema["s"].dataType).alias("_right"),
-        F.lit(None).cast("bigint").alias("_tie"),
+        F.lit(None).cast(tie_type).alias("_tie"),
     ).unionByName(right.select(
         *keys, F.col(right_date).alias("_at"), F.lit(0).alias("_side"),
         F.lit(None).cast(left.select(report.alias("r")).schema["r"].dataType).alias("_left"),
         statement.alias("_right"),
-        (ties[0].cast("bigint") if ties else F.lit(None).cast("bigint")).alias("_tie"),
+        tie.alias("_tie"),
     ))
     found = running(rows, keys, ["_at", "_side", "_tie"], {"_found": ("last", F.col("_right"))}, **options)
     return found.where("_side = 1").select(*keys, "_left.*", *[F.col(f"_found.{c}").alias(c) for c in right_rest])
@@ -79,13 +81,16 @@ def first_appearances(membership: DataFrame, keys: list[str], period: str) -> Da
     return lagged.where(F.col("_last").isNull() | (F.col(period) - F.col("_last") > 1)).drop("_last")
 
 
-def with_group_value(df: DataFrame, keys: list[str], *aggregates: Column) -> DataFrame:
+def with_group_value(df: DataFrame, keys: list[str], *aggregates: Column, few_groups: bool = False) -> DataFrame:
     """Group aggregates joined back to the detail rows.
 
     The aggregate is combined before its shuffle; the join back splits a hot key (adaptive skew join),
-    which a window over the key could not.
+    which a window over the key could not. With ``few_groups`` the groups are written first: the planner
+    then knows their size, and when they really are few it broadcasts them and leaves the detail rows
+    where they are.
     """
-    return df.join(df.groupBy(*keys).agg(*aggregates), keys)
+    groups = df.groupBy(*keys).agg(*aggregates)
+    return df.join(staged(groups, "groups") if few_groups else groups, keys)
 
 
 def matches_per_key(df: DataFrame, keys: list[str], value: str, order: list, sep: str = "\n",

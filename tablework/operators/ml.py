@@ -42,7 +42,7 @@ def stratified_split(df: DataFrame, label: str, id_col: str, share: float, seed:
     """Add ``part`` (train or test): exactly the given share of every label, in a seeded hash order."""
     mixed = df.withColumn("_h", F.md5(F.concat(F.lit(f"{seed}-"), F.col(id_col).cast("string"))))
     ranked = positions(mixed, [label], ["_h", id_col], "_pos", **options)
-    sized = with_group_value(ranked, [label], F.count(F.lit(1)).alias("_n"))
+    sized = with_group_value(ranked, [label], F.count(F.lit(1)).alias("_n"), few_groups=True)
     cut = F.floor(F.col("_n") * F.lit(share) + 0.5)
     return sized.withColumn("part", F.when(F.col("_pos") < cut, "train").otherwise("test")).drop("_h", "_pos", "_n")
 

@@ -10,6 +10,7 @@ from tablework.operators import history, ml
 from tablework.operators.reshape import stack
 from tablework.plans.registry import query
 from tablework.session import scratch_path, table
+from tablework.sources.tables import staged
 from tablework.streaming import ingest
 
 # The newer state of customer: some segments change, some balances become null, some customers leave, some join.
@@ -246,7 +247,8 @@ def stratified_split(spark, sf):
     p AS (SELECT vec_id, label, k, arg_max(nl, (c, -f)) AS predicted FROM v GROUP BY ALL)
     SELECT CAST(k AS INTEGER) AS k, round(avg(CASE WHEN predicted <> label THEN 1.0 ELSE 0.0 END), 6) AS error, count(*) AS rows FROM p GROUP BY 1""")
 def knn_error_rates(spark, sf):
-    split = ml.stratified_split(table(spark, sf, "embeddings"), "label", "vec_id", 0.7, seed=7)
+    # both parts are read several times
+    split = staged(ml.stratified_split(table(spark, sf, "embeddings"), "label", "vec_id", 0.7, seed=7), "vector_split")
     predictions = ml.knn_classify(split.where("part = 'train'"), split.where("part = 'test'"), "vec_id", "embedding",
                                   "label", list(range(1, 11)))
     return ml.error_rates(predictions).withColumn("error", F.round("error", 6))

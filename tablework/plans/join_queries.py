@@ -105,7 +105,7 @@ def asof_join(spark, sf):
     purchases = events.where("event_type = 'purchase'").select("user_id", "event_id", "ts")
     clicks = events.where("event_type = 'click'").select(
         "user_id", F.col("event_id").alias("click_id"), F.col("ts").alias("click_ts"), F.col("value").alias("click_value"))
-    return joins.asof_join(purchases, clicks, ["user_id"], "ts", "click_ts", right_tie=["click_id"])
+    return joins.asof_join(purchases, clicks, ["user_id"], "ts", "click_ts", right_tie="click_id")
 
 
 @query("C6", """

@@ -169,7 +169,8 @@ def deviation_share(spark, sf):
     applications = orders.select(
         F.col("o_orderkey").alias("account"), F.col("o_orderdate").alias("audit"),
         F.when(F.col("o_orderstatus") == "F", "T").otherwise("N").alias("started"))
-    shares = reports.deviation_share(details, reports.default_profile(rows), applications, rows,
+    first_seen = staged(reports.default_profile(rows).select("account", "first_date"), "first_seen")
+    shares = reports.deviation_share(details, applications, first_seen,
                                      datetime.date(1997, 7, 1), datetime.date(1997, 12, 31))
     return shares.withColumn("share", F.round("share", 8))
 
@@ -246,21 +247,23 @@ UNITS_SQL = """
 
 def _units(spark, sf):
     number = F.substring("p_brand", 7, 3).cast("int") % 3
-    return table(spark, sf, "part").groupBy(F.col("p_brand").alias("unit")).agg(F.min("p_type").alias("service"), F.first(number).alias("g")).select(
+    units = table(spark, sf, "part").groupBy(F.col("p_brand").alias("unit")).agg(F.min("p_type").alias("service"), F.first(number).alias("g")).select(
         "unit", F.concat(F.lit("RU_"), "unit").alias("unit_name"), "service",
         F.concat(F.lit("tower"), F.length("unit")).alias("tower"),
         F.when(F.col("g") == 0, "A").when(F.col("g") == 1, "U").otherwise("F").alias("pricing"))
+    # a written dimension has a known size, so its joins are planned as broadcasts when it is small
+    return staged(units, "units")
 
 
 def _volumes(spark, sf):
     # quantity and rows per part and month first, so the join carries one row per part and month
-    monthly = table(spark, sf, "lineitem").groupBy(F.col("l_partkey").alias("p_partkey"), F.date_format("l_shipdate", "yyyy-MM").alias("month")).agg(
+    monthly = table(spark, sf, "lineitem").groupBy(F.col("l_partkey").alias("p_partkey"), F.trunc("l_shipdate", "month").alias("month")).agg(
         F.sum("l_quantity").alias("q"), F.count(F.lit(1)).alias("n"))
     joined = monthly.join(table(spark, sf, "part").select("p_partkey", "p_brand", "p_retailprice"), "p_partkey")
-    in_month = lambda m: F.round(F.sum(F.when(F.col("month") == m, F.col("q"))), 2)
-    return joined.groupBy(F.col("p_brand").alias("unit")).agg(
-        in_month("1997-03").alias("march"), in_month("1997-02").alias("february"), F.round(F.sum("q") / 60, 2).alias("baseline"),
-        F.round(F.sum(F.col("p_retailprice") * F.col("n")) / F.sum("n"), 4).alias("price"))
+    in_month = lambda m: F.round(F.sum(F.when(F.col("month") == F.lit(m).cast("date"), F.col("q"))), 2)
+    return staged(joined.groupBy(F.col("p_brand").alias("unit")).agg(
+        in_month("1997-03-01").alias("march"), in_month("1997-02-01").alias("february"), F.round(F.sum("q") / 60, 2).alias("baseline"),
+        F.round(F.sum(F.col("p_retailprice") * F.col("n")) / F.sum("n"), 4).alias("price")), "volumes")
 
 
 def _charges(volumes):

@@ -17,6 +17,7 @@ from tablework.operators.joins import asof_join, new_rows, top_rows, with_group_
 from tablework.operators.ordered import rolling, shifted
 from tablework.operators.reshape import drop_last_groups, stack
 from tablework.operators.windows import line_ids
+from tablework.sources.tables import staged
 
 # Thresholds of the early-warning rules.
 LOW_CURRENT_RATIO = 0.5
@@ -145,16 +146,18 @@ def default_profile(rows: DataFrame) -> DataFrame:
         f"days_to_{e}": F.datediff(f"{e}_date", "first_date") for e in ("default", "overdue", "loss")})
 
 
-def deviation_share(details: DataFrame, profile: DataFrame, applications: DataFrame, rows: DataFrame,
+def deviation_share(details: DataFrame, applications: DataFrame, first_seen: DataFrame,
                     start: datetime.date, end: datetime.date) -> DataFrame:
     """Deviations with risk on accounts first seen in the period, as a share of the accounts applied for and
-    started in it whose audit was less than a day after they were first seen."""
-    risky = details.join(profile, "account").where(
+    started in it whose audit was less than a day after they were first seen.
+
+    first_seen: account, first_date.
+    """
+    risky = details.join(first_seen, "account").where(
         F.col("first_date").between(F.lit(start), F.lit(end)) & (F.col("deviations") > 0))
     first = top_rows(applications, ["account"], [F.col("audit").asc_nulls_last(), F.col("started").desc_nulls_last()])
-    seen = rows.groupBy("account").agg(F.min("date").alias("first_date"))
     days = (F.unix_date(F.to_date("audit")) - F.unix_date("first_date")).cast("double")
-    started = first.join(seen, "account").where(
+    started = first.join(first_seen, "account").where(
         (F.col("started") == "T") & (days < 1) & (F.year("audit") == start.year)
         & F.month("audit").between(start.month, end.month))
     above = risky.agg(F.count(F.lit(1)).alias("n"))
@@ -229,7 +232,8 @@ def player_master(transfers: DataFrame, squads: DataFrame, seasons: DataFrame, y
     seasons: player, season, first_name, age, nationality.
     """
     latest = with_group_value(transfers, ["player"], F.max("date").alias("_d")).where("date = _d").drop("_d").distinct()
-    complete, lacking = split_complete(latest.join(squads, "player", "left"))
+    # both halves come from the same rows, so those are written once
+    complete, lacking = split_complete(staged(latest.join(squads, "player", "left"), "players"))
     lacking = lacking.withColumn("date", try_date("date", "yyyy-MM-dd")).na.drop(subset=["date"])
     lacking = lacking.withColumn("season", season("date"))
     attributes = ["first_name", "age", "nationality"]

@@ -51,8 +51,8 @@ def test_shifted_and_rolling_split_equal_window(skewed, rows):
 def test_asof_with_hot_key(skewed, rows):
     left = skewed.where("id % 2 = 0").select("k", "t", "id").where("k IS NOT NULL")
     right = skewed.where("id % 2 = 1").select("k", F.col("t").alias("at"), F.col("id").alias("rid"))
-    plain = joins.asof_join(left, right, ["k"], "t", "at", right_tie=["rid"], bounded=True)
-    split = joins.asof_join(left, right, ["k"], "t", "at", right_tie=["rid"], group_rows=50)
+    plain = joins.asof_join(left, right, ["k"], "t", "at", right_tie="rid", bounded=True)
+    split = joins.asof_join(left, right, ["k"], "t", "at", right_tie="rid", group_rows=50)
     assert rows(plain) == rows(split)
     matched = {r["id"]: (r["at"], r["rid"]) for r in plain.collect()}
     statements = right.collect()
