@@ -175,9 +175,11 @@ def leverage_report(statements: DataFrame, exposures: DataFrame, profile: DataFr
     ).orderBy(F.col("firm").asc_nulls_last(), F.col("date").asc_nulls_last())
 
 
-def invoice_lines(facts: DataFrame, units: DataFrame, charges: DataFrame, period: str) -> DataFrame:
+def invoice_lines(facts: DataFrame, units: DataFrame, charges: DataFrame, period: str, without: str) -> DataFrame:
     """Invoice lines of a period: approved deliveries, plus filler lines up to the minimum volume.
 
+    The unit ``without`` is not invoiced.
+
     facts: unit, quantity, computer, mail, application, status, period, line; units: unit, unit_name,
     service, tower, pricing; charges: unit, arc_quantity, delivered_quantity, arc_price, base_price.
     """
@@ -187,7 +189,7 @@ def invoice_lines(facts: DataFrame, units: DataFrame, charges: DataFrame, period
     filler = charges.join(delivered, "unit", "left").select("unit", lacking.alias("quantity")).where("quantity > 0")
     lines = stack(approved.select("unit", "quantity", "computer", "mail", "application", "line"), filler)
     # units and charges hold one row per resource unit
-    priced = lines.join(units, "unit").join(charges, "unit", "left").where("unit <> 'Brand#6'")
+    priced = lines.join(units, "unit").join(charges, "unit", "left").where(F.col("unit") != without)
     price = F.when(F.col("pricing") == "A", F.round("arc_price", 2)).when(
         F.col("pricing").isin("U", "F"), F.round("base_price", 2))
     named = priced.withColumn(

@@ -64,10 +64,10 @@ def test_text(one):
     assert one(text.repair_utf8("t"), t="Â at the end Ã") == "Â at the end Ã"
     assert one(text.unescape_unicode("t"), t='z\\u0142oty "x"\n') == 'złoty "x"\n'
     assert one(text.translate_each("t", text.MORSE), t="SOS") == "... --- ..."
-    line = "1 498 cm3 • 150 KM • Selection 1.5"
-    assert one(text.extract_or("t", text.ENGINE_CAPACITY, "-"), t=line) == "1 498 cm3 "
-    assert one(text.extract_or("t", text.ENGINE_POWER, "-"), t=line) == " 150 KM "
-    assert one(text.extract_or("t", text.LAST_PART, "-"), t=line) == "Selection 1.5"
+    line = "1 234 cm3 • 99 KM • Roomy estate"
+    assert one(text.extract_or("t", text.ENGINE_CAPACITY, "-"), t=line) == "1 234 cm3 "
+    assert one(text.extract_or("t", text.ENGINE_POWER, "-"), t=line) == " 99 KM "
+    assert one(text.extract_or("t", text.LAST_PART, "-"), t=line) == "Roomy estate"
     assert one(text.extract_or("t", text.ENGINE_POWER, "-"), t="electric") == "-"
 
 

@@ -18,9 +18,6 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 QUERIES = spark_entry.queries()
 SQL = spark_entry.oracle_sql()
 
-# Plans may hold a checkpoint where rows were placed by range blocks.
-ALLOWED = {("Scan ExistingRDD", name) for name in QUERIES}
-
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
 
 
@@ -46,6 +43,20 @@ def multiset(rows):
     return sorted((tuple(plain(v) for v in row) for row in rows), key=str)
 
 
+def compare(frame, duck, name):
+    columns = sorted(frame.columns)
+    found = frame.select(*[f"`{c}`" for c in columns]).collect()
+    if name not in SQL:
+        assert found
+        return
+    result = duck.execute(SQL[name])
+    names = [d[0] for d in result.description]
+    assert sorted(names) == columns
+    at = [names.index(c) for c in columns]
+    expected = [[row[i] for i in at] for row in result.fetchall()]
+    assert multiset(found) == multiset(expected)
+
+
 def test_every_sql_has_a_query():
     assert set(SQL) <= set(QUERIES)
 
@@ -61,16 +72,6 @@ def plan_of(frame):
 def test_query(spark, duck, name):
     frame = QUERIES[name](spark, SF_DIR)
     plan = plan_of(frame)
-    for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "Scan ExistingRDD"):
-        assert operator not in plan or (operator, name) in ALLOWED, plan
-    columns = sorted(frame.columns)
-    found = frame.select(*[f"`{c}`" for c in columns]).collect()
-    if name not in SQL:
-        assert found
-        return
-    result = duck.execute(SQL[name])
-    names = [d[0] for d in result.description]
-    assert sorted(names) == columns
-    at = [names.index(c) for c in columns]
-    expected = [[row[i] for i in at] for row in result.fetchall()]
-    assert multiset(found) == multiset(expected)
+    for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython"):
+        assert operator not in plan
+    compare(frame, duck, name)

@@ -164,13 +164,13 @@ def test_stage_path_is_shared_by_reader_and_writer(spark):
 
 
 def test_listing_card(spark):
-    card = ('<div><article data-id="77"><a href="https://x/1" target="_self"> Skoda Octavia </a><p class="line">1 498 cm3 • 150 KM • '
-            'Selection 1.5</p><h3>126 468</h3><dd data-parameter="mileage">1 km</dd><dd data-parameter="fuel_type">Benzyna</dd>'
-            '<dd data-parameter="gearbox">Manualna</dd><dd data-parameter="year">2024</dd><p class="added">9 minut temu</p></article></div>')
+    card = ('<div><article data-id="77"><a href="https://x/1" target="_self"> Family car </a><p class="line">1 234 cm3 • 99 KM • '
+            'Roomy estate</p><h3>45 600</h3><dd data-parameter="mileage">12 345 km</dd><dd data-parameter="fuel_type">petrol</dd>'
+            '<dd data-parameter="gearbox">manual</dd><dd data-parameter="year">2021</dd><p class="added">9 minut temu</p></article></div>')
     page = spark.createDataFrame([(card,)], "html string")
     row = html.parse_listings(page, "html", F.lit("2025-01-10 12:00:00").cast("timestamp_ntz")).first()
-    assert tuple(row) == (77, "Skoda Octavia", "https://x/1", "1 498 cm3", "150 KM", "Selection 1.5", 126468, 1, "Benzyna",
-                          "Manualna", 2024, datetime.datetime(2025, 1, 10, 11, 51))
+    assert tuple(row) == (77, "Family car", "https://x/1", "1 234 cm3", "99 KM", "Roomy estate", 45600, 12345, "petrol",
+                          "manual", 2021, datetime.datetime(2025, 1, 10, 11, 51))
 
 
 def test_membership_start(spark):
@@ -219,6 +219,18 @@ def test_unseen_ids_across_restarts(spark, rows):
     assert run() == sorted([(i,) for i in range(15)], key=str)
 
 
+def test_unseen_within_a_horizon(spark, rows):
+    path, out = scratch_path(spark, "in"), scratch_path(spark, "out")
+    at = lambda i: F.timestamp_seconds(F.lit(1_700_000_000) + i)
+    first = spark.range(20).select("id", at(F.col("id")).alias("ts"))
+    first.union(first).coalesce(1).write.parquet(path)
+    stream = ingest.read_files(spark, path, "id bigint, ts timestamp")
+    kept = ingest.unseen_within(stream, ["id"], "ts", "1 hour")
+    kept.writeStream.format("parquet").option("path", out).option("checkpointLocation", f"{out}-checkpoint").trigger(
+        availableNow=True).start().awaitTermination()
+    assert rows(spark.read.schema("id bigint").parquet(out)) == sorted([(i,) for i in range(20)], key=str)
+
+
 def test_kafka_options():
     options = ingest.kafka_options("host:1", list(ingest.TOPICS))
     assert options["subscribe"].split(",") == list(ingest.TOPICS)
