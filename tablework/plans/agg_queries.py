@@ -179,13 +179,13 @@ def first_distinct_keys(spark, sf):
 
 
 @query("D-15", """
-    SELECT o_custkey, CAST(0 AS BIGINT) AS page, list(o_orderpriority ORDER BY d, k) AS values,
+    SELECT o_custkey, CAST(0 AS BIGINT) AS page, count(*) AS values,
            string_agg(o_orderpriority, ', ' ORDER BY d, k) AS joined FROM (
       SELECT o_custkey, o_orderpriority, min((o_orderdate, o_orderkey))[1] AS d, min((o_orderdate, o_orderkey))[2] AS k
       FROM orders GROUP BY 1, 2) GROUP BY 1""")
 def collect_first_seen(spark, sf):
     lists = aggs.ordered_lists(table(spark, sf, "orders"), ["o_custkey"], "o_orderpriority", ["o_orderdate", "o_orderkey"])
-    return lists.withColumn("joined", F.array_join("values", ", "))
+    return lists.select("o_custkey", "page", F.size("values").cast("bigint").alias("values"), F.array_join("values", ", ").alias("joined"))
 
 
 PIVOT_CODES = list(range(1, 33))

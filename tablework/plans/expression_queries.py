@@ -205,7 +205,7 @@ def transfer_window_dates(spark, sf):
 
 
 @query("H21", """
-    SELECT c_custkey, round(c_acctbal * 1.2345678, 2) AS scaled, abs(c_acctbal) AS size, c_custkey % 7 AS rest, round(c_acctbal / 977, 1) AS thousands
+    SELECT c_custkey, round(c_acctbal * 1.2345678, 2) AS scaled, abs(c_acctbal) AS size, c_custkey % 7 AS rest, round(c_acctbal / 977, 1) + 0.0::DOUBLE AS thousands
     FROM customer""")
 def round_abs_modulo(spark, sf):
     balance = F.col("c_acctbal")
@@ -260,7 +260,7 @@ def weighted_channel_sum(spark, sf):
 @query("H24", """
     WITH a AS (SELECT vec_id AS i, unnest(range(len(embedding))) AS k, CAST(unnest(embedding) AS DOUBLE) AS v, label FROM embeddings),
     b AS (SELECT k, label AS j, avg(v) AS v FROM a GROUP BY 1, 2)
-    SELECT a.i, b.j, round(sum(a.v * b.v), 5) AS v FROM a JOIN b ON a.k = b.k GROUP BY 1, 2""")
+    SELECT a.i, b.j, round(sum(a.v * b.v), 5) + 0.0::DOUBLE AS v FROM a JOIN b ON a.k = b.k GROUP BY 1, 2""")
 def matrix_product(spark, sf):
     """Vectors times the matrix of label means, both in coordinate form."""
     vectors = table(spark, sf, "embeddings")

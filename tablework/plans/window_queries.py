@@ -68,7 +68,7 @@ def lead_next_start(spark, sf):
                  max(CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END) AS a, max(CASE WHEN o_totalprice > 250000 THEN 1 ELSE 0 END) AS b
                FROM orders GROUP BY 1, 2)
     SELECT o_custkey, report, CASE WHEN sum(a) OVER w >= 6 THEN 1 ELSE 0 END AS six_of_seven,
-           CASE WHEN sum(b) OVER w >= 3 THEN 1 ELSE 0 END AS three_of_seven, sum(b) OVER w AS large_months FROM m
+           CASE WHEN sum(b) OVER w >= 3 THEN 1 ELSE 0 END AS three_of_seven, CAST(sum(b) OVER w AS BIGINT) AS large_months FROM m
     WINDOW w AS (PARTITION BY o_custkey ORDER BY report ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)""")
 def rolling_flags(spark, sf):
     months = table(spark, sf, "orders").groupBy("o_custkey", F.last_day("o_orderdate").alias("report")).agg(
