@@ -27,11 +27,12 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
 def versions(changes: DataFrame, keys: list[str], value: str, since: str, written: list[str]) -> DataFrame:
     """Validity intervals from change rows in any order.
 
-    The last write of a (key, start) wins, and each version ends the day before the next start. After
-    that reduction a key has at most one row per calendar day.
+    The last write of a (key, start) wins, and each version ends the day before the next start. With
+    dates as starts a key then has at most one row per calendar day; other starts are measured.
     """
     last = latest_per(changes.select(*keys, since, value, *written), [*keys, since], written).drop(*written)
-    led = shifted(last, keys, [since], {"_next": (F.col(since), -1)}, bounded=True)
+    daily = dict(last.dtypes)[since] == "date"
+    led = shifted(last, keys, [since], {"_next": (F.col(since), -1)}, bounded=daily)
     return led.select(*keys, value, F.col(since).alias("valid_since"), F.date_sub("_next", 1).alias("valid_till"))
 
 

@@ -247,7 +247,7 @@ UNITS_SQL = """
 
 def _units(spark, sf):
     number = F.substring("p_brand", 7, 3).cast("int") % 3
-    units = table(spark, sf, "part").groupBy(F.col("p_brand").alias("unit")).agg(F.min("p_type").alias("service"), F.first(number).alias("g")).select(
+    units = table(spark, sf, "part").groupBy(F.col("p_brand").alias("unit")).agg(F.min("p_type").alias("service"), F.max(number).alias("g")).select(
         "unit", F.concat(F.lit("RU_"), "unit").alias("unit_name"), "service",
         F.concat(F.lit("tower"), F.length("unit")).alias("tower"),
         F.when(F.col("g") == 0, "A").when(F.col("g") == 1, "U").otherwise("F").alias("pricing"))

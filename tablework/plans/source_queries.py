@@ -109,14 +109,8 @@ def nested_json_items(spark, sf):
     docs.select("region", text.alias("value")).write.partitionBy("region").text(path)
     schema = ("kind string, items array<struct<kind string, id string, "
               "snippet struct<title string, assignable boolean>>>")
-    docs = spark.read.schema(schema).json(f"{path}/*")
-    rows = docs.select(
-        F.regexp_extract(F.col("_metadata.file_path"), "region=([^/]+)/", 1).alias("region"), F.inline("items")
-    )
-    return rows.select(
-        F.url_decode(F.regexp_replace("region", r"\+", "%2B")).alias("region"), "kind", "id", "snippet.title",
-        "snippet.assignable"
-    )
+    items = landed.read_items(spark, f"{path}/*", schema, "items", "region=([^/]+)/", "region")
+    return items.select("region", "kind", "id", "snippet.title", "snippet.assignable")
 
 
 @query("A9 A17", """

@@ -22,11 +22,15 @@ def read_pages(spark: SparkSession, path: str, row_schema: str) -> DataFrame:
     )
 
 
-def read_items(spark: SparkSession, path: str, schema: str, array: str, tag_pattern: str, tag: str) -> DataFrame:
-    """Nested documents to one row per array element, tagged with a part of the file name."""
-    docs = spark.read.schema(schema).option("multiLine", True).json(path)
+def read_items(spark: SparkSession, path: str, schema: str, array: str, tag_pattern: str, tag: str,
+               whole_file: bool = False) -> DataFrame:
+    """Nested documents to one row per array element, tagged with a part of the file path.
+
+    ``whole_file`` reads one document per file, otherwise one per line (which splits large files).
+    """
+    docs = spark.read.schema(schema).option("multiLine", whole_file).json(path)
     return docs.select(
-        F.regexp_extract(F.col("_metadata.file_name"), tag_pattern, 1).alias(tag), F.inline(array)
+        F.url_decode(F.regexp_extract(F.col("_metadata.file_path"), tag_pattern, 1)).alias(tag), F.inline(array)
     )
 
 

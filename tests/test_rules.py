@@ -136,6 +136,15 @@ def test_pages_with_errors_are_skipped(spark, rows):
     assert rows(landed.read_pages(spark, path, "struct<id bigint>")) == [(1, 1), (1, 2)]
 
 
+def test_one_document_per_file(spark, rows, tmp_path):
+    for code, titles in (("US", ["Film", "Music"]), ("PL", ["News"])):
+        items = ",\n".join(f'{{"id": "{i}", "snippet": {{"title": "{t}"}}}}' for i, t in enumerate(titles))
+        (tmp_path / f"{code}_category_id.json").write_text(f'{{"kind": "list",\n "items": [{items}]}}')
+    schema = "kind string, items array<struct<id string, snippet struct<title string>>>"
+    found = landed.read_items(spark, str(tmp_path), schema, "items", "/([A-Z]+)_category", "region", whole_file=True)
+    assert rows(found.select("region", "id", "snippet.title")) == [("PL", "0", "News"), ("US", "0", "Film"), ("US", "1", "Music")]
+
+
 def test_inserts(spark, rows):
     df = spark.sql("VALUES (1, 'O''Hara', 2.5), (2, NULL, NULL) AS t(id, name, x)")
     assert rows(tables.render_inserts(df, "people", {"id": "pid", "name": "pname"})) == [
