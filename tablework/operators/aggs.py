@@ -36,12 +36,19 @@ def first_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame
     return df.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.struct(*order)).alias("_r")).select(*keys, "_r.*")
 
 
-def extreme_row(df: DataFrame, keys: list[str], value: str, tie: str, how: str = "max") -> DataFrame:
-    """Whole row holding the largest or smallest value of each key; the lowest ``tie`` wins."""
-    rest = [c for c in df.columns if c not in keys]
-    pick = F.max_by if how == "max" else F.min_by
-    rank = F.struct(value, (-F.col(tie) if how == "max" else F.col(tie)).alias("t"))
-    return df.groupBy(*keys).agg(pick(F.struct(*rest), rank).alias("_r")).select(*keys, "_r.*")
+def extreme_rows(df: DataFrame, keys: list[str], picks: dict[str, tuple[str, str, str]]) -> DataFrame:
+    """Whole rows holding the largest or smallest value of each key, all picked in one pass.
+
+    ``picks`` maps a struct column to (value, tie, "max" or "min"); on equal values the lowest tie wins.
+    """
+    row = F.struct(*[c for c in df.columns if c not in keys])
+
+    def pick(value, tie, how):
+        if how == "max":
+            return F.max_by(row, F.struct(F.col(value), (-F.col(tie)).alias("t")))
+        return F.min_by(row, F.struct(value, tie))
+
+    return df.groupBy(*keys).agg(*[pick(*p).alias(name) for name, p in picks.items()])
 
 
 def null_counts(df: DataFrame) -> DataFrame:

@@ -44,7 +44,10 @@ def resample_last(df: DataFrame, keys: list[str], date: str, values: list[str],
 
 
 def drop_last_groups(df: DataFrame, group: str, n: int) -> DataFrame:
-    """Leave out the rows of the n highest group values (for example partial years)."""
+    """Leave out the rows of the n highest group values (for example partial years).
+
+    The frame is read twice; hand over a written one when it is costly to compute.
+    """
     last = df.select(group).distinct().orderBy(F.col(group).desc()).limit(n)
     return df.join(last, group, "left_anti")
 

@@ -121,11 +121,11 @@ def days_to_event(spark, sf):
            arg_min(p_partkey, (p_size, p_partkey)) AS smallest_id, min(p_size) AS smallest FROM part GROUP BY 1""")
 def extreme_rows(spark, sf):
     part = table(spark, sf, "part").select("p_brand", "p_partkey", "p_retailprice", "p_size")
-    high = aggs.extreme_row(part, ["p_brand"], "p_retailprice", "p_partkey").select(
-        "p_brand", F.col("p_partkey").alias("dearest_id"), F.col("p_retailprice").alias("dearest"))
-    low = aggs.extreme_row(part, ["p_brand"], "p_size", "p_partkey", how="min").select(
-        "p_brand", F.col("p_partkey").alias("smallest_id"), F.col("p_size").alias("smallest"))
-    return high.join(low, "p_brand")
+    rows = aggs.extreme_rows(part, ["p_brand"], {
+        "high": ("p_retailprice", "p_partkey", "max"), "low": ("p_size", "p_partkey", "min")})
+    return rows.select(
+        "p_brand", F.col("high.p_partkey").alias("dearest_id"), F.col("high.p_retailprice").alias("dearest"),
+        F.col("low.p_partkey").alias("smallest_id"), F.col("low.p_size").alias("smallest"))
 
 
 def _describe_sql(rel, columns):
@@ -174,7 +174,7 @@ def distinct_keep_first(spark, sf):
 
 @query("D-14", "SELECT DISTINCT user_id FROM events ORDER BY user_id LIMIT 25")
 def first_distinct_keys(spark, sf):
-    """The reference takes the first n distinct keys; here in key order."""
+    """The first n distinct keys, in key order."""
     return table(spark, sf, "events").select("user_id").distinct().orderBy("user_id").limit(25)
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tablework.operators import quality, reshape
 from tablework.plans.registry import query
 from tablework.session import table
+from tablework.sources.tables import staged
 
 
 @query("F1", "SELECT c_custkey, c_mktsegment, c_acctbal FROM customer")
@@ -87,7 +88,7 @@ def resample_month_last(spark, sf):
 def drop_last_years(spark, sf):
     per_year = table(spark, sf, "orders").groupBy(F.year("o_orderdate").alias("order_year")).agg(
         F.count(F.lit(1)).alias("orders"))
-    return reshape.drop_last_groups(per_year, "order_year", 2)
+    return reshape.drop_last_groups(staged(per_year, "per_year"), "order_year", 2)
 
 
 @query("F11", "SELECT o_custkey, o_orderstatus, count(*) AS orders FROM orders GROUP BY 1, 2")
