@@ -50,3 +50,54 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tablework.llm.language_id import identify
 
     return identify(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tablework.llm.embedding_dedup import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tablework.llm.chat_format import format_conversations
+
+    return format_conversations(table(spark, sf_dir, "conversations"))
+
+
+# The prefix rule on rendered turns: one conversation is a snapshot of another when its text, turn numbers included, is a
+# proper prefix of it.
+SQL["op1_chat_format"] = """
+WITH rows AS (SELECT DISTINCT conv_id, turn, role, text FROM conversations),
+turns AS (
+  SELECT *, ROW_NUMBER() OVER w - 1 AS n, COUNT(*) OVER (PARTITION BY conv_id) AS n_turns,
+    STRING_AGG(turn || '|' || role || '|' || text, '||') OVER (PARTITION BY conv_id ORDER BY turn, role, text ROWS UNBOUNDED PRECEDING) AS upto
+  FROM rows WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, text)),
+ends AS (SELECT upto, MIN(conv_id) AS conv_id, COUNT(*) AS copies FROM turns WHERE n + 1 = n_turns GROUP BY upto),
+kept AS (SELECT * FROM ends WHERE upto NOT IN (SELECT upto FROM turns WHERE n + 1 < n_turns))
+SELECT t.conv_id, t.n // 2000 AS part, MAX(t.n_turns) AS n_turns, MAX(k.copies) AS copies,
+  STRING_AGG('<|im_start|>' || t.role || chr(10) || t.text || '<|im_end|>' || chr(10), '' ORDER BY t.n) AS text
+FROM turns t JOIN kept k USING (conv_id) GROUP BY ALL
+"""
+
+
+@query
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tablework.llm.toxicity import toxicity
+
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op6_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tablework.llm.pii import pseudonymise
+
+    return pseudonymise(table(spark, sf_dir, "documents"), key="tablework")
+
+
+@query
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tablework.llm.url_filter import judged
+
+    return judged(table(spark, sf_dir, "pages"))
