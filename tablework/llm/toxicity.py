@@ -22,7 +22,7 @@ from tablework.llm.common import fold, picked, prepare, stage
 # Bounds of what is learned: labelled texts in all, entries of the lexicon.
 TRAIN_DOCS = 20_000
 LEXICON = 2000
-PREFIXES = (4, 5, 6)
+PREFIXES = (3, 4, 5, 6, 7, 8)
 NEAR = 5
 # Words that address the reader, in the languages of the tables.
 SECOND_PERSON = frozenset(
