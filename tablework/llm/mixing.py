@@ -102,7 +102,7 @@ def _ends(sized: DataFrame, targets: DataFrame) -> DataFrame:
 
 def _halves(draws: DataFrame, seed: int, levels: int) -> DataFrame:
     """(source, block, pass, shard): the draws split along a tree of ``levels`` levels."""
-    nodes = draws.withColumn("shard", F.lit(0))
+    nodes = stage(draws.withColumn("shard", F.lit(0)), "draws")
     for level in range(levels):
         order = F.xxhash64(F.lit(seed), F.lit(level), "source", "block", "pass")
         numbered = positions(nodes.withColumn("_o", order), ["shard"], ["_o", "source", "block", "pass"], "_at")
