@@ -60,6 +60,12 @@ def window_date(season_col: Column, month: Column, day: Column) -> Column:
     return F.make_date(season_col + (month < SEASON_START_MONTH).cast("int"), month, day)
 
 
+def in_year(date: str, year: int) -> Column:
+    """Is a date in a year? A range of dates, which reaches the scan, where a function of the date would not."""
+    day = lambda y: F.lit(f"{y}-01-01").cast("date")
+    return (F.col(date) >= day(year)) & (F.col(date) < day(year + 1))
+
+
 def _shape(pattern: str) -> str | None:
     """Regular expression for texts a numeric date pattern can parse; None for patterns with names in them."""
     shape = ""
@@ -68,7 +74,7 @@ def _shape(pattern: str) -> str | None:
             shape += re.escape(run[2])
         elif run[0] in "yMdHms":
             width = 1 + len(run[1])
-            shape += r"\d{1,2}" if width == 1 else rf"\d{{{width}}}"
+            shape += r"\d+" if run[0] == "y" and width == 1 else r"\d{1,2}" if width == 1 else rf"\d{{{width}}}"
         else:
             return None
     return f"^{shape}$"

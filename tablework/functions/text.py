@@ -53,7 +53,7 @@ def money(c: Column | str) -> Column:
     return _number(F.translate(_col(c), "$,", ""), "double")
 
 
-def strip_unit(c: Column | str, unit: str, to: str = "int") -> Column:
+def strip_unit(c: Column | str, unit: str, to: str = "bigint") -> Column:
     """``1 234 km`` to a number."""
     return _number(F.regexp_replace(_col(c), rf"\s|{unit}", ""), to)
 
@@ -102,11 +102,17 @@ def url_set(url: Column | str, name: str, value: Column | str) -> Column:
     return F.concat(base, F.lit("?"), F.array_join(pairs, "&"), fragment)
 
 
-def translate_each(c: Column | str, codes: dict[str, str], sep: str = " ") -> Column:
-    """Replace every character by its code word; a character without a code is left out."""
-    table = F.create_map(*[F.lit(x) for item in codes.items() for x in item])
-    letters = F.split(_col(c), "")
-    return F.array_join(F.transform(letters, lambda ch: F.element_at(table, ch)), sep)
+def translate_each(c: Column | str, codes: dict[str, str], sep: str = " ", blank: str = "/") -> Column:
+    """Replace every character by its code word, a blank by ``blank``; a character without a code stays as it is."""
+    table = F.create_map(*[F.lit(x) for item in {**codes, " ": blank}.items() for x in item])
+    letters = F.filter(F.split(_col(c), ""), lambda ch: ch != "")
+    return F.array_join(F.transform(letters, lambda ch: F.coalesce(F.try_element_at(table, ch), ch)), sep)
+
+
+def translate_back(c: Column | str, codes: dict[str, str], sep: str = " ", blank: str = "/") -> Column:
+    """Undo :func:`translate_each`: code words to characters; a word that is no code stays as it is."""
+    table = F.create_map(*[F.lit(x) for ch, code in {**codes, " ": blank}.items() for x in (code, ch)])
+    return F.array_join(F.transform(F.split(_col(c), sep), lambda w: F.coalesce(F.try_element_at(table, w), w)), "")
 
 
 def split_rank_title(c: Column | str) -> tuple[Column, Column]:

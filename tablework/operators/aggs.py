@@ -39,14 +39,16 @@ def first_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame
 def extreme_rows(df: DataFrame, keys: list[str], picks: dict[str, tuple[str, str, str]]) -> DataFrame:
     """Whole rows holding the largest or smallest value of each key, all picked in one pass.
 
-    ``picks`` maps a struct column to (value, tie, "max" or "min"); on equal values the lowest tie wins.
+    ``picks`` maps a struct column to (value, tie, "max" or "min"); on equal values the lowest tie (a number) wins.
+    Null values are no candidates: the struct is null when a key has no other.
     """
     row = F.struct(*[c for c in df.columns if c not in keys])
 
     def pick(value, tie, how):
+        known = F.col(value).isNotNull()
         if how == "max":
-            return F.max_by(row, F.struct(F.col(value), (-F.col(tie)).alias("t")))
-        return F.min_by(row, F.struct(value, tie))
+            return F.max_by(row, F.when(known, F.struct(F.col(value), (-F.col(tie)).alias("t"))))
+        return F.min_by(row, F.when(known, F.struct(value, tie)))
 
     return df.groupBy(*keys).agg(*[pick(*p).alias(name) for name, p in picks.items()])
 
@@ -59,8 +61,14 @@ def null_counts(df: DataFrame) -> DataFrame:
 
 
 def duplicate_rows(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """One row: how many rows repeat an earlier one."""
-    sizes = df.groupBy(*(columns or df.columns)).agg(F.count(F.lit(1)).alias("n"))
+    """One row: how many rows repeat an earlier one.
+
+    Texts are compared by length and SHA-256, so that no whole text is a shuffle key.
+    """
+    kinds = dict(df.dtypes)
+    keys = [k for c in columns or df.columns for k in (
+        [F.sha2(F.col(c), 256).alias(f"_{c}_digest"), F.length(c).alias(f"_{c}_length")] if kinds[c] == "string" else [F.col(c)])]
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
     return sizes.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("duplicates"))
 
 
@@ -120,7 +128,7 @@ def letter_sets(words: DataFrame, word: str) -> DataFrame:
     distinct = words.groupBy(word).agg(F.count(F.lit(1)).alias("uses")).withColumn("letters", letters)
     # both sides of the join back need the same columns, so the word count is shuffled once and reused
     return with_group_value(
-        distinct, ["letters"], F.count(F.lit(1)).alias("words_in_set"), F.sum("uses").alias("uses_in_set"))
+        distinct, ["letters"], F.count(F.lit(1)).alias("words_in_set"), F.sum("uses").alias("uses_in_set"), null_keys=False)
 
 
 def frequency_of_frequency(df: DataFrame, value: str) -> DataFrame:

@@ -6,6 +6,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tablework.sources.tables import seeded_digest
+
 
 def any_null(columns: list[str]) -> Column:
     return reduce(lambda a, b: a | b, [F.col(c).isNull() for c in columns])
@@ -55,6 +57,6 @@ def with_one_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
     return df.withColumn("_v", values).select(*df.columns, "_v.*")
 
 
-def top_random(df: DataFrame, n: int, seed: int) -> DataFrame:
-    """n rows drawn at random (a per-partition top-n, then one merge of n rows per partition)."""
-    return df.withColumn("_r", F.rand(seed)).orderBy("_r").limit(n).drop("_r")
+def top_random(df: DataFrame, n: int, seed: int, key: str) -> DataFrame:
+    """n rows drawn at random (a per-partition top-n, then one merge of n rows per partition), the same in every run."""
+    return df.withColumn("_r", seeded_digest(seed, key)).orderBy("_r", key).limit(n).drop("_r")

@@ -107,9 +107,11 @@ def membership_start(members: DataFrame, transfers: DataFrame, windows: DataFram
 
 def fill_from_candidates(df: DataFrame, candidates: DataFrame, keys: list[str], values: list[str], rank: str,
                          tries: int = 2) -> DataFrame:
-    """Fill null values from ranked candidate rows: the first non-null one within the allowed tries."""
+    """Fill null values from one candidate row: the first by rank within the allowed tries.
+
+    All values come from that row, so a result never mixes two of them; what it lacks stays null.
+    """
     usable = candidates.where(F.col(rank) <= tries)
-    best = usable.groupBy(*keys).agg(*[
-        F.min_by(v, F.when(F.col(v).isNotNull(), F.col(rank))).alias(f"_fill_{v}") for v in values])
-    filled = df.join(best, keys, "left").withColumns({v: F.coalesce(v, f"_fill_{v}") for v in values})
+    best = usable.groupBy(*keys).agg(F.min(F.struct(rank, *values)).alias("_best"))
+    filled = df.join(best, keys, "left").withColumns({v: F.coalesce(v, f"_best.{v}") for v in values})
     return filled.select(*df.columns)

@@ -15,14 +15,17 @@ def year_over_year(df: DataFrame, keys: list[str], date: str, values: list[str],
 
     The input has one row per key and date. Each row is emitted for its own date and for the date it is
     compared with; the two meet as neighbours in date order. That reads the input once and shuffles it
-    once on the key, where a self join would do both twice.
+    once on the key, where a self join would do both twice. Of several dates that fall on one a year later
+    (28 and 29 February) the latest counts; null keys and null dates have no partner.
     """
     own = F.struct(F.col(date).alias("_at"), F.lit(1).alias("_side"))
     later = F.struct(shift_months(date, months).alias("_at"), F.lit(0).alias("_side"))
     rows = df.select("*", F.inline(F.array(own, later)))
     before = F.struct(date, *values, "_at", "_side")
-    paired = shifted(rows, keys, ["_at", "_side"], {"_before": (before, 1)}, bounded=True)
+    paired = shifted(rows, keys, ["_at", "_side", date], {"_before": (before, 1)}, bounded=True)
     found = (F.col("_before._side") == 0) & (F.col("_before._at") == F.col("_at"))
+    for k in keys:
+        found = found & F.col(k).isNotNull()
     return paired.where("_side = 1").select(
         *df.columns, *[F.when(found, F.col(f"_before.{c}")).alias(f"{prefix}{c}") for c in [date, *values]])
 
@@ -33,8 +36,10 @@ def asof_join(left: DataFrame, right: DataFrame, keys: list[str], left_date: str
 
     Both sides go into one table ordered by date, statements before reports on the same date, and each
     report takes the last statement seen: one shuffle on the key, no pairs. Among statements of one date
-    the highest ``right_tie`` counts. ``options`` go to :func:`running` (a hot key is spread there).
+    the highest ``right_tie`` counts. As in an equi join, a null key or date on either side matches nothing.
+    ``options`` go to :func:`running` (a hot key is spread there).
     """
+    right = right.na.drop(subset=[*keys, right_date])
     right_rest = [c for c in right.columns if c not in keys]
     left_rest = [c for c in left.columns if c not in keys]
     statement = F.struct(*[F.col(c) for c in right_rest])
@@ -70,8 +75,13 @@ def on_or_before(reports: DataFrame, daily: DataFrame, report_date: str, date: s
 
 
 def new_rows(incoming: DataFrame, stored: DataFrame, keys: list[str]) -> DataFrame:
-    """Incoming rows whose key is not stored yet."""
-    return incoming.join(stored.select(*keys).distinct(), keys, "left_anti")
+    """Incoming rows whose key is not stored yet, one for each key: the least by its other columns in order.
+
+    Null keys count as one key that is never stored.
+    """
+    rest = [c for c in incoming.columns if c not in keys]
+    once = incoming.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_r")).select(*keys, "_r.*") if rest else incoming.distinct()
+    return once.join(stored.select(*keys), keys, "left_anti").select(*incoming.columns)
 
 
 def first_appearances(membership: DataFrame, keys: list[str], period: str) -> DataFrame:
@@ -81,16 +91,22 @@ def first_appearances(membership: DataFrame, keys: list[str], period: str) -> Da
     return lagged.where(F.col("_last").isNull() | (F.col(period) - F.col("_last") > 1)).drop("_last")
 
 
-def with_group_value(df: DataFrame, keys: list[str], *aggregates: Column, few_groups: bool = False) -> DataFrame:
+def with_group_value(df: DataFrame, keys: list[str], *aggregates: Column, few_groups: bool = False,
+                     null_keys: bool = True) -> DataFrame:
     """Group aggregates joined back to the detail rows.
 
     The aggregate is combined before its shuffle; the join back splits a hot key (adaptive skew join),
     which a window over the key could not. With ``few_groups`` the groups are written first: the planner
     then knows their size, and when they really are few it broadcasts them and leaves the detail rows
-    where they are.
+    where they are. Rows with null keys form groups of their own; ``null_keys=False`` states that there are none.
     """
     groups = df.groupBy(*keys).agg(*aggregates)
-    return df.join(staged(groups, "groups") if few_groups else groups, keys)
+    groups = staged(groups, "groups") if few_groups else groups
+    if not null_keys:
+        return df.join(groups, keys)
+    renamed = groups.withColumnsRenamed({k: f"_group_{k}" for k in keys})
+    on = [F.col(k).eqNullSafe(F.col(f"_group_{k}")) for k in keys]
+    return df.join(renamed, on).drop(*[f"_group_{k}" for k in keys])
 
 
 def matches_per_key(df: DataFrame, keys: list[str], value: str, order: list, sep: str = "\n",

@@ -2,23 +2,20 @@
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pandas as pd
-from pyspark.ml import Pipeline
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, VectorAssembler
 from pyspark.ml.regression import LinearRegression, LinearRegressionModel
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tablework.operators.joins import with_group_value
 from tablework.operators.ordered import positions
+from tablework.sources.tables import seeded_digest
 
-# Rows per side of one distance block: 2,048 x 8,192 doubles are 128 MB in a task.
-TEST_BLOCK = 2048
-TRAIN_BLOCK = 8192
-# Categories whose list may be held on the driver.
-MAX_CATEGORIES = 100_000
+# Labelled rows that nearest neighbours are searched among, and test rows compared with them at once: 256 x 50,000
+# doubles are 100 MB in a task.
+MAX_TRAIN = 50_000
+TEST_BLOCK = 256
 
 
 def linear_model(df: DataFrame, features: list[str], label: str) -> tuple[LinearRegressionModel, DataFrame]:
@@ -48,70 +45,64 @@ def stratified_split(df: DataFrame, label: str, id_col: str, share: float, seed:
 
 
 def category_index(df: DataFrame, column: str, name: str) -> DataFrame:
-    """Index of each category, most frequent first, by a join: for columns with very many categories."""
-    counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("_c"))
-    ranked = positions(counts, [], [F.col("_c").desc(), F.col(column)], "_i")
-    return df.join(ranked.select(column, F.col("_i").cast("double").alias(name)), column, "left")
-
+    """Index of each category, most frequent first, then by name; null is a category of its own, after equal ones."""
+    counts = df.groupBy(F.col(column).alias("_category")).agg(F.count(F.lit(1)).alias("_c"))
+    ranked = positions(counts, [], [F.col("_c").desc(), F.col("_category").asc_nulls_last()], "_i")
+    index = ranked.select("_category", F.col("_i").cast("double").alias(name))
+    return df.join(index, F.col(column).eqNullSafe(F.col("_category")), "left").drop("_category")
 
-def encode_categories(df: DataFrame, columns: list[str], max_categories: int = MAX_CATEGORIES) -> DataFrame:
-    """Category indexes (most frequent first) and one-hot vectors for text columns.
 
-    The indexer keeps the list of categories on the driver, so the number of categories is checked first;
-    a column with more of them is indexed by a join. Its one-hot vector has one slot per category either way.
-    """
-    sizes = df.agg(*[F.countDistinct(c).alias(c) for c in columns]).first()
-    small = [c for c in columns if sizes[c] <= max_categories]
+def encode_categories(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Category indexes (most frequent first) and one-hot vectors for text columns, for any number of categories."""
     for c in columns:
-        if c not in small:
-            df = category_index(df, c, f"{c}_index")
-    stages = [OneHotEncoder(inputCols=[f"{c}_index" for c in columns], outputCols=[f"{c}_hot" for c in columns],
-                            dropLast=False)]
-    if small:
-        stages.insert(0, StringIndexer(inputCols=small, outputCols=[f"{c}_index" for c in small], handleInvalid="error"))
-    return Pipeline(stages=stages).fit(df).transform(df)
-
-
-def _nearest(k: int):
-    def in_block(key, test: pd.DataFrame, train: pd.DataFrame) -> pd.DataFrame:
-        if test.empty or train.empty:
-            return pd.DataFrame({"id": [], "distance": [], "neighbour": [], "neighbour_label": []})
-        train = train.sort_values("id")
-        a, b = np.stack(test["features"]).astype("float64"), np.stack(train["features"]).astype("float64")
-        square = (a * a).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2.0 * a @ b.T
-        # rounded so that equal vectors tie exactly; the lower id then comes first
-        distance = np.round(np.maximum(square, 0.0), 9)
-        order = np.argsort(distance, axis=1, kind="stable")[:, :k]
-        n = order.shape[1]
-        return pd.DataFrame({
-            "id": np.repeat(test["id"].to_numpy(), n),
-            "distance": np.take_along_axis(distance, order, 1).ravel(),
-            "neighbour": train["id"].to_numpy()[order].ravel(),
-            "neighbour_label": train["label"].to_numpy()[order].ravel(),
-        })
-
-    return in_block
+        df = category_index(df, c, f"{c}_index")
+    encoder = OneHotEncoder(inputCols=[f"{c}_index" for c in columns], outputCols=[f"{c}_hot" for c in columns], dropLast=False)
+    return encoder.fit(df).transform(df)
+
+
+def _nearest(k: int, train_id, matrix, labels, rows_at_once: int):
+    squares = (matrix * matrix).sum(1)
+
+    def in_batches(batches):
+        for batch in batches:
+            for at in range(0, len(batch), rows_at_once):
+                part = batch.iloc[at : at + rows_at_once]
+                a = np.stack(part["features"]).astype("float64")
+                square = (a * a).sum(1)[:, None] + squares[None, :] - 2.0 * a @ matrix.T
+                # rounded so that equal vectors tie exactly; the lower id then comes first
+                distance = np.round(np.maximum(square, 0.0), 9)
+                last = np.partition(distance, k - 1, axis=1)[:, k - 1 : k]
+                row, column = np.nonzero(distance <= last)
+                order = np.lexsort((column, distance[row, column], row))
+                row, column = row[order], column[order]
+                rank = np.arange(len(row)) - np.searchsorted(row, row) + 1
+                near = rank <= k
+                row, column, rank = row[near], column[near], rank[near]
+                yield pd.DataFrame({
+                    "id": part["id"].to_numpy()[row], "distance": distance[row, column], "neighbour": train_id[column],
+                    "neighbour_label": labels[column], "rank": rank,
+                })
+
+    return in_batches
 
 
 def nearest_neighbours(train: DataFrame, test: DataFrame, id_col: str, features: str, label: str, k: int,
-                       test_block: int = TEST_BLOCK, train_block: int = TRAIN_BLOCK) -> DataFrame:
-    """Exact k nearest training rows of every test row, by squared Euclidean distance.
+                       test_block: int = TEST_BLOCK, max_train: int = MAX_TRAIN, seed: int = 0) -> DataFrame:
+    """Exact k nearest of the fitted training rows of every test row, by squared Euclidean distance.
 
-    Both sides are cut into blocks of bounded size and every block pair is one group, so memory per task
-    is bounded whatever the sizes. A block pair returns at most k rows per test row; the global k are
-    chosen from those.
+    At most ``max_train`` labelled rows are fitted, drawn in the order of a seeded digest of their id, so the matrix that
+    every task holds has a bound; test rows are compared where they lie, ``test_block`` at a time, and never shuffled.
     """
-    test_parts = max(1, math.ceil(test.count() / test_block))
-    train_parts = max(1, math.ceil(train.count() / train_block))
     row = lambda df: df.select(F.col(id_col).alias("id"), F.col(features).alias("features"), F.col(label).alias("label"))
-    block = lambda n: F.pmod(F.xxhash64("id"), F.lit(n))
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)).cast("array<bigint>"))
-    left = row(test).withColumn("tb", block(test_parts)).withColumn("rb", every(train_parts))
-    right = row(train).withColumn("rb", block(train_parts)).withColumn("tb", every(test_parts))
-    near = left.groupBy("tb", "rb").cogroup(right.groupBy("tb", "rb")).applyInPandas(
-        _nearest(k), "id bigint, distance double, neighbour bigint, neighbour_label int")
-    w = W.partitionBy("id").orderBy("distance", "neighbour")
-    return near.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    drawn = row(train).where("features IS NOT NULL").orderBy(seeded_digest(seed, "id"), "id").limit(max_train)
+    fitted = drawn.toPandas().sort_values("id")
+    kinds = {f.name: f.dataType.simpleString() for f in row(train).schema}
+    schema = f"id {row(test).schema['id'].dataType.simpleString()}, distance double, neighbour {kinds['id']}, neighbour_label {kinds['label']}, rank int"
+    if fitted.empty:
+        return test.sparkSession.createDataFrame([], schema)
+    matrix = np.stack(fitted["features"]).astype("float64")
+    find = _nearest(min(k, len(fitted)), fitted["id"].to_numpy(), matrix, fitted["label"].to_numpy(), test_block)
+    return row(test).where("features IS NOT NULL").mapInPandas(find, schema)
 
 
 def knn_classify(train: DataFrame, test: DataFrame, id_col: str, features: str, label: str, ks: list[int],

@@ -6,6 +6,9 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tablework.operators.ordered import fits, positions, rolling, running, shifted
 
+# Ids written out from one row of a gap.
+GAP_PIECE = 100_000
+
 
 def line_ids(df: DataFrame, order: list, prefix: Column, name: str, width: int = 6) -> DataFrame:
     """``prefix-000001`` ids over the whole table, numbered without a one-task window."""
@@ -98,12 +101,15 @@ def zero_runs(df: DataFrame, keys: list[str], order: list[str], value: str, **op
 
 
 def missing_ids(df: DataFrame, id_col: str) -> DataFrame:
-    """Ids between the lowest and the highest one that do not occur."""
-    low, high = df.agg(F.min(id_col), F.max(id_col)).first()
-    if low is None:
-        return df.select(id_col).limit(0)
-    return df.sparkSession.range(low, high + 1).withColumnRenamed("id", id_col).join(
-        df.select(id_col).distinct(), id_col, "left_anti")
+    """Ids between the lowest and the highest one that do not occur.
+
+    Only the gaps between neighbouring ids are written out, in pieces of ``GAP_PIECE`` ids.
+    """
+    present = df.where(F.col(id_col).isNotNull()).select(id_col).distinct()
+    gaps = shifted(present, [], [id_col], {"_next": (F.col(id_col), -1)}).where(F.col("_next") - F.col(id_col) > 1)
+    first, last = F.col(id_col) + 1, F.col("_next") - 1
+    pieces = gaps.select(F.explode(F.sequence(first, last, F.lit(GAP_PIECE).cast("bigint"))).alias("_from"), last.alias("_last"))
+    return pieces.select(F.explode(F.sequence("_from", F.least(F.col("_from") + GAP_PIECE - 1, F.col("_last")))).alias(id_col))
 
 
 def target_windows(df: DataFrame, keys: list[str], order: list[str], value: str, target,
@@ -112,8 +118,9 @@ def target_windows(df: DataFrame, keys: list[str], order: list[str], value: str,
 
     A window from i to j sums to the target when the sum before i plus the target equals the sum up to j.
     Starts and ends meet under that common number and a running count matches them, so the work is linear
-    and no list of pairs is produced.
+    and no list of pairs is produced. A null value counts as 0: its row can start, end or lie inside a window.
     """
+    df = df.withColumn(value, F.coalesce(value, F.lit(0)))
     # every row is one start and one end
     options = {"bounded": fits(df, keys, rows_per_row=2, group_rows=group_rows), "group_rows": group_rows}
     rows = running(df.select(*keys, *order, value), keys, order,

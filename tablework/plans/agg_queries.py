@@ -118,9 +118,12 @@ def days_to_event(spark, sf):
 
 @query("D-10", """
     SELECT p_brand, arg_max(p_partkey, (p_retailprice, -p_partkey)) AS dearest_id, max(p_retailprice) AS dearest,
-           arg_min(p_partkey, (p_size, p_partkey)) AS smallest_id, min(p_size) AS smallest FROM part GROUP BY 1""")
+           arg_min(p_partkey, (p_size, p_partkey)) FILTER (WHERE p_partkey % 7 > 0) AS smallest_id,
+           min(p_size) FILTER (WHERE p_partkey % 7 > 0) AS smallest FROM part GROUP BY 1""")
 def extreme_rows(spark, sf):
-    part = table(spark, sf, "part").select("p_brand", "p_partkey", "p_retailprice", "p_size")
+    """The size of every seventh part is unknown."""
+    part = table(spark, sf, "part").select(
+        "p_brand", "p_partkey", "p_retailprice", F.when(F.col("p_partkey") % 7 > 0, F.col("p_size")).alias("p_size"))
     rows = aggs.extreme_rows(part, ["p_brand"], {
         "high": ("p_retailprice", "p_partkey", "max"), "low": ("p_size", "p_partkey", "min")})
     return rows.select(
@@ -179,12 +182,11 @@ def first_distinct_keys(spark, sf):
 
 
 @query("D-15", """
-    SELECT o_custkey, CAST(0 AS BIGINT) AS page, count(*) AS values,
-           string_agg(o_orderpriority, ', ' ORDER BY d, k) AS joined FROM (
-      SELECT o_custkey, o_orderpriority, min((o_orderdate, o_orderkey))[1] AS d, min((o_orderdate, o_orderkey))[2] AS k
-      FROM orders GROUP BY 1, 2) GROUP BY 1""")
+    SELECT o_custkey, pos // 2 AS page, count(*) AS values, string_agg(o_orderpriority, ', ' ORDER BY pos) AS joined FROM (
+      SELECT o_custkey, o_orderpriority, row_number() OVER (PARTITION BY o_custkey ORDER BY min((o_orderdate, o_orderkey))) - 1 AS pos
+      FROM orders GROUP BY 1, 2) GROUP BY 1, 2""")
 def collect_first_seen(spark, sf):
-    lists = aggs.ordered_lists(table(spark, sf, "orders"), ["o_custkey"], "o_orderpriority", ["o_orderdate", "o_orderkey"])
+    lists = aggs.ordered_lists(table(spark, sf, "orders"), ["o_custkey"], "o_orderpriority", ["o_orderdate", "o_orderkey"], page_rows=2)
     return lists.select("o_custkey", "page", F.size("values").cast("bigint").alias("values"), F.array_join("values", ", ").alias("joined"))
 
 
@@ -216,9 +218,12 @@ def ratio_of_counts(spark, sf):
 
 
 @query("D-18", """
-    SELECT o_orderkey, o_custkey, o_orderstatus, count(*) OVER (PARTITION BY o_custkey, o_orderstatus) AS how_many FROM orders""")
+    SELECT o_orderkey, o_custkey, o_orderstatus, count(*) OVER (PARTITION BY o_custkey, o_orderstatus) AS how_many
+    FROM (SELECT * REPLACE (CASE WHEN o_custkey % 11 > 0 THEN o_custkey END AS o_custkey) FROM orders)""")
 def group_count_on_rows(spark, sf):
-    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    """Orders without customer are counted together."""
+    orders = table(spark, sf, "orders").select(
+        "o_orderkey", F.when(F.col("o_custkey") % 11 > 0, F.col("o_custkey")).alias("o_custkey"), "o_orderstatus")
     return with_group_value(orders, ["o_custkey", "o_orderstatus"], F.count(F.lit(1)).alias("how_many"))
 
 
@@ -248,10 +253,13 @@ def frequency_of_frequency(spark, sf):
 
 
 @query("D-22", """
-    WITH g AS (SELECT l_orderkey, coalesce(product(CASE WHEN l_linenumber <> 1 THEN l_linenumber - 1 END), 1) AS p,
-                      count(*) FILTER (WHERE l_linenumber = 1) AS z FROM lineitem GROUP BY 1)
+    WITH lines AS (SELECT * REPLACE (CASE WHEN l_orderkey % 1000 <> 7 THEN l_orderkey END AS l_orderkey) FROM lineitem),
+         g AS (SELECT l_orderkey, coalesce(product(CASE WHEN l_linenumber <> 1 THEN l_linenumber - 1 END), 1) AS p,
+                      count(*) FILTER (WHERE l_linenumber = 1) AS z FROM lines GROUP BY 1)
     SELECT l.l_orderkey, l.l_partkey, l.l_linenumber, CASE WHEN z = 0 THEN p / (l.l_linenumber - 1)
-      WHEN z = 1 AND l.l_linenumber = 1 THEN p ELSE 0 END::DOUBLE AS others FROM lineitem l JOIN g ON l.l_orderkey = g.l_orderkey""")
+      WHEN z = 1 AND l.l_linenumber = 1 THEN p ELSE 0 END::DOUBLE AS others FROM lines l JOIN g ON l.l_orderkey IS NOT DISTINCT FROM g.l_orderkey""")
 def product_of_others(spark, sf):
-    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber", (F.col("l_linenumber") - 1).alias("v"))
+    lines = table(spark, sf, "lineitem").select(
+        F.when(F.col("l_orderkey") % 1000 != 7, F.col("l_orderkey")).alias("l_orderkey"), "l_partkey", "l_linenumber",
+        (F.col("l_linenumber") - 1).alias("v"))
     return aggs.product_of_others(lines, ["l_orderkey"], "v", "others").drop("v")

@@ -80,10 +80,10 @@ def extract_with_default(spark, sf):
         rest=text.extract_or(line, text.LAST_PART, text.NOT_DEFINED)))
 
 
-@query("H8", "SELECT p_partkey, CAST(p_partkey * 1000 + p_size AS INTEGER) AS kilometres FROM part")
+@query("H8", "SELECT p_partkey, CAST(p_partkey AS BIGINT) * 10000000 + p_size AS kilometres FROM part")
 def strip_unit(spark, sf):
     """``1 234 km`` with blanks as thousands separators."""
-    km = F.col("p_partkey") * 1000 + F.col("p_size")
+    km = F.col("p_partkey") * 10_000_000 + F.col("p_size")
     written = F.concat(F.replace(F.format_number(km, 0), F.lit(","), F.lit(" ")), F.lit(" km"))
     return table(spark, sf, "part").select("p_partkey", text.strip_unit(written, "km").alias("kilometres"))
 
@@ -282,11 +282,20 @@ _MORSE_SQL = ", ".join(f"('{k}', '{v}')" for k, v in text.MORSE.items())
 
 @query("H26", f"""
     WITH c AS (SELECT p_partkey, unnest(string_split(upper(p_name), '')) AS ch, unnest(range(len(string_split(p_name, '')))) AS i FROM part)
-    SELECT c.p_partkey, string_agg(m.code, ' ' ORDER BY c.i) AS code FROM c JOIN (VALUES {_MORSE_SQL}) AS m(ch, code) ON c.ch = m.ch GROUP BY 1""")
+    SELECT c.p_partkey, string_agg(coalesce(m.code, c.ch), ' ' ORDER BY c.i) AS code
+    FROM c LEFT JOIN (VALUES {_MORSE_SQL}, (' ', '/')) AS m(ch, code) ON c.ch = m.ch GROUP BY 1""")
 def translate_characters(spark, sf):
+    """Every character of the name: letters to codes, blanks to a stroke, digits as they are."""
     return table(spark, sf, "part").select("p_partkey", text.translate_each(F.upper("p_name"), text.MORSE).alias("code"))
 
 
+@query("H26", "SELECT p_partkey, upper(p_name) AS name FROM part")
+def translate_back(spark, sf):
+    """Codes back to characters."""
+    coded = translate_characters(spark, sf)
+    return coded.select("p_partkey", text.translate_back("code", text.MORSE).alias("name"))
+
+
 NESTED_SQL = """CASE WHEN event_id % 3 = 0 THEN NULL ELSE event_id % 100 + 1 END"""
 
 

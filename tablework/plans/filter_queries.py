@@ -10,6 +10,7 @@ from tablework.functions.numbers import safe_div
 from tablework.operators import filters
 from tablework.plans.registry import query
 from tablework.session import table
+from tablework.sources.tables import staged
 
 
 @query("B1", """
@@ -167,7 +168,8 @@ def _labelled(spark, sf):
     SELECT CASE WHEN quality IS NULL THEN 'incomplete' ELSE 'complete' END AS part, lang, count(*) AS n
     FROM ({LABELLED}) GROUP BY 1, 2""")
 def split_complete_rows(spark, sf):
-    complete, incomplete = filters.split_complete(_labelled(spark, sf))
+    # both parts read the joined rows
+    complete, incomplete = filters.split_complete(staged(_labelled(spark, sf), "labelled"))
     both = complete.withColumn("part", F.lit("complete")).unionByName(incomplete.withColumn("part", F.lit("incomplete")))
     return both.groupBy("part", "lang").agg(F.count(F.lit(1)).alias("n"))
 
@@ -214,9 +216,9 @@ def search_equal(spark, sf):
     return table(spark, sf, "supplier").where(F.col("s_nationkey") == 7).select("s_suppkey", "s_name", "s_acctbal")
 
 
-@query("B22")
+@query("B22", "SELECT * FROM part ORDER BY md5('11-' || p_partkey), p_partkey LIMIT 5")
 def random_rows(spark, sf):
-    return filters.top_random(table(spark, sf, "part"), 5, seed=11)
+    return filters.top_random(table(spark, sf, "part"), 5, seed=11, key="p_partkey")
 
 
 @query("B23", """
@@ -224,8 +226,10 @@ def random_rows(spark, sf):
     WHERE year(o_orderdate) = (SELECT min(year(o_orderdate)) FROM orders)""")
 def filter_by_global_aggregate(spark, sf):
     orders = table(spark, sf, "orders")
-    first_year = orders.select(F.year(F.min("o_orderdate"))).scalar()
-    return orders.where(F.year("o_orderdate") == first_year).select("o_orderkey", "o_totalprice")
+    # the first year as dates, so that the filter is one on the stored column
+    start = orders.select(F.trunc(F.min("o_orderdate"), "year")).scalar()
+    end = orders.select(F.add_months(F.trunc(F.min("o_orderdate"), "year"), 12)).scalar()
+    return orders.where((F.col("o_orderdate") >= start) & (F.col("o_orderdate") < end)).select("o_orderkey", "o_totalprice")
 
 
 @query("B24", """

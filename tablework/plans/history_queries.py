@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from tablework.functions.dates import season
+from tablework.functions.dates import in_year, season
 from tablework.operators import history, ml
 from tablework.operators.reshape import stack
 from tablework.plans.registry import query
@@ -109,7 +109,7 @@ def update_delete_insert(spark, sf):
     FROM squads s JOIN n ON s.o_custkey = n.o_custkey LEFT JOIN t ON s.o_custkey = t.o_custkey GROUP BY 1, 2""")
 def latest_team_membership(spark, sf):
     orders = table(spark, sf, "orders").withColumnRenamed("o_orderpriority", "team")
-    squads = orders.where(F.year("o_orderdate") == 1998).groupBy("o_custkey", "team").agg(F.min("o_orderkey").alias("first_order"))
+    squads = orders.where(in_year("o_orderdate", 1998)).groupBy("o_custkey", "team").agg(F.min("o_orderkey").alias("first_order"))
     transfers = orders.where("o_orderstatus = 'F'")
     return history.latest_membership(squads, transfers, "o_custkey", "team", "o_orderdate", "o_orderkey", ["first_order"])
 
@@ -140,10 +140,10 @@ def membership_start_dates(spark, sf):
 @query("J9", f"""
     WITH a AS (SELECT o_custkey, {SEASON_SQL} AS season, arg_max(o_orderpriority, (o_orderdate, o_orderkey)) AS team,
                  arg_max(o_totalprice, (o_orderdate, o_orderkey)) FILTER (WHERE o_orderstatus = 'F') AS price FROM orders GROUP BY 1, 2)
-    SELECT c.c_custkey, coalesce(s.team, p.team) AS team, coalesce(s.price, p.price) AS price
+    SELECT c.c_custkey, CASE WHEN s.o_custkey IS NULL THEN p.team ELSE s.team END AS team, CASE WHEN s.o_custkey IS NULL THEN p.price ELSE s.price END AS price
     FROM customer c LEFT JOIN a s ON c.c_custkey = s.o_custkey AND s.season = 1999 LEFT JOIN a p ON c.c_custkey = p.o_custkey AND p.season = 1998""")
 def fill_from_earlier_season(spark, sf):
-    """Attributes of season 1999, from 1998 where missing (two tries)."""
+    """Attributes of season 1999, or all of them from 1998 when the player has no row for 1999 (two tries)."""
     at = F.struct("o_orderdate", "o_orderkey")
     seasons = table(spark, sf, "orders").groupBy(F.col("o_custkey").alias("c_custkey"), season("o_orderdate").alias("season")).agg(
         F.max_by("o_orderpriority", at).alias("team"),
@@ -154,12 +154,12 @@ def fill_from_earlier_season(spark, sf):
     return history.fill_from_candidates(customers, candidates, ["c_custkey"], ["team", "price"], "rank", tries=2)
 
 
-def _landed_events(spark, sf, parts):
+def _landed_events(spark, sf):
     """Events landed as several files; events before noon are delivered twice."""
     path = scratch_path(spark, "event_landing")
     events = table(spark, sf, "events")
     again = events.where(F.hour("ts") < 12)
-    events.unionByName(again).repartition(parts, "event_type", F.hour("ts")).write.parquet(path)
+    events.unionByName(again).repartition("event_type", F.to_date("ts"), F.hour("ts")).write.parquet(path)
     return path, events.schema
 
 
@@ -179,7 +179,7 @@ def stream_topics(spark, sf):
 
 @query("K2", "SELECT event_id, ts, user_id, event_type, value FROM events")
 def stream_unseen_ids(spark, sf):
-    path, schema = _landed_events(spark, sf, 4)
+    path, schema = _landed_events(spark, sf)
     out = scratch_path(spark, "unseen")
     stream = ingest.read_files(spark, path, schema, files_per_batch=2)
     ingest.append_unseen(stream, ["event_id"], ["ts"], out, f"{out}-checkpoint").awaitTermination()
@@ -188,7 +188,7 @@ def stream_unseen_ids(spark, sf):
 
 @query("K3", "SELECT user_id, max(value) AS highest FROM events GROUP BY 1")
 def stream_running_max(spark, sf):
-    path, schema = _landed_events(spark, sf, 4)
+    path, schema = _landed_events(spark, sf)
     out = scratch_path(spark, "highest")
     stream = ingest.read_files(spark, path, schema, files_per_batch=2)
     ingest.running_max(stream, ["user_id"], "value", out, f"{out}-checkpoint").awaitTermination()
@@ -232,16 +232,22 @@ def _split_sql(rel, label, key, seed):
         floor(count(*) OVER (PARTITION BY {label}) * 0.7::DOUBLE + 0.5) THEN 'train' ELSE 'test' END AS part FROM {rel}"""
 
 
-@query("L4", f"SELECT doc_id, quality, part FROM ({_split_sql('labels', 'quality', 'doc_id', 101)})")
+_QUALITY_SQL = "(SELECT doc_id, CASE WHEN doc_id % 11 > 0 THEN quality END AS quality FROM labels)"
+
+
+@query("L4", f"SELECT doc_id, quality, part FROM ({_split_sql(_QUALITY_SQL, 'quality', 'doc_id', 101)})")
 def stratified_split(spark, sf):
-    return ml.stratified_split(table(spark, sf, "labels").select("doc_id", "quality"), "quality", "doc_id", 0.7, seed=101)
+    """Rows without label are a stratum."""
+    labels = table(spark, sf, "labels").select("doc_id", F.when(F.col("doc_id") % 11 > 0, F.col("quality")).alias("quality"))
+    return ml.stratified_split(labels, "quality", "doc_id", 0.7, seed=101)
 
 
 @query("L5", f"""
     WITH s AS ({_split_sql('embeddings', 'label', 'vec_id', 7)}),
     d AS (SELECT t.vec_id, t.label, r.vec_id AS n, r.label AS nl,
             round(list_sum(list_transform(list_zip(t.embedding, r.embedding), lambda z: (CAST(z[1] AS DOUBLE) - CAST(z[2] AS DOUBLE)) * (CAST(z[1] AS DOUBLE) - CAST(z[2] AS DOUBLE)))), 9) AS dist
-          FROM s t, s r WHERE t.part = 'test' AND r.part = 'train'),
+          FROM s t, (SELECT * FROM s WHERE part = 'train' QUALIFY row_number() OVER (ORDER BY md5('0-' || vec_id), vec_id) <= {ml.MAX_TRAIN}) r
+          WHERE t.part = 'test'),
     k AS (SELECT vec_id, label, nl, row_number() OVER (PARTITION BY vec_id ORDER BY dist, n) AS rank FROM d),
     v AS (SELECT vec_id, label, ks.k, nl, count(*) AS c, min(rank) AS f FROM k JOIN (SELECT unnest(range(1, 11)) AS k) ks ON rank <= ks.k GROUP BY ALL),
     p AS (SELECT vec_id, label, k, arg_max(nl, (c, -f)) AS predicted FROM v GROUP BY ALL)

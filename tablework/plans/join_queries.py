@@ -88,20 +88,27 @@ def _quarterly(orders):
 
 
 @query("C5 H14", """
-    WITH q AS (SELECT o_custkey, last_day(date_trunc('quarter', o_orderdate) + INTERVAL 2 MONTH) AS quarter,
+    WITH q AS (SELECT CASE WHEN o_custkey % 11 > 0 THEN o_custkey END AS o_custkey,
+                      last_day(date_trunc('quarter', o_orderdate) + INTERVAL 2 MONTH) AS quarter,
                       round(sum(o_totalprice), 2) AS revenue FROM orders GROUP BY 1, 2)
     SELECT a.o_custkey, a.quarter, a.revenue, b.quarter AS last_quarter, b.revenue AS last_revenue
     FROM q a LEFT JOIN q b ON a.o_custkey = b.o_custkey AND last_day(b.quarter + INTERVAL 12 MONTH) = a.quarter""")
 def year_earlier_join(spark, sf):
-    return joins.year_over_year(_quarterly(_t(spark, sf, "orders")), ["o_custkey"], "quarter", ["revenue"])
+    """Some customers are unknown (null): their quarters are compared with nothing."""
+    orders = _t(spark, sf, "orders").withColumn("o_custkey", F.when(F.col("o_custkey") % 11 > 0, F.col("o_custkey")))
+    return joins.year_over_year(_quarterly(orders), ["o_custkey"], "quarter", ["revenue"])
 
 
 @query("C6", """
+    WITH e AS (SELECT event_id, event_type, value, CASE WHEN event_id % 11 > 0 THEN user_id END AS user_id,
+                      CASE WHEN event_id % 13 > 0 THEN ts END AS ts FROM events)
     SELECT p.user_id, p.event_id, p.ts, c.event_id AS click_id, c.ts AS click_ts, c.value AS click_value
-    FROM (SELECT * FROM events WHERE event_type = 'purchase') p
-    ASOF LEFT JOIN (SELECT * FROM events WHERE event_type = 'click') c ON p.user_id = c.user_id AND p.ts >= c.ts""")
+    FROM (SELECT * FROM e WHERE event_type = 'purchase') p
+    ASOF LEFT JOIN (SELECT * FROM e WHERE event_type = 'click' AND ts IS NOT NULL) c ON p.user_id = c.user_id AND p.ts >= c.ts""")
 def asof_join(spark, sf):
-    events = _t(spark, sf, "events")
+    """Some events have no user or no time: they match nothing."""
+    events = _t(spark, sf, "events").withColumns({
+        "user_id": F.when(F.col("event_id") % 11 > 0, F.col("user_id")), "ts": F.when(F.col("event_id") % 13 > 0, F.col("ts"))})
     purchases = events.where("event_type = 'purchase'").select("user_id", "event_id", "ts")
     clicks = events.where("event_type = 'click'").select(
         "user_id", F.col("event_id").alias("click_id"), F.col("ts").alias("click_ts"), F.col("value").alias("click_value"))
@@ -166,10 +173,15 @@ def anti_join(spark, sf):
 
 
 @query("C11 F6", """
-    SELECT doc_id, lang, n_chars FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)""")
+    SELECT doc_id, lang, min(n_chars) AS n_chars FROM (
+      SELECT doc_id, lang, n_chars FROM documents UNION ALL SELECT doc_id, lang, n_chars - 1 FROM documents WHERE doc_id % 5 = 0)
+    WHERE doc_id NOT IN (SELECT doc_id FROM labels) GROUP BY 1, 2""")
 def new_ids_only(spark, sf):
+    """Every fifth document arrives twice."""
     documents, labels = _t(spark, sf, "documents", "labels")
-    return joins.new_rows(documents.select("doc_id", "lang", "n_chars"), labels, ["doc_id"])
+    once = documents.select("doc_id", "lang", "n_chars")
+    again = once.where("doc_id % 5 = 0").withColumn("n_chars", F.col("n_chars") - 1)
+    return joins.new_rows(once.unionByName(again), labels, ["doc_id"])
 
 
 @query("C12", """
@@ -183,10 +195,12 @@ def first_appearance(spark, sf):
 
 @query("C13", """
     SELECT o_orderkey, o_custkey, o_totalprice FROM (
-      SELECT *, max(o_orderdate) OVER (PARTITION BY o_custkey) AS d FROM orders) WHERE o_orderdate = d""")
+      SELECT *, max(o_orderdate) OVER (PARTITION BY o_custkey) AS d
+      FROM (SELECT * REPLACE (CASE WHEN o_custkey % 11 > 0 THEN o_custkey END AS o_custkey) FROM orders)) WHERE o_orderdate = d""")
 def join_group_maximum(spark, sf):
-    """Every order of a customer's last ordering day."""
-    orders = _t(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
+    """Every order of a customer's last ordering day; orders without customer are a group."""
+    orders = _t(spark, sf, "orders").select(
+        "o_orderkey", F.when(F.col("o_custkey") % 11 > 0, F.col("o_custkey")).alias("o_custkey"), "o_totalprice", "o_orderdate")
     return joins.with_group_value(orders, ["o_custkey"], F.max("o_orderdate").alias("d")).where(
         "o_orderdate = d").drop("o_orderdate", "d")
 
@@ -218,11 +232,12 @@ def zip_join_files(spark, sf):
 
 
 @query("C16", """
-    SELECT o_custkey, CAST(0 AS BIGINT) AS page, string_agg(CAST(o_orderkey AS VARCHAR), chr(10) ORDER BY o_orderdate, o_orderkey) AS joined,
-           count(*) AS values FROM orders GROUP BY 1""")
+    SELECT o_custkey, pos // 8 AS page, string_agg(CAST(o_orderkey AS VARCHAR), chr(10) ORDER BY pos) AS joined, count(*) AS values FROM (
+      SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) - 1 AS pos FROM orders)
+    GROUP BY 1, 2""")
 def lookup_all_matches(spark, sf):
     orders = _t(spark, sf, "orders").select("o_custkey", "o_orderkey", "o_orderdate")
-    return joins.matches_per_key(orders, ["o_custkey"], "o_orderkey", ["o_orderdate", "o_orderkey"])
+    return joins.matches_per_key(orders, ["o_custkey"], "o_orderkey", ["o_orderdate", "o_orderkey"], page_rows=8)
 
 
 @query("C17", """

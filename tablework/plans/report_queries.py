@@ -154,14 +154,17 @@ def default_profile(spark, sf):
     return reports.default_profile(_account_rows(spark, sf))
 
 
-@query("R3 D-17", f"""
+def _deviation_sql(start, end):
+    return f"""
     WITH {PROFILE_SQL},
     a AS (SELECT count(*) AS n FROM orders JOIN profile ON o_orderkey = account
-          WHERE first_date BETWEEN DATE '1997-07-01' AND DATE '1997-12-31' AND o_orderpriority IN ('1-URGENT', '2-HIGH')),
+          WHERE first_date BETWEEN DATE '{start}' AND DATE '{end}' AND o_orderpriority IN ('1-URGENT', '2-HIGH')),
     b AS (SELECT count(*) AS m FROM orders JOIN profile ON o_orderkey = account
-          WHERE o_orderstatus = 'F' AND CAST(o_orderdate AS DATE) - first_date < 1 AND year(o_orderdate) = 1997 AND month(o_orderdate) BETWEEN 7 AND 12)
-    SELECT n AS deviations, m AS started, round(n::DOUBLE / nullif(m, 0), 8) AS share FROM a, b""")
-def deviation_share(spark, sf):
+          WHERE o_orderstatus = 'F' AND CAST(o_orderdate AS DATE) - first_date < 1 AND CAST(o_orderdate AS DATE) BETWEEN DATE '{start}' AND DATE '{end}')
+    SELECT n AS deviations, m AS started, round(n::DOUBLE / nullif(m, 0), 8) AS share FROM a, b"""
+
+
+def _deviation_share(spark, sf, start, end):
     rows = _account_rows(spark, sf)
     orders = table(spark, sf, "orders")
     details = orders.select(F.col("o_orderkey").alias("account"),
@@ -170,11 +173,25 @@ def deviation_share(spark, sf):
         F.col("o_orderkey").alias("account"), F.col("o_orderdate").alias("audit"),
         F.when(F.col("o_orderstatus") == "F", "T").otherwise("N").alias("started"))
     first_seen = staged(reports.default_profile(rows).select("account", "first_date"), "first_seen")
-    shares = reports.deviation_share(details, applications, first_seen,
-                                     datetime.date(1997, 7, 1), datetime.date(1997, 12, 31))
+    shares = reports.deviation_share(details, applications, first_seen, start, end)
     return shares.withColumn("share", F.round("share", 8))
 
 
+HALF_YEAR = (datetime.date(1997, 7, 1), datetime.date(1997, 12, 31))
+OVER_NEW_YEAR = (datetime.date(1997, 11, 15), datetime.date(1998, 2, 20))
+
+
+@query("R3 D-17", _deviation_sql(*HALF_YEAR))
+def deviation_share(spark, sf):
+    return _deviation_share(spark, sf, *HALF_YEAR)
+
+
+@query("R3", _deviation_sql(*OVER_NEW_YEAR))
+def deviation_share_over_new_year(spark, sf):
+    """A period that begins in one year and ends in the next."""
+    return _deviation_share(spark, sf, *OVER_NEW_YEAR)
+
+
 @query("R4", f"""
     WITH {STATEMENTS_SQL},{EXPOSURES_SQL},
     c AS (SELECT o_custkey AS account, CAST(o_orderdate AS DATE) AS date, CASE WHEN o_orderstatus = 'P' THEN 1 ELSE 0 END AS defaulted,
@@ -354,7 +371,7 @@ def main_row_per_group(spark, sf):
     SELECT p_partkey AS listing_id, p_name AS notice_name, 'https://x.example/' || p_partkey AS link,
            CASE WHEN p_size % 4 = 0 THEN 'NOT SPECIFIED' ELSE p_size || ' 998 cm3' END AS engine_capacity,
            CASE WHEN p_size % 6 = 0 THEN 'NOT SPECIFIED' ELSE '1' || p_size || ' KM' END AS engine_power, 'ąć ' || p_type AS rest,
-           CAST(p_size * 1000 AS INTEGER) AS price, CAST(p_partkey % 90 * 1000 + 7 AS INTEGER) AS mileage, 'benzyna' AS fuel_type, p_brand AS gearbox,
+           CAST(p_size * 1000 AS BIGINT) AS price, CAST(p_partkey % 90 * 1000 + 7 AS BIGINT) AS mileage, 'benzyna' AS fuel_type, p_brand AS gearbox,
            CAST(2000 + p_size % 20 AS INTEGER) AS production_year,
            CASE p_partkey % 3 WHEN 0 THEN TIMESTAMP '2025-01-09 12:00:00' WHEN 1 THEN TIMESTAMP '2025-01-10 12:00:00' - to_minutes(p_size) END AS when_added FROM part""")
 def listing_ingest(spark, sf):

@@ -158,8 +158,8 @@ def deviation_share(details: DataFrame, applications: DataFrame, first_seen: Dat
     first = top_rows(applications, ["account"], [F.col("audit").asc_nulls_last(), F.col("started").desc_nulls_last()])
     days = (F.unix_date(F.to_date("audit")) - F.unix_date("first_date")).cast("double")
     started = first.join(first_seen, "account").where(
-        (F.col("started") == "T") & (days < 1) & (F.year("audit") == start.year)
-        & F.month("audit").between(start.month, end.month))
+        (F.col("started") == "T") & (days < 1) & (F.col("audit") >= F.lit(start))
+        & (F.col("audit") < F.lit(end + datetime.timedelta(days=1))))
     above = risky.agg(F.count(F.lit(1)).alias("n"))
     below = started.agg(F.count("account").alias("m"))
     return above.select(F.col("n").alias("deviations"), below.scalar().alias("started")).withColumn(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tablework.functions.dates import in_year
 from tablework.plans.registry import query
 from tablework.session import scratch_path, table
 from tablework.sources import delimited, html, landed, tables
@@ -195,7 +196,7 @@ def reuse_staged_season(spark, sf):
     orders = table(spark, sf, "orders")
 
     def build():
-        return orders.where(F.year("o_orderdate") == 1997)
+        return orders.where(in_year("o_orderdate", 1997))
 
     def refuse():
         raise AssertionError("stage was not reused")
@@ -227,10 +228,13 @@ def literal_rows(spark, sf):
     return customers.join(literal, F.col("c_mktsegment") == F.col("segment")).select("c_custkey", "team", "bonus")
 
 
-@query("A22")
+@query("A22", """
+    SELECT p_partkey, CAST(('0x' || md5('7-' || p_partkey)[1:12])::BIGINT % 6 + 1 AS INTEGER) AS die,
+           CAST(('0x' || md5('8-' || p_partkey)[1:12])::BIGINT % 10 AS INTEGER) AS digit FROM part""")
 def random_numbers(spark, sf):
     parts = table(spark, sf, "part").select("p_partkey")
-    return tables.random_integers(tables.random_integers(parts, "die", 1, 6, seed=7), "digit", 0, 9, seed=8)
+    return tables.random_integers(
+        tables.random_integers(parts, "die", 1, 6, seed=7, key="p_partkey"), "digit", 0, 9, seed=8, key="p_partkey")
 
 
 @query("A23", """

@@ -34,14 +34,17 @@ def read_items(spark: SparkSession, path: str, schema: str, array: str, tag_patt
     )
 
 
-def kv_map(line: Column | str) -> Column:
-    return F.str_to_map(F.col(line) if isinstance(line, str) else line, F.lit(LOG_PAIR_SEP), F.lit(LOG_VALUE_SEP))
+def kv_pairs(line: Column | str) -> Column:
+    """Key and value of each pair of a line, in order."""
+    parts = F.transform(F.split(line, LOG_PAIR_SEP), lambda p: F.split(p, LOG_VALUE_SEP, 2))
+    return F.transform(parts, lambda p: F.struct(F.get(p, F.lit(0)).alias("k"), F.get(p, F.lit(1)).alias("v")))
 
 
 def read_kv_log(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
-    """Log lines to one column per key; a key missing from a line gives null."""
-    pairs = spark.read.text(path).select(kv_map("value").alias("kv"))
-    return pairs.select(*[F.trim(F.col("kv").getItem(k)).alias(k) for k in keys])
+    """Log lines to one column per key; a key missing from a line gives null, of a repeated one the last counts."""
+    pairs = spark.read.text(path).select(kv_pairs("value").alias("kv"))
+    last = lambda k: F.try_element_at(F.filter("kv", lambda p: p["k"] == k), F.lit(-1))["v"]
+    return pairs.select(*[F.trim(last(k)).alias(k) for k in keys])
 
 
 def latest_per(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:

@@ -52,15 +52,10 @@ def stage_path(root: str, name: str, **params) -> str:
     return "/".join([root, name, *[f"{k}={v}" for k, v in params.items()]])
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    try:
-        # an absent stage fails at analysis, before any data is read
-        spark.read.parquet(path).schema
-        return True
-    except Exception as error:
-        if "PATH_NOT_FOUND" in str(error) or "UNABLE_TO_INFER_SCHEMA" in str(error):
-            return False
-        raise
+def _complete(spark: SparkSession, path: str) -> bool:
+    """Was the stage written to the end? Spark leaves its commit marker last; half a stage has none."""
+    marker = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker)
 
 
 def stage(df: DataFrame, root: str, name: str, mode: str = "overwrite", **params) -> DataFrame:
@@ -71,9 +66,9 @@ def stage(df: DataFrame, root: str, name: str, mode: str = "overwrite", **params
 
 
 def reuse_or_build(spark: SparkSession, root: str, name: str, build: Callable[[], DataFrame], **params) -> DataFrame:
-    """Read the stage when it exists, otherwise build and write it."""
+    """Read the stage when it is complete, otherwise build and write it."""
     path = stage_path(root, name, **params)
-    return spark.read.parquet(path) if _exists(spark, path) else stage(build(), root, name, **params)
+    return spark.read.parquet(path) if _complete(spark, path) else stage(build(), root, name, **params)
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
@@ -89,6 +84,12 @@ def billing_periods(clients: DataFrame, client: str, periods: str, prefix: str =
     return numbers.select(period.alias("billingperiod"), F.col(client).alias("client_id"))
 
 
-def random_integers(df: DataFrame, name: str, low: int, high: int, seed: int) -> DataFrame:
-    """Add uniform integers in [low, high], repeatable for a seed and a partitioning."""
-    return df.withColumn(name, F.floor(F.rand(seed) * (high - low + 1)).cast("int") + low)
+def seeded_digest(seed: int, key: str) -> Column:
+    """Text that orders rows at random, the same for a seed and a key wherever the row lies."""
+    return F.md5(F.concat(F.lit(f"{seed}-"), F.coalesce(F.col(key).cast("string"), F.lit("null"))))
+
+
+def random_integers(df: DataFrame, name: str, low: int, high: int, seed: int, key: str) -> DataFrame:
+    """Add uniform integers in [low, high] that follow from the seed and the row's key, whatever the partitioning."""
+    number = F.conv(F.substring(seeded_digest(seed, key), 1, 12), 16, 10).cast("bigint")
+    return df.withColumn(name, (F.pmod(number, F.lit(high - low + 1)) + low).cast("int"))

@@ -41,28 +41,41 @@ def route_topics(messages: DataFrame, topic: str, path: str, checkpoint: str) ->
     )
 
 
-def _stored_before(spark: SparkSession, path: str, schema, batch: int) -> DataFrame | None:
-    """Rows of earlier batches only, so that a repeated batch does not meet its own first attempt."""
-    if batch == 0:
+def _run_of(spark: SparkSession, checkpoint: str) -> str:
+    """Id of the stream, which lives as long as its checkpoint: a new checkpoint is a new run, a restart is not."""
+    return spark.read.json(f"{checkpoint}/metadata").first()["id"]
+
+
+def _batch_path(path: str, run: str, batch: int) -> str:
+    return f"{path}/run={run}/batch={batch}"
+
+
+def _stored_before(spark: SparkSession, path: str, schema, run: str, batch: int) -> DataFrame | None:
+    """Rows of other runs and of earlier batches, so that a repeated batch does not meet its own first attempt."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
         return None
-    return spark.read.schema(schema).parquet(path).where(F.col("batch") < batch)
+    return spark.read.schema(schema).parquet(path).where((F.col("run") != run) | (F.col("batch") < batch))
 
 
 def append_unseen(stream: DataFrame, keys: list[str], order: list[str], path: str, checkpoint: str) -> StreamingQuery:
     """Write only rows whose key was not stored by an earlier batch; the first row wins inside a batch.
 
-    All keys ever stored are compared, so nothing is accepted twice. Each batch owns the partition
-    ``batch=<id>`` and overwrites it when it is retried.
+    All keys ever stored are compared, those of other runs as well, so nothing is accepted twice. Each batch owns the
+    folder ``run=<stream id>/batch=<id>`` and overwrites it when it is retried; a stream that starts anew on a filled
+    store, with batch 0 of a new checkpoint, writes beside the stored rows. A null key is a key like any other.
     """
     rest = [c for c in stream.columns if c not in keys]
-    schema = T.StructType([*stream.schema.fields, T.StructField("batch", T.LongType())])
+    schema = T.StructType([*stream.schema.fields, T.StructField("run", T.StringType()), T.StructField("batch", T.LongType())])
 
     def write(rows: DataFrame, batch: int):
         unique = rows.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.struct(*order)).alias("_r")).select(*keys, "_r.*")
-        stored = _stored_before(rows.sparkSession, path, schema, batch)
+        run = _run_of(rows.sparkSession, checkpoint)
+        stored = _stored_before(rows.sparkSession, path, schema, run, batch)
         if stored is not None:
-            unique = unique.join(stored.select(*keys), keys, "left_anti")
-        unique.write.mode("overwrite").parquet(f"{path}/batch={batch}")
+            known = stored.select(*[F.col(k).alias(f"_known_{k}") for k in keys])
+            unique = unique.join(known, [F.col(k).eqNullSafe(F.col(f"_known_{k}")) for k in keys], "left_anti")
+        unique.write.mode("overwrite").parquet(_batch_path(path, run, batch))
 
     return (
         stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
@@ -76,11 +89,11 @@ def unseen_within(stream: DataFrame, keys: list[str], time: str, horizon: str) -
 
 
 def running_max(stream: DataFrame, keys: list[str], value: str, path: str, checkpoint: str) -> StreamingQuery:
-    """Keep the maximum per key as state; every batch writes the keys whose maximum it touched."""
+    """Keep the maximum per key as state; every batch writes the keys whose maximum it touched, below its run."""
     highest = stream.groupBy(*keys).agg(F.max(value).alias("highest"))
 
     def write(rows: DataFrame, batch: int):
-        rows.write.mode("overwrite").parquet(f"{path}/batch={batch}")
+        rows.write.mode("overwrite").parquet(_batch_path(path, _run_of(rows.sparkSession, checkpoint), batch))
 
     return (
         highest.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint)
@@ -89,6 +102,6 @@ def running_max(stream: DataFrame, keys: list[str], value: str, path: str, check
 
 
 def current(spark: SparkSession, path: str, schema: str, keys: list[str], value: Column) -> DataFrame:
-    """Latest state of a per-batch result: the row of the highest batch per key."""
-    rows = spark.read.schema(f"{schema}, batch bigint").parquet(path)
-    return rows.groupBy(*keys).agg(F.max_by(value, "batch").alias("highest"))
+    """State of a running maximum over all batches and runs: it only grows, so the largest row per key counts."""
+    rows = spark.read.schema(f"{schema}, run string, batch bigint").parquet(path)
+    return rows.groupBy(*keys).agg(F.max(value).alias("highest"))

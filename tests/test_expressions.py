@@ -109,3 +109,14 @@ def test_product_of_others_zero_rules(spark):
     df = spark.createDataFrame([(1, 2), (1, 3), (1, 4), (2, 0), (2, 5), (3, 0), (3, 0), (3, 7), (4, 6)], "k int, v int")
     out = {(r["k"], r["v"]): r["p"] for r in aggs.product_of_others(df, ["k"], "v", "p").collect()}
     assert out == {(1, 2): 12, (1, 3): 8, (1, 4): 6, (2, 0): 5, (2, 5): 0, (3, 0): 0, (3, 7): 0, (4, 6): 1}
+
+
+def test_years_of_any_width_and_large_numbers(one):
+    assert one(dates.try_date("t", "d.M.y"), t="14.6.2023") == datetime.date(2023, 6, 14)
+    assert one(text.strip_unit("t", "km"), t="3 000 000 000 km") == 3_000_000_000
+
+
+def test_codes_keep_every_character(one):
+    coded = text.translate_each("t", text.MORSE)
+    assert one(coded, t="AB 7") == ".- -... / 7"
+    assert one(text.translate_back(coded, text.MORSE), t="COLD WIDGET 7") == "COLD WIDGET 7"

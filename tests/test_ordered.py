@@ -132,7 +132,7 @@ def test_knn_in_blocks_equals_brute_force(spark):
     points = [(i, [float(x) for x in rng.integers(0, 4, 3)], int(i % 3)) for i in range(200)]
     df = spark.createDataFrame(points, "id bigint, x array<float>, y int")
     test, train = df.where("id < 40"), df.where("id >= 40")
-    near = ml.nearest_neighbours(train, test, "id", "x", "y", 5, test_block=16, train_block=32)
+    near = ml.nearest_neighbours(train, test, "id", "x", "y", 5, test_block=16)
     found = {}
     for r in near.collect():
         found.setdefault(r["id"], {})[r["rank"]] = r["neighbour"]
@@ -151,9 +151,18 @@ def test_linear_model_equals_least_squares(spark):
     assert [model.intercept, *model.coefficients] == pytest.approx(list(expected))
 
 
-def test_category_index_by_join_equals_indexer(spark, rows):
-    df = spark.createDataFrame([(i, "abcab"[i % 5]) for i in range(50)], "id int, c string")
-    small = ml.encode_categories(df, ["c"])
-    large = ml.encode_categories(df, ["c"], max_categories=1)
-    assert rows(small.select("id", "c_index")) == rows(large.select("id", "c_index"))
-    assert rows(small.select("id", "c_hot")) == rows(large.select("id", "c_hot"))
+def test_knn_fits_a_bounded_number_of_rows(spark):
+    points = [(i, [float(i)], i) for i in range(50)] + [(50, None, 1), (51, [7.0], None)]
+    df = spark.createDataFrame(points, "id bigint, x array<double>, y int")
+    near = ml.nearest_neighbours(df, df, "id", "x", "y", 3, max_train=10).collect()
+    assert len({r["neighbour"] for r in near}) <= 10 and len(near) == 51 * 3
+    assert near == ml.nearest_neighbours(df.repartition(3), df, "id", "x", "y", 3, max_train=10).collect()
+    assert ml.nearest_neighbours(df.limit(0), df, "id", "x", "y", 3).count() == 0
+
+
+def test_category_index_and_slots(spark):
+    df = spark.createDataFrame([(i, "abca"[i % 4] if i % 10 else None) for i in range(50)], "id int, c string")
+    got = {r["c"]: (r["c_index"], r["c_hot"].indices.tolist()) for r in ml.encode_categories(df, ["c"]).collect()}
+    counts = df.groupBy("c").count().collect()
+    order = sorted(counts, key=lambda r: (-r["count"], r["c"] is None, r["c"] or ""))
+    assert got == {r["c"]: (float(i), [i]) for i, r in enumerate(order)}

@@ -228,6 +228,49 @@ def test_unseen_ids_across_restarts(spark, rows):
     assert run() == sorted([(i,) for i in range(15)], key=str)
 
 
+def test_a_new_checkpoint_keeps_what_is_stored(spark, rows):
+    """A stream that starts anew on a filled store, with batch 0, loses neither stored nor new rows."""
+    path, out, top = (scratch_path(spark, n) for n in ("in", "out", "top"))
+    schema = "id bigint, at bigint"
+
+    def run(values, name):
+        folder = f"{path}/{name}"
+        spark.createDataFrame(values, schema).coalesce(1).write.parquet(folder)
+        stream = ingest.read_files(spark, folder, schema)
+        ingest.append_unseen(stream, ["id"], ["at"], out, f"{out}-{name}").awaitTermination()
+        stream = ingest.read_files(spark, folder, schema)
+        ingest.running_max(stream, ["id"], "at", top, f"{top}-{name}").awaitTermination()
+
+    run([(i, i) for i in range(10)] + [(None, 1)], "first")
+    run([(3, 1), (11, 5), (12, 6), (None, 2)], "second")
+    assert rows(spark.read.schema(schema).parquet(out).select("id")) == sorted([(i,) for i in [*range(10), 11, 12, None]], key=str)
+    state = ingest.current(spark, top, "id bigint, highest bigint", ["id"], F.col("highest"))
+    assert dict(state.where("id IN (3, 11)").collect()) == {3: 3, 11: 5}
+
+
+def test_half_a_stage_is_built_again(spark):
+    import os
+
+    root, build = scratch_path(spark, "stages"), lambda: spark.range(5)
+    assert tables.reuse_or_build(spark, root, "ids", lambda: spark.range(3), part=1).count() == 3
+    os.remove(f"{root.removeprefix('file:')}/ids/part=1/_SUCCESS")
+    assert tables.reuse_or_build(spark, root, "ids", build, part=1).count() == 5
+
+
+def test_last_of_a_repeated_key_counts(spark, rows):
+    path = scratch_path(spark, "log")
+    spark.createDataFrame([("a ? 1|b ? 2|a ? 3",), ("b ? x ? y",), ("",)], "value string").write.text(path)
+    assert rows(landed.read_kv_log(spark, path, ["a", "b"])) == sorted([("3", "2"), (None, "x ? y"), (None, None)], key=str)
+
+
+def test_leap_days_and_null_keys_a_year_later(spark):
+    day = lambda t: None if t is None else datetime.date.fromisoformat(t)
+    data = [(1, "2024-02-28", 1), (1, "2024-02-29", 2), (1, "2025-02-28", 3), (None, "2024-03-31", 4), (None, "2025-03-31", 5), (2, None, 6)]
+    df = spark.createDataFrame([(k, day(d), v) for k, d, v in data], "k int, d date, v int")
+    got = {r["v"]: r["last_v"] for r in joins.year_over_year(df, ["k"], "d", ["v"]).collect()}
+    assert got == {1: None, 2: None, 3: 2, 4: None, 5: None, 6: None}
+
+
 def test_unseen_within_a_horizon(spark, rows):
     path, out = scratch_path(spark, "in"), scratch_path(spark, "out")
     at = lambda i: F.timestamp_seconds(F.lit(1_700_000_000) + i)
