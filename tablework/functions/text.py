@@ -80,28 +80,50 @@ def repair_utf8(c: Column | str) -> Column:
     return F.when(latin_only, F.when(F.is_valid_utf8(again), again).otherwise(c)).otherwise(c)
 
 
+_WHOLE_URL = r"^([^?#]*)(?:\?([^#]*))?(#.*)?$"
+
+
+def _decoded(text: Column) -> Column:
+    """Percent codes and plus signs undone; what is wrongly encoded stays as it is."""
+    return F.coalesce(F.try_url_decode(text), text)
+
+
+def _pairs(url: Column) -> Column:
+    return F.filter(F.split(F.regexp_extract(url, _WHOLE_URL, 2), "&"), lambda p: p != "")
+
+
+def _name(pair: Column) -> Column:
+    return _decoded(F.substring_index(pair, "=", 1))
+
+
 def url_get(url: Column | str, name: str) -> Column:
-    """Value of a query parameter; null when it is missing."""
-    return F.try_parse_url(_col(url), F.lit("QUERY"), F.lit(name))
+    """Decoded value of a query parameter (the first of that name); null when it is missing."""
+    pair = F.get(F.filter(_pairs(_col(url)), lambda p: _name(p) == name), F.lit(0))
+    return _decoded(F.when(pair.contains("="), F.substr(pair, F.instr(pair, "=") + 1, F.length(pair))).otherwise(F.when(pair.isNotNull(), "")))
 
 
 def url_set(url: Column | str, name: str, value: Column | str) -> Column:
-    """Replace a query parameter where it stands, or append it."""
+    """Replace a query parameter where it stands, or append it; name and value are encoded."""
     url = _col(url)
-    value = F.lit(value) if isinstance(value, str) else value
-    whole = r"^([^?#]*)(?:\?([^#]*))?(#.*)?$"
-    base, asked, fragment = (F.regexp_extract(url, whole, i) for i in (1, 2, 3))
-    pair = F.concat(F.lit(name + "="), value)
-    pairs = F.filter(F.split(asked, "&"), lambda p: p != "")
-    at = F.array_position(F.transform(pairs, lambda p: F.substring_index(p, "=", 1)), name)
-    replaced = F.transform(
-        F.filter(pairs, lambda p, i: (F.substring_index(p, "=", 1) != name) | (i == at - 1)),
-        lambda p: F.when(F.substring_index(p, "=", 1) == name, pair).otherwise(p),
-    )
-    pairs = F.when(at > 0, replaced).otherwise(F.array_append(pairs, pair))
+    value = F.lit(value) if isinstance(value, str) else value.cast("string")
+    base, fragment = F.regexp_extract(url, _WHOLE_URL, 1), F.regexp_extract(url, _WHOLE_URL, 3)
+    pair = F.concat(F.url_encode(F.lit(name)), F.lit("="), F.url_encode(value))
+    pairs = _pairs(url)
+    at = F.array_position(F.transform(pairs, _name), name)
+    # the first of that name is replaced, others are dropped; names before it differ by definition
+    before = F.slice(pairs, F.lit(1), F.greatest(at.cast("int") - 1, F.lit(0)))
+    after = F.filter(F.slice(pairs, at.cast("int") + 1, F.size(pairs)), lambda p: _name(p) != name)
+    pairs = F.when(at > 0, F.concat(before, F.array(pair), after)).otherwise(F.array_append(pairs, pair))
     return F.concat(base, F.lit("?"), F.array_join(pairs, "&"), fragment)
 
 
+def next_page(url: Column | str, name: str = "page") -> Column:
+    """URL of the following result page: one more than the page asked for, 2 when there is none."""
+    asked = url_get(url, name)
+    number = F.when(asked.rlike("^[0-9]{1,9}$"), asked).cast("int")
+    return url_set(url, name, F.coalesce(number + 1, F.lit(2)))
+
+
 def translate_each(c: Column | str, codes: dict[str, str], sep: str = " ", blank: str = "/") -> Column:
     """Replace every character by its code word, a blank by ``blank``; a character without a code stays as it is."""
     table = F.create_map(*[F.lit(x) for item in {**codes, " ": blank}.items() for x in item])

@@ -131,6 +131,19 @@ def url_parameters(spark, sf):
         page=text.url_get("url", "page"), next_url=text.url_set("url", "page", "next")))
 
 
+@query("H12", """
+    SELECT page_id, url AS found, 'a b' AS asked,
+           'https://x.example/?search%5Border%5D=' || url_encode(url) || '&q=a+b&page=' || (page_id % 5 + 1) || '#top' AS next_url,
+           CASE WHEN url LIKE '%?%page=%' THEN regexp_extract(url, '[?&]page=([^&#]*)', 1)::INTEGER + 1 ELSE 2 END AS next_number FROM pages""")
+def url_parameters_decoded(spark, sf):
+    """Encoded names and values, and the step to the next page."""
+    asked = F.concat(F.lit("https://x.example/?search%5Border%5D="), F.url_encode("url"), F.lit("&q=a+b&page="),
+                     (F.col("page_id") % 5).cast("string"), F.lit("#top"))
+    return table(spark, sf, "pages").withColumn("asked", asked).select("page_id", *_alias(
+        found=text.url_get("asked", "search[order]"), asked=text.url_get("asked", "q"), next_url=text.next_page("asked"),
+        next_number=text.url_get(text.next_page("url"), "page").cast("int")))
+
+
 @query("H13", """
     SELECT o_orderkey, CAST(year(o_orderdate) AS INTEGER) AS y, CAST(month(o_orderdate) AS INTEGER) AS m,
            strftime(o_orderdate, '%Y-%m') AS period FROM orders""")

@@ -381,12 +381,17 @@ def listing_ingest(spark, sf):
         F.when(p("p_size") % 4 == 0, "prąd ").otherwise(F.concat(size, F.lit(" 998 cm3 "))),
         F.when(p("p_size") % 6 == 0, "").otherwise(F.concat(F.lit("• 1"), size, F.lit(" KM "))), F.lit("• ąć "), "p_type")
     added = F.when(key % 3 == 0, "wczoraj").when(key % 3 == 1, F.concat(size, F.lit(" minut temu"))).otherwise("dawno")
+    icon = '<svg class="i" viewbox="0 0 24 24"><path d="m1 2"></path></svg>'
+
+    def named(name, *value):
+        return F.concat(F.lit(f'<dt>\n {name}\n</dt><dd class="v" data-parameter="{name}">{icon}\n   '), *value, F.lit("\n  </dd>"))
+
     card = F.concat(
-        F.lit('<article data-id="'), key, F.lit('"><a href="https://x.example/'), key, F.lit('" target="_self"> '), "p_name",
-        F.lit(' </a><p class="line">'), line, F.lit("</p><h3> "), size, F.lit(" 000 </h3>"),
-        F.lit('<dd data-parameter="mileage">'), key % 90, F.lit(" 007 km</dd>"), F.lit('<dd data-parameter="fuel_type">benzyna</dd>'),
-        F.lit('<dd data-parameter="gearbox">'), "p_brand", F.lit('</dd><dd data-parameter="year">'), 2000 + p("p_size") % 20,
-        F.lit('</dd><p class="added">'), added, F.lit("</p></article>"))
+        F.lit('<article class="c" data-id="'), key, F.lit('" data-place="1"><section><div><img src="x.jpg"/></div><div>\n<h2 class="t">\n <a class="l" href="https://x.example/'),
+        key, F.lit('" target="_self">\n  '), "p_name", F.lit('\n </a>\n</h2>\n<p class="d">\n '), line, F.lit("\n</p></div><div><dl>"),
+        named("mileage", key % 90, F.lit(" 007 km")), named("fuel_type", F.lit("benzyna")), named("gearbox", "p_brand"),
+        named("year", 2000 + p("p_size") % 20), F.lit('</dl><dl><dd class="w"><p>Place (Region)</p></dd>\n<dd class="w">\n<p class="a">Opublikowano '),
+        added, F.lit('</p></dd></dl><article class="f"><ol></ol></article><h3 class="p">\n '), size, F.lit(" 000\n</h3></div></section></article>"))
     pages = table(spark, sf, "part").groupBy(F.floor(key / 20).alias("page")).agg(
         F.concat(F.lit("<html>"), F.array_join(F.collect_list(card), ""), F.lit("</html>")).alias("html"))
     # half of the pages arrive with their bytes read as Latin-1

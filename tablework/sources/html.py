@@ -10,18 +10,28 @@ from tablework.functions.text import (
     extract_or, repair_utf8, strip_unit, unescape_unicode,
 )
 
-# The markup of a listing page that is read.
-LISTING_START = r"<article data-id="
-LISTING_ID = r'^"(\d+)"'
-LISTING_TITLE = r'<a[^>]*target="_self"[^>]*>([^<]*)</a>'
-LISTING_LINK = r'<a href="([^"]*)"[^>]*target="_self"'
-LISTING_LINE = r"<p class=\"line\">([^<]*)</p>"
-LISTING_PRICE = r"<h3>([^<]*)</h3>"
-LISTING_ADDED = r"<p class=\"added\">([^<]*)</p>"
-LISTING_VALUE = r'<dd data-parameter="{}">([^<]*)</dd>'
+# Where the parts of a listing page stand: an article with an id per listing (articles without one lie inside), a link
+# that opens in place as title, the description in the paragraph behind the title, named values, the price as third-level
+# heading, and the time of publication in the second value without a name.
+LISTING_START = r"(?i)<article\b(?=[^>]*\bdata-id\s*=)"
+LISTING_ID = r"""^[^>]*?\bdata-id\s*=\s*["']?(\d+)"""
+LISTING_ANCHOR = r"""(?is)<a\b[^>]*\btarget\s*=\s*["']_self["'][^>]*>"""
+LISTING_TITLE = LISTING_ANCHOR + r"(.*?)</a>"
+LISTING_LINK = r"""(?is)\bhref\s*=\s*["']([^"']*)["']"""
+LISTING_LINE = LISTING_ANCHOR + r".*?</a>(?:\s*</[^>]*>)*\s*<p\b[^>]*>(.*?)</p>"
+LISTING_PRICE = r"(?is)<h3\b[^>]*>(.*?)</h3>"
+LISTING_VALUE = r"""(?is)<dd\b[^>]*\bdata-parameter\s*=\s*["']{}["'][^>]*>(.*?)</dd>"""
+_UNNAMED = r"<dd\b(?![^>]*\bdata-parameter)[^>]*>"
+LISTING_ADDED = rf"(?is){_UNNAMED}.*?</dd>\s*{_UNNAMED}\s*<p\b[^>]*>(.*?)</p>"
 NAV_LINK = r'<li><a href="([^"]*)">([^<]*)</a></li>'
 
 
+def inner_text(html: Column) -> Column:
+    """What stands between and behind the tags of a piece of markup, blanks collapsed; null when there is nothing."""
+    text = F.trim(F.regexp_replace(F.regexp_replace(html, "(?s)<[^>]*>", " "), r"[\s\x{a0}]+", " "))
+    return F.nullif(text, F.lit(""))
+
+
 def first_text(html: Column | str, tag: str) -> Column:
     """Text of the first ``<tag>...</tag>`` on the page."""
     html = F.col(html) if isinstance(html, str) else html
@@ -39,10 +49,10 @@ def nav_links(pages: DataFrame, key: str, html: str) -> DataFrame:
 
 
 def parse_listings(pages: DataFrame, html: str, anchor: Column) -> DataFrame:
-    """Listing pages to one row per listing; relative times are resolved against ``anchor``."""
+    """Listing pages to one row per listing; relative times are resolved against ``anchor``, missing parts are null."""
     text = repair_utf8(unescape_unicode(html))
     cards = pages.select(F.explode(F.slice(F.split(text, LISTING_START), 2, 2_147_483_646)).alias("card"))
-    clean = lambda pattern: F.trim(F.regexp_extract("card", pattern, 1))
+    clean = lambda pattern: inner_text(F.regexp_extract("card", pattern, 1))
     value = lambda name: clean(LISTING_VALUE.format(name))
     line = F.col("line")
     return (
@@ -50,7 +60,7 @@ def parse_listings(pages: DataFrame, html: str, anchor: Column) -> DataFrame:
         .select(
             F.regexp_extract("card", LISTING_ID, 1).try_cast("bigint").alias("listing_id"),
             clean(LISTING_TITLE).alias("notice_name"),
-            clean(LISTING_LINK).alias("link"),
+            F.nullif(F.regexp_extract(F.regexp_extract("card", LISTING_ANCHOR, 0), LISTING_LINK, 1), F.lit("")).alias("link"),
             F.trim(extract_or(line, ENGINE_CAPACITY, NOT_SPECIFIED)).alias("engine_capacity"),
             F.trim(extract_or(line, ENGINE_POWER, NOT_SPECIFIED)).alias("engine_power"),
             extract_or(line, LAST_PART, NOT_DEFINED).alias("rest"),

@@ -111,6 +111,15 @@ def test_product_of_others_zero_rules(spark):
     assert out == {(1, 2): 12, (1, 3): 8, (1, 4): 6, (2, 0): 5, (2, 5): 0, (3, 0): 0, (3, 7): 0, (4, 6): 1}
 
 
+def test_encoded_url_parameters(one):
+    url = "http://x/y?search%5Border%5D=a%3Ab&q=a+b&z"
+    assert one(text.url_get("u", "search[order]"), u=url) == "a:b" and one(text.url_get("u", "q"), u=url) == "a b"
+    assert one(text.url_get("u", "z"), u=url) == "" and one(text.url_get("u", "no"), u="http://x/y") is None
+    assert one(text.url_set("u", "q", "a&b=1"), u=url) == "http://x/y?search%5Border%5D=a%3Ab&q=a%26b%3D1&z"
+    assert one(text.next_page("u"), u="http://x/y?page=9#top") == "http://x/y?page=10#top"
+    assert one(text.next_page("u"), u="http://x/y") == "http://x/y?page=2"
+
+
 def test_years_of_any_width_and_large_numbers(one):
     assert one(dates.try_date("t", "d.M.y"), t="14.6.2023") == datetime.date(2023, 6, 14)
     assert one(text.strip_unit("t", "km"), t="3 000 000 000 km") == 3_000_000_000

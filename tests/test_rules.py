@@ -175,13 +175,29 @@ def test_stage_path_is_shared_by_reader_and_writer(spark):
 def test_listing_card(spark):
     card = ('<div><article data-id="77"><a href="https://x/1" target="_self"> Family car </a><p class="line">1 234 cm3 • 99 KM • '
             'Roomy estate</p><h3>45 600</h3><dd data-parameter="mileage">12 345 km</dd><dd data-parameter="fuel_type">petrol</dd>'
-            '<dd data-parameter="gearbox">manual</dd><dd data-parameter="year">2021</dd><p class="added">9 minut temu</p></article></div>')
+            '<dd data-parameter="gearbox">manual</dd><dd data-parameter="year">2021</dd><dd>Town</dd><dd><p>9 minut temu</p></dd></article></div>')
     page = spark.createDataFrame([(card,)], "html string")
     row = html.parse_listings(page, "html", F.lit("2025-01-10 12:00:00").cast("timestamp_ntz")).first()
     assert tuple(row) == (77, "Family car", "https://x/1", "1 234 cm3", "99 KM", "Roomy estate", 45600, 12345, "petrol",
                           "manual", 2021, datetime.datetime(2025, 1, 10, 11, 51))
 
 
+def test_listing_cards_with_inner_markup_and_missing_parts(spark):
+    value = lambda name, text: f"<dt>\n {name}</dt>\n<dd class='v' data-parameter='{name}'>\n<svg><path d='m1 2'></path></svg>\n {text}\n</dd>"
+    full = (
+        '<article class="a b" data-id="5" data-media="s">\n<section><div><img src="a.jpg"/></div><div>\n<h2 class="t">\n<a href="https://x/5" '
+        'target="_self">\n Small  car\n</a>\n</h2>\n<p class="d">\n 998 cm3 • 70 KM • City\n</p></div><dl>' + value("mileage", "7 km")
+        + value("fuel_type", "petrol") + value("gearbox", "manual") + value("year", "2024") + "</dl><dl><dd class='w'>\n<p>Town (Land)</p>\n</dd>\n"
+        "<dd class='w'>\n<p>\n Opublikowano 2 godziny temu\n</p></dd></dl><article class='inner'><a href='/other'>x</a></article>"
+        "<h3 class='p'>\n 12\xa0300\n</h3></section></article>")
+    bare = "<article data-id='6'><h2><a target='_self' class='l'>Only a title</a></h2></article>"
+    page = spark.createDataFrame([(f"<html>{full}{bare}</html>",), (None,), ("",)], "html string")
+    rows = html.parse_listings(page, "html", F.lit("2025-01-10 12:00:00").cast("timestamp_ntz")).orderBy("listing_id").collect()
+    assert [tuple(r) for r in rows] == [
+        (5, "Small car", "https://x/5", "998 cm3", "70 KM", "City", 12300, 7, "petrol", "manual", 2024, datetime.datetime(2025, 1, 10, 10, 0)),
+        (6, "Only a title", None, "NOT SPECIFIED", "NOT SPECIFIED", "NOT DEFINED", None, None, None, None, None, None)]
+
+
 def test_membership_start(spark):
     members = spark.createDataFrame([(1, "A", 2021), (1, "A", 2022), (1, "B", 2022), (2, "B", 2022)], "player int, team string, season int")
     moves = spark.createDataFrame([(1, "A", DAY(2021, 8, 5))], "player int, team string, date date")
