@@ -23,6 +23,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tablework.session import checkpointed
+from tablework.sources.tables import staged
 
 GROUP_ROWS = 5_000_000
 GROUP_ROWS_CONF = "spark.tablework.groupRows"
@@ -136,8 +137,27 @@ def running(df: DataFrame, keys: list[str], order, outputs: dict, *, earlier: bo
     return _running_in_blocks(df, keys, order, outputs, earlier, parts)
 
 
+def _numbered(df: DataFrame, order: list[Column], name: str) -> DataFrame:
+    """Global numbers with one shuffle: the place in a sorted range block plus the rows of the blocks before it.
+
+    The low bits of ``monotonically_increasing_id`` are the place, the high bits the block. Both are written with the
+    rows, so the sampled range bounds and the places stay as they are.
+    """
+    place = F.monotonically_increasing_id()
+    blocks = staged(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_place", place), "numbered")
+    block, low = F.shiftright("_place", 33), F.col("_place").bitwiseAND(F.lit((1 << 33) - 1))
+    before = W.orderBy("_block").rowsBetween(*_EARLIER)
+    # one row per block
+    sizes = blocks.groupBy(block.alias("_block")).agg(F.count(F.lit(1)).alias("_n"))
+    offsets = sizes.select("_block", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    numbered = blocks.withColumn("_block", block).join(F.broadcast(offsets), "_block")
+    return numbered.select(*df.columns, (F.col("_offset") + low).alias(name))
+
+
 def positions(df: DataFrame, keys: list[str], order, name: str = "pos", **options) -> DataFrame:
     """Number the rows of each key from 0 in the given order; ``keys=[]`` numbers the whole table."""
+    if not keys:
+        return _numbered(df, _as_columns(order), name)
     numbered = running(df, keys, order, {name: ("count", F.lit(1))}, **options)
     return numbered.withColumn(name, F.col(name) - 1)
 

@@ -195,7 +195,18 @@ def stream_running_max(spark, sf):
     return ingest.current(spark, out, "user_id bigint, highest double", ["user_id"], F.col("highest"))
 
 
-@query("L1")
+@query("L1", """
+    WITH m AS (SELECT avg(l_quantity) AS m1, avg(l_discount) AS m2, avg(l_tax) AS m3, avg(l_extendedprice) AS my,
+        var_pop(l_quantity) AS a, covar_pop(l_quantity, l_discount) AS b, covar_pop(l_quantity, l_tax) AS c, var_pop(l_discount) AS d,
+        covar_pop(l_discount, l_tax) AS e, var_pop(l_tax) AS f, covar_pop(l_quantity, l_extendedprice) AS g1,
+        covar_pop(l_discount, l_extendedprice) AS g2, covar_pop(l_tax, l_extendedprice) AS g3 FROM lineitem),
+    w AS (SELECT *, a * (d * f - e * e) - b * (b * f - c * e) + c * (b * e - c * d) AS det FROM m),
+    s AS (SELECT *, (g1 * (d * f - e * e) - b * (g2 * f - e * g3) + c * (g2 * e - d * g3)) / det AS w1,
+        (a * (g2 * f - e * g3) - g1 * (b * f - c * e) + c * (b * g3 - g2 * c)) / det AS w2,
+        (a * (d * g3 - g2 * e) - b * (b * g3 - g2 * c) + g1 * (b * e - c * d)) / det AS w3 FROM w),
+    p AS (SELECT l_tax, l_extendedprice AS y, my + w1 * (l_quantity - m1) + w2 * (l_discount - m2) + w3 * (l_tax - m3) AS fit FROM lineitem, s)
+    SELECT l_tax, round(avg(fit), 4) AS mean_prediction, round(avg(y), 4) AS mean_price, round(sqrt(avg((fit - y) * (fit - y))), 4) AS rmse,
+           count(*) AS rows FROM p GROUP BY 1""")
 def linear_regression(spark, sf):
     """Price from quantity, discount and tax: mean prediction and error per tax rate."""
     lines = table(spark, sf, "lineitem")

@@ -49,6 +49,16 @@ def test_year_comparison_scans_once(spark):
     assert text.count("FileScan") == 1 and "Join" not in text
 
 
+def test_global_numbers_take_one_shuffle(spark):
+    from tablework.operators.ordered import positions
+
+    df = spark.range(1000).selectExpr("id", "id % 7 AS v")
+    text = plan_of(positions(df, [], ["v", "id"]))
+    # the rows were range-partitioned when they were written; only the block sizes are exchanged now
+    assert "rangepartitioning" not in text and "Window" in text and text.count("hashpartitioning(_block") <= 1
+    assert [r["pos"] for r in positions(df, [], ["v", "id"]).orderBy("v", "id").collect()] == list(range(1000))
+
+
 def fake_session(settings, master, checkpoint=None):
     context = SimpleNamespace(master=master, getCheckpointDir=lambda: checkpoint)
     return SimpleNamespace(conf=SimpleNamespace(get=lambda name, default=None: settings.get(name, default)), sparkContext=context)
