@@ -10,6 +10,7 @@ from __future__ import annotations
 import math
 import re
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.ml.classification import GBTClassifier
@@ -33,6 +34,7 @@ SECOND_PERSON = frozenset(
 LEET = str.maketrans("013457@$!", "oieastasi")
 _WORD = re.compile(r"\w+")
 _MIXED = re.compile(r"[^\W\d_]+[0-9@$!*]+[^\W\d_][\w@$!*]*|[0-9@$]+[^\W\d_]{2,}[\w@$!*]*")
+_SIGN_IN_WORD = re.compile(r"[0-9@$!*]")
 _SPACED = re.compile(r"(?<!\w)(?:[^\W\d_][ .\-_*]){3,}[^\W\d_](?!\w)")
 _STRETCHED = re.compile(r"([^\W\d_])\1{2,}")
 _MARKS = re.compile(r"[!?]")
@@ -48,14 +50,22 @@ def entries(text: str) -> set[str]:
     return words | {f"{w[:k]}*" for w in words for k in PREFIXES if len(w) > k}
 
 
+def _changed(text: str, lower: str) -> int:
+    """Number of capital letters: characters that lower case changes."""
+    if len(text) != len(lower):
+        return sum(map(str.isupper, text))
+    return int(np.count_nonzero(np.frombuffer(text.encode("utf-32-le"), "<u4") != np.frombuffer(lower.encode("utf-32-le"), "<u4")))
+
+
 def features(text: str | None, words_in: frozenset, starts_in: frozenset) -> list[float]:
     """The dense features of a whole text; all zero for a null or empty one."""
     if not text:
         return [0.0] * len(FEATURES)
-    words = _WORD.findall(text.lower())
+    lower = text.lower()
+    words = _WORD.findall(lower)
     unique = set(words)
     whole = unique & words_in
-    begun = {w for w in unique - whole if any(w[:k] in starts_in for k in PREFIXES if len(w) > k)}
+    begun = {w for k in {len(s) for s in starts_in} for w in unique if w[:k] in starts_in and len(w) > k} - whole
     hits = starts = near = 0
     if whole or begun:
         at = [i for i, w in enumerate(words) if w in whole or w in begun]
@@ -63,14 +73,17 @@ def features(text: str | None, words_in: frozenset, starts_in: frozenset) -> lis
         starts = len(at) - hits
         if unique & SECOND_PERSON:
             near = sum(not SECOND_PERSON.isdisjoint(words[max(0, i - NEAR) : i + NEAR + 1]) for i in at)
-    mixed = _MIXED.findall(text)
+    # most texts hold no sign that could stand for a letter, and few single letters
+    mixed = _MIXED.findall(text) if _SIGN_IN_WORD.search(text) else []
     undone = sum(w.lower().translate(LEET).strip("*") in words_in for w in mixed)
-    spaced = sum(re.sub(r"[ .\-_*]", "", s).lower() in words_in for s in _SPACED.findall(text))
+    spaced = 0
+    if sum(len(w) == 1 for w in unique) > 2:
+        spaced = sum(re.sub(r"[ .\-_*]", "", s).lower() in words_in for s in _SPACED.findall(text))
     spaced += sum(_STRETCHED.sub(r"\1", w) in words_in for w in unique - whole if _STRETCHED.search(w))
     n, chars = max(1, len(words)), len(text)
     return [
         float(hits), hits / n, float(len(whole) + len(begun)), float(starts), starts / n, float(near),
-        sum(map(str.isupper, text)) / chars, len(_CAPITAL_WORD.findall(text)) / n, len(_MARKS.findall(text)) / n,
+        _changed(text, lower) / chars, len(_CAPITAL_WORD.findall(text)) / n, len(_MARKS.findall(text)) / n,
         len(_SIGNS.findall(text)) / n, len(mixed) / n, float(undone), float(spaced), math.log1p(len(words)),
     ]
 
