@@ -186,6 +186,18 @@ def stream_unseen_ids(spark, sf):
     return spark.read.schema(schema).parquet(out).select("event_id", "ts", "user_id", "event_type", "value")
 
 
+@query("K2", "SELECT event_id, user_id, event_type, value FROM events")
+def stream_unseen_within_horizon(spark, sf):
+    """Bounded state: an id is remembered for ten years of event time, longer than the table reaches."""
+    path, schema = _landed_events(spark, sf)
+    out = scratch_path(spark, "unseen_within")
+    stream = ingest.read_files(spark, path, schema).withColumn("at", F.col("ts").cast("timestamp"))
+    kept = ingest.unseen_within(stream, ["event_id"], "at", "3650 days").select("event_id", "user_id", "event_type", "value")
+    kept.writeStream.format("parquet").option("path", out).option("checkpointLocation", f"{out}-checkpoint").trigger(
+        availableNow=True).start().awaitTermination()
+    return spark.read.schema(kept.schema).parquet(out)
+
+
 @query("K3", "SELECT user_id, max(value) AS highest FROM events GROUP BY 1")
 def stream_running_max(spark, sf):
     path, schema = _landed_events(spark, sf)

@@ -75,3 +75,13 @@ def test_query(spark, duck, name):
     for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython"):
         assert operator not in plan
     compare(frame, duck, name)
+
+
+@pytest.mark.parametrize("name, order", [
+    ("select_all_ordered", "s_name"),
+    ("order_by_keys", "c_mktsegment ASC NULLS LAST, c_acctbal DESC NULLS FIRST, c_custkey ASC NULLS LAST"),
+])
+def test_order_of_the_result(spark, duck, name, order):
+    found = [tuple(plain(v) for v in row) for row in QUERIES[name](spark, SF_DIR).collect()]
+    expected = duck.execute(f"SELECT * FROM ({SQL[name]}) ORDER BY {order}").fetchall()
+    assert found == [tuple(plain(v) for v in row) for row in expected]
