@@ -72,17 +72,27 @@ def duplicate_rows(df: DataFrame, columns: list[str] | None = None) -> DataFrame
     return sizes.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("duplicates"))
 
 
+def value_counts(df: DataFrame, columns: list[str]) -> DataFrame:
+    """(column, v, n): how often each non-null value occurs, written once for its several readers.
+
+    One narrow scan per column.
+    """
+    return staged(reduce(DataFrame.unionByName, [
+        df.where(F.col(c).isNotNull()).groupBy(F.col(c).cast("double").alias("v")).agg(F.count(F.lit(1)).alias("n"))
+        .select(F.lit(c).alias("column"), "v", "n") for c in columns]), "value_counts")
+
+
 def exact_quantiles(df: DataFrame, columns: list[str], probs: dict[str, float], **options) -> DataFrame:
+    """Quantiles of columns, one row per column."""
+    return quantiles_of_counts(value_counts(df, columns), probs, **options)
+
+
+def quantiles_of_counts(counts: DataFrame, probs: dict[str, float], **options) -> DataFrame:
     """Quantiles with linear interpolation, one row per column.
 
     Equal values are counted first; a running count over the sorted distinct values then tells which of
     them sit at the wanted ranks. Nothing but those counts is ordered, and no task holds a whole column.
     """
-    # one narrow scan per column; the counts are read three times below (group sizes, running count,
-    # totals), so they are written once
-    counts = staged(reduce(DataFrame.unionByName, [
-        df.where(F.col(c).isNotNull()).groupBy(F.col(c).cast("double").alias("v")).agg(F.count(F.lit(1)).alias("n"))
-        .select(F.lit(c).alias("column"), "v", "n") for c in columns]), "value_counts")
     ranked = running(counts, ["column"], ["v"], {"upto": ("sum", F.col("n"))}, **options)
     totals = counts.groupBy("column").agg(F.sum("n").alias("total"))
     # one row per column that was asked for
@@ -99,13 +109,18 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs: dict[str, float],
 
 
 def describe(df: DataFrame, columns: list[str], **options) -> DataFrame:
-    """count, mean, std, min, quartiles and max, one row per column."""
-    stats = df.agg(*[
-        F.struct(F.lit(c).alias("column"), F.count(c).alias("count"), F.avg(c).alias("mean"),
-                 F.stddev_samp(c).alias("std"), F.min(c).cast("double").alias("min"),
-                 F.max(c).cast("double").alias("max")).alias(c) for c in columns])
-    rows = stats.select(F.inline(F.array(*columns)))
-    return rows.join(exact_quantiles(df, columns, {"q25": 0.25, "q50": 0.5, "q75": 0.75}, **options), "column", "left")
+    """count, mean, std, min, quartiles and max, one row per column, all from the counts of its values."""
+    counts = value_counts(df, columns)
+    asked = df.sparkSession.createDataFrame([(c,) for c in columns], "column string")
+    stats = counts.groupBy("column").agg(
+        F.sum("n").alias("count"), (F.sum(F.col("v") * F.col("n")) / F.sum("n")).alias("mean"), F.min("v").alias("min"), F.max("v").alias("max"))
+    # one row per column that was asked for
+    apart = counts.join(F.broadcast(stats.select("column", "mean")), "column").groupBy("column").agg(
+        F.sum(F.col("n") * (F.col("v") - F.col("mean")) * (F.col("v") - F.col("mean"))).alias("_squares"))
+    quartiles = quantiles_of_counts(counts, {"q25": 0.25, "q50": 0.5, "q75": 0.75}, **options)
+    rows = asked.join(stats, "column", "left").join(apart, "column", "left").join(quartiles, "column", "left")
+    std = F.when(F.col("count") > 1, F.sqrt(F.col("_squares") / (F.col("count") - 1)))
+    return rows.withColumns({"std": std, "count": F.coalesce("count", F.lit(0))}).drop("_squares")
 
 
 def pivot_sum(df: DataFrame, by: list[str], code: str, value: str, codes: list) -> DataFrame:
