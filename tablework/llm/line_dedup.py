@@ -1,10 +1,11 @@
 """Repeated runs of lines, found by winnowing.
 
 A gram is the shortest stretch of lines from a line on that has ``gram_words`` words; a window is the shortest stretch
-with ``run_words``. Of all grams inside a window the one with the least hash is marked. A run of at least ``run_words``
-words contains a window, the same lines mark the same gram wherever they stand, so every repeated run of that size is
-met at a marked gram. Each marked gram is compared with the first place it occurs at in the whole table, the match is
-extended line by line both ways, and the later run goes when it has ``run_words`` words.
+from a line on, or up to a line, that has ``run_words``. Of all grams inside a window the one with the least hash is
+marked, a fingerprint that the same lines get wherever they stand. Only marks whose gram occurs again go on. A gram can
+first occur in a shorter run than the one searched for, so the windows behind a mark choose the text it is compared
+with: the first place of each window in the whole table. That match is extended line by line both ways, and the later
+run goes when it has ``run_words`` words. Every line of a run of that size lies in a window of the run, so all of it is met.
 """
 
 from __future__ import annotations
@@ -16,11 +17,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tablework.llm.common import picked_rows, prepare, row_id, settled, stage
 
-_LINES = "hashes array<long>, words array<int>, marks array<struct<gram: binary, pos: int>>"
+_LINES = "hashes array<long>, words array<int>, marks array<struct<gram: binary, pos: int, windows: array<long>>>"
 
 
 def marked_lines(text: str | None, gram_words: int = 25, run_words: int = 50):
-    """(line hashes, words per line, [(gram hash, line)]) of a text."""
+    """(line hashes, words per line, [(gram hash, line, hashes of the windows that mark it)]) of a text."""
     lines = [] if text is None else [line.strip() for line in text.encode().split(b"\n")]
     if not lines:
         return [], [], []
@@ -30,24 +31,32 @@ def marked_lines(text: str | None, gram_words: int = 25, run_words: int = 50):
     upto = np.cumsum(words)
     before = upto - words
     gram_end = np.searchsorted(upto, before + gram_words).tolist()
-    window_end = np.searchsorted(upto, before + run_words).tolist()
-    raw, marks, known = hashes.tobytes(), {}, {}
-    starts = np.nonzero(words)[0].tolist()
-    last = len(starts)
-    for k, i in enumerate(starts):
-        if window_end[i] >= n:
-            break
+    raw, marks, grams = hashes.tobytes(), {}, {}
+    for first, last in _windows(words, before, upto, run_words):
         best = None
-        for s in starts[k:last]:
-            if gram_end[s] > window_end[i]:
+        for s in range(first, last + 1):
+            if gram_end[s] > last:
                 break
-            gram = known.get(s)
+            if not words[s]:
+                continue
+            gram = grams.get(s)
             if gram is None:
-                gram = known[s] = xxhash.xxh3_128_digest(raw[8 * s : 8 * gram_end[s] + 8])
+                gram = grams[s] = xxhash.xxh3_128_digest(raw[8 * s : 8 * gram_end[s] + 8])
             if best is None or gram < best[0]:
                 best = (gram, s)
-        marks[best[1]] = best[0]
-    return hashes.view(np.int64).tolist(), words.tolist(), [(gram, s) for s, gram in marks.items()]
+        window = xxhash.xxh64_intdigest(raw[8 * first : 8 * last + 8])
+        marks.setdefault(best, []).append(window - (window >> 63 << 64))
+    return hashes.view(np.int64).tolist(), words.tolist(), [(gram, s, found) for (gram, s), found in marks.items()]
+
+
+def _windows(words, before, upto, run_words: int) -> list[tuple[int, int]]:
+    """(first, last) line of the shortest stretches of ``run_words`` words from each line on and up to each line."""
+    starts = np.nonzero(words)[0]
+    ends = np.searchsorted(upto, before[starts] + run_words)
+    found = set(zip(starts[ends < len(words)].tolist(), ends[ends < len(words)].tolist()))
+    lasts = starts[upto[starts] >= run_words]
+    firsts = np.searchsorted(before, upto[lasts] - run_words, side="right") - 1
+    return sorted(found | set(zip(firsts.tolist(), lasts.tolist())))
 
 
 def _marked(text: Column, gram_words: int, run_words: int) -> Column:
@@ -107,11 +116,15 @@ def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         .select("row", "doc_id", "l.*"),
         "lines",
     )
-    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row", "pos")
     marks = lines.select("row", "doc_id", F.explode("marks").alias("m")).select("row", "doc_id", "m.*")
-    firsts = marks.groupBy("gram").agg(F.min(place).alias("at"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    # a gram that a third of all texts share is one row of firsts; the other side is split by adaptive execution
-    hits = marks.join(firsts, "gram").where((F.col("row") != F.col("at.row")) | (F.col("pos") != F.col("at.pos")))
+    again = marks.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram")
+    # a gram that a third of all texts share is one row of again; the other side is split by adaptive execution
+    windows = stage(
+        marks.join(again, "gram", "left_semi").select("row", "doc_id", "pos", F.explode("windows").alias("window")), "windows"
+    )
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row", "pos")
+    firsts = windows.groupBy("window").agg(F.min(place).alias("at"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    hits = windows.join(firsts, "window").where((F.col("row") != F.col("at.row")) | (F.col("pos") != F.col("at.pos")))
     matches = hits.groupBy("row", F.col("at.row").alias("origin_row")).agg(
         F.collect_set(F.struct("pos", F.col("at.pos").alias("origin"))).alias("matches")
     )

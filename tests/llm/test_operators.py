@@ -86,25 +86,23 @@ def test_long_conversation_comes_in_parts_and_blocks(spark):
 # line dedup
 
 def brute_lines(texts, ids, run_words):
-    """Delete every run that repeats the first place of one of its marked grams."""
+    """Delete every stretch of enough words whose lines stand in the same order at any earlier place."""
     order = sorted(range(len(texts)), key=lambda k: (ids[k] is None, ids[k] or 0, k))
-    first, gone, split = {}, {k: set() for k in order}, {k: (texts[k] or "").split("\n") for k in order}
+    split = {k: (texts[k] or "").split("\n") for k in order}
     bare = {k: [x.strip() for x in split[k]] for k in order}
-    for k in order:
-        for gram, at in sorted(line_dedup.marked_lines(texts[k])[2] if texts[k] is not None else [], key=lambda m: m[1]):
-            if gram not in first:
-                first[gram] = (k, at)
-                continue
-            o, origin = first[gram]
-            a, b = at, at
-            while a > 0 and origin - (at - a) > 0 and bare[k][a - 1] == bare[o][origin - (at - a) - 1]:
-                a -= 1
-            while b + 1 < len(bare[k]) and origin + (b - at) + 1 < len(bare[o]) and bare[k][b + 1] == bare[o][origin + (b - at) + 1]:
-                b += 1
-            if o == k:
-                a = max(a, at - origin)
-            if sum(len(x.split()) for x in bare[k][a : b + 1]) >= run_words:
-                gone[k] |= set(range(a, b + 1))
+    gone = {k: set() for k in order}
+    for nth, k in enumerate(order):
+        for o in order[: nth + 1]:
+            mine, other = bare[k], bare[o]
+            for shift in range(1 if o == k else 1 - len(other), len(mine)):
+                run = []
+                for i in range(len(mine) + 1):
+                    if i < len(mine) and 0 <= i - shift < len(other) and mine[i] == other[i - shift]:
+                        run.append(i)
+                        continue
+                    if sum(len(mine[j].split()) for j in run) >= run_words:
+                        gone[k] |= set(run)
+                    run = []
     return {k: None if texts[k] is None else "\n".join(x for i, x in enumerate(split[k]) if i not in gone[k]) for k in order}
 
 
@@ -141,6 +139,21 @@ def test_random_runs_match_brute_force(spark):
     assert got == brute_lines(texts, list(range(len(texts))), 50)
 
 
+def test_runs_around_a_common_line_go(spark):
+    rng = random.Random(6)
+    common = words(rng, 30)
+    passages = [[words(rng, n) for n in (22, 4)] for _ in range(12)]
+    texts = ["\n".join([words(rng, 5), common, words(rng, 5)])]
+    for head, tail in passages:
+        texts += ["\n".join([words(rng, 7), head, common, tail, words(rng, 3)]) for _ in range(2)]
+    # a longer run is shared with a later text than with the first one
+    run = [words(rng, 11) for _ in range(8)]
+    texts += ["\n".join(run[:5]), "\n".join(run), "\n".join([*run, words(rng, 6)])]
+    got = {r["doc_id"]: r["text"] for r in line_dedup.drop_repeated_lines(documents(spark, texts)).collect()}
+    assert got == brute_lines(texts, list(range(len(texts))), 50)
+    assert all(common not in got[k] for k in range(2, 25, 2)) and run[7] not in got[27] and run[7] in got[26]
+
+
 def test_line_dedup_of_repeated_rows_and_empty_tables(spark):
     text = words(random.Random(5), 60)
     got = [r["text"] for r in line_dedup.drop_repeated_lines(documents(spark, [text] * 3, [1, 1, None])).collect()]
