@@ -10,8 +10,9 @@ from tablework.session import scratch_path
 
 # A word is a run of bytes that are neither a blank nor one of \t \n \v \f \r.
 WORD = r"[^\x20\x09-\x0D]+"
-# Rows of one Arrow batch: bounds what a Python worker holds, since a text may have 100,000 characters and more.
+# Rows and bytes of one Arrow batch: bound what a Python worker holds, since a text may have 100,000 characters and more.
 BATCH_ROWS = "1000"
+BATCH_BYTES = "32m"
 # Plans in which a row keeps the file and the place it was read from.
 _PLAIN_SCAN = re.compile(r"(Project|Filter|Relation)\b")
 
@@ -19,6 +20,7 @@ _PLAIN_SCAN = re.compile(r"(Project|Filter|Relation)\b")
 def prepare(spark: SparkSession) -> SparkSession:
     """Session settings that the operators with Python tasks rely on."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     return spark
 
 
