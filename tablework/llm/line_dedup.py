@@ -117,13 +117,16 @@ def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         "lines",
     )
     marks = lines.select("row", "doc_id", F.explode("marks").alias("m")).select("row", "doc_id", "m.*")
-    again = marks.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram")
-    # a gram that a third of all texts share is one row of again; the other side is split by adaptive execution
+    # Written, so that the joins stand apart from the aggregations and adaptive execution can split their other side: a
+    # gram or window that a third of all texts share is one row here.
+    again = stage(marks.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram"), "grams")
     windows = stage(
         marks.join(again, "gram", "left_semi").select("row", "doc_id", "pos", F.explode("windows").alias("window")), "windows"
     )
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row", "pos")
-    firsts = windows.groupBy("window").agg(F.min(place).alias("at"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    firsts = stage(
+        windows.groupBy("window").agg(F.min(place).alias("at"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "firsts"
+    )
     hits = windows.join(firsts, "window").where((F.col("row") != F.col("at.row")) | (F.col("pos") != F.col("at.pos")))
     matches = hits.groupBy("row", F.col("at.row").alias("origin_row")).agg(
         F.collect_set(F.struct("pos", F.col("at.pos").alias("origin"))).alias("matches")
