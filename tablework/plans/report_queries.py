@@ -54,6 +54,11 @@ def _monthly(spark, sf):
     return staged(monthly, "firm_months")
 
 
+def _by_firm(monthly):
+    """Dealt once by firm for all steps of the warnings; a firm has at most one row per calendar month here."""
+    return monthly.repartition("firm")
+
+
 def _statements(spark, sf, monthly):
     """Quarterly statements per firm; the months are added up before the customers are joined."""
     raw = monthly.groupBy("firm", quarter_end("month").alias("date")).agg(
@@ -93,7 +98,7 @@ _RATIO_SQL = ", ".join(f"round({c}, 3) AS {c}" for c in _RATIOS)
       AND year(date) >= 1996 AND exposure > 100000 AND bucket = 1""")
 def early_warning(spark, sf):
     """Flagship: early-warning flags from quarterly statements, for every report date."""
-    monthly = _monthly(spark, sf)
+    monthly = _by_firm(_monthly(spark, sf))
     matched = reports.monitored(_statements(spark, sf, monthly), _exposures(monthly))
     flagged = reports.early_warning(matched, report_date=None, min_year=1996, min_exposure=100_000, bucket=1)
     return _rounded(flagged, *_RATIOS)
@@ -105,7 +110,7 @@ def early_warning(spark, sf):
           FROM m WHERE woz IS NOT NULL AND abs(woz) < 1000000)
     SELECT report_date, firm, date, bucket, exposure, hits FROM w WHERE hits >= 6 AND year(date) >= 1996 AND exposure > 100000 AND bucket = 1""")
 def early_warning_shared(spark, sf):
-    monthly = _monthly(spark, sf)
+    monthly = _by_firm(_monthly(spark, sf))
     matched = reports.monitored(_statements(spark, sf, monthly), _exposures(monthly))
     return reports.early_warning_shared(matched, report_date=None, min_year=1996, min_exposure=100_000, bucket=1)
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,6 +20,9 @@ RUNTIME_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
+# Session setting that names the folder of the innermost ``owned_scratch`` block.
+_OWNED = "spark.tablework.scratch"
+
 
 def tune(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to a session somebody else created."""
@@ -69,12 +74,35 @@ def checkpointed(df: DataFrame) -> DataFrame:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new, unused path below the shared folder."""
+    """A new, unused path below the shared folder, inside the folder of ``owned_scratch`` when there is one."""
+    owned = spark.conf.get(_OWNED, None)
+    if owned:
+        return f"{owned}/{name}-{uuid.uuid4().hex}"
     if spark.conf.get("spark.checkpoint.dir", None) is None:
         if spark.sparkContext.getCheckpointDir() is None:
             spark.sparkContext.setCheckpointDir(shared_dir(spark))
     return f"{shared_dir(spark)}/tablework/{name}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def owned_scratch(spark: SparkSession) -> Iterator[str]:
+    """A folder for the intermediate results written inside the block; it is dropped when the block ends.
+
+    Results have to be written or collected inside the block: plans made there read from the folder. Blocks may be
+    nested.
+    """
+    before, root = spark.conf.get(_OWNED, None), scratch_path(spark, "owned")
+    spark.conf.set(_OWNED, root)
+    try:
+        yield root
+    finally:
+        if before:
+            spark.conf.set(_OWNED, before)
+        else:
+            spark.conf.unset(_OWNED)
+        folder = spark._jvm.org.apache.hadoop.fs.Path(root)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

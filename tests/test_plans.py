@@ -49,6 +49,12 @@ def test_year_comparison_scans_once(spark):
     assert text.count("FileScan") == 1 and "Join" not in text
 
 
+def test_warnings_are_dealt_once_by_firm(spark):
+    executed = QUERIES["early_warning"](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    # statements and exposures, each once; quarters, year-on-year, as-of and rolling steps stay where the firm is
+    assert executed.count("Exchange hashpartitioning(firm") <= 2 and executed.count("Exchange rangepartitioning") == 0
+
+
 def test_global_numbers_take_one_shuffle(spark):
     from tablework.operators.ordered import positions
 

@@ -1,13 +1,14 @@
 """Data quality, history, sources and streaming on small invented rows."""
 
 import datetime
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
 from tablework.operators import history, joins, quality, reshape
 from tablework.plans import reports
-from tablework.session import scratch_path
+from tablework.session import owned_scratch, scratch_path
 from tablework.sources import delimited, html, landed, tables
 from tablework.streaming import ingest
 
@@ -302,3 +303,15 @@ def test_unseen_within_a_horizon(spark, rows):
 def test_kafka_options():
     options = ingest.kafka_options("host:1", list(ingest.TOPICS))
     assert options["subscribe"].split(",") == list(ingest.TOPICS)
+
+
+def test_owned_scratch_is_dropped(spark):
+    outside = scratch_path(spark, "rows")
+    with owned_scratch(spark) as outer:
+        kept = tables.staged(spark.range(5).toDF("a"), "rows")
+        with owned_scratch(spark) as inner:
+            assert inner.startswith(outer) and scratch_path(spark, "x").startswith(inner)
+            tables.staged(spark.range(3).toDF("a"), "rows")
+        assert kept.count() == 5 and not os.path.exists(inner.removeprefix("file:"))
+    assert not os.path.exists(outer.removeprefix("file:"))
+    assert scratch_path(spark, "rows").rsplit("/", 1)[0] == outside.rsplit("/", 1)[0]
