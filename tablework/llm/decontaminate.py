@@ -103,7 +103,8 @@ def _shards(items: DataFrame, shard_chars: int) -> Iterator[list[tuple[int, str]
     count = math.ceil(chars / shard_chars)
     for shard in range(count):
         part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(count)) == shard)
-        yield [tuple(r) for r in part.toLocalIterator()]
+        # ids travel as text: the scan need not know their type
+        yield [tuple(r) for r in part.select(F.col("item_id").cast("string"), "text").toLocalIterator()]
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -113,20 +114,21 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
     distance is the least edit distance of the normalised item, at most one for every ``chars_per_error`` characters.
     Null, empty or word-free texts and items match nothing; repeated rows are reported for each row, repeated items for
-    each (one row for equal id and text); null ids are passed on; an empty table on either side gives no rows.
+    each (one row for equal id and text); null ids are passed on, item ids of any type that text can be cast to; an
+    empty table on either side gives no rows.
     """
     prepare(docs.sparkSession)
     items = picked(benchmark, item_id=item_id_col, text=item_text_col).where("text IS NOT NULL").distinct()
     source = picked(docs, doc_id=id_col, text=text_col)
     item_type = items.schema["item_id"].dataType
     schema = source.select("doc_id").withColumns(
-        {"item_id": F.lit(None).cast(item_type), "distance": F.lit(None).cast("int")}
+        {"item_id": F.lit(None).cast("string"), "distance": F.lit(None).cast("int")}
     ).schema
     out = docs.sparkSession.createDataFrame([], schema)
     for number, shard in enumerate(_shards(items, shard_chars)):
         hits = source.mapInArrow(_scan(shard, chars_per_error), schema)
         out = hits if not number else out.unionByName(hits)
-    return out
+    return out.withColumn("item_id", F.col("item_id").cast(item_type))
 
 
 def _scan(shard, chars_per_error):
@@ -142,10 +144,10 @@ def _scan(shard, chars_per_error):
                     found.append(item)
                     distances.append(distance)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(rows, pa.int64())), pa.array(found), pa.array(distances, pa.int32())],
+                [batch.column(0).take(pa.array(rows, pa.int64())), pa.array(found, pa.string()), pa.array(distances, pa.int32())],
                 names=["doc_id", "item_id", "distance"],
             ) if rows else pa.RecordBatch.from_arrays(
-                [batch.column(0).slice(0, 0), pa.array([], pa.int64()), pa.array([], pa.int32())],
+                [batch.column(0).slice(0, 0), pa.array([], pa.string()), pa.array([], pa.int32())],
                 names=["doc_id", "item_id", "distance"],
             )
 

@@ -264,6 +264,18 @@ def test_contaminated_documents(spark):
     assert decontaminate.contaminated(documents(spark, []), bench).count() == 0
 
 
+@pytest.mark.parametrize("kind, ids", [("int", (5, 6)), ("int", (None, None)), ("string", (None, "b")), ("string", ("a", "b"))])
+def test_item_ids_of_any_type_and_null_ones(spark, kind, ids):
+    rng = random.Random(12)
+    item = words(rng, 20)
+    bench = spark.createDataFrame([(ids[0], item), (ids[1], words(rng, 25))], f"item_id {kind}, text string")
+    docs = documents(spark, [f"{words(rng, 9)} {item} {words(rng, 9)}", words(rng, 40), None], ids=[None, 1, 2])
+    found = decontaminate.contaminated(docs, bench)
+    assert found.schema["item_id"].dataType == bench.schema["item_id"].dataType
+    assert [tuple(r) for r in found.collect()] == [(None, ids[0], 0)]
+    assert sorted(r["doc_id"] for r in decontaminate.drop_contaminated(docs, bench).collect()) == [1, 2]
+
+
 # mixing
 
 def brute_targets(sizes, share, most):
