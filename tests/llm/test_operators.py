@@ -385,6 +385,15 @@ def test_pseudonyms_keep_format_and_links(spark):
     assert pii.pseudonymise(documents(spark, []), "k").count() == 0
 
 
+def test_single_digits_are_candidates(spark):
+    card = " ".join("4111111111111111")
+    texts = ["server 8.8.8.8 down", "server 8.8.8.8 down since 12", f"card {card}", f"card {card.replace(' ', '-')}", "1.1.1.1", "1.2, 3"]
+    got = pseudonyms(spark, texts)
+    assert [n for _, n in got] == [1, 1, 1, 1, 1, 0]
+    assert "8.8.8.8" not in got[0][0] and got[1][0] == f"{got[0][0]} since 12"
+    assert luhn(got[2][0][5:].replace(" ", "")) and got[2][0].replace(" ", "-").replace("card-", "card ") == got[3][0] != texts[3]
+
+
 def test_feistel_is_a_permutation(spark):
     frame = spark.range(17 * 43).select(pii.permuted(F.col("id"), F.lit(17).cast("long"), F.lit(43).cast("long"), "k", "x").alias("p"))
     assert sorted(r["p"] for r in frame.collect()) == list(range(17 * 43))
