@@ -16,10 +16,25 @@ ROUNDS = 8
 MAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]++\.)+[A-Za-z]{2,}"
 ADDRESS = r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9]|\.[0-9])"
 DATE = r"(?<![0-9])(?:(?:19|20)[0-9]{2}([-/.])[0-9]{1,2}\1[0-9]{1,2}|[0-9]{1,2}([-/.])[0-9]{1,2}\2(?:19|20)[0-9]{2})(?![0-9])"
+# DATE inside a later part of the combined pattern, where its groups have other numbers.
+_DATE_AHEAD = DATE.replace("\\1", "\\3").replace("\\2", "\\4")
 SOCIAL = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]|-[0-9])"
-CARD = r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])"
-PHONE = r"(?<![0-9A-Za-z+])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)[ .-]?|[0-9]{2,4}[ .-])[0-9]{3,4}[ .-]?[0-9]{3,4}(?![0-9])"
-PATTERNS = {"mail": MAIL, "address": ADDRESS, "date": DATE, "social": SOCIAL, "card": CARD, "phone": PHONE}
+PHONE = r"(?<![0-9A-Za-z+])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)[ .-]?(?!(?:[0-9]{4}[ -]){3}[0-9]{4}(?![0-9]))|[0-9]{2,4}[ .-])[0-9]{3,4}[ .-]?[0-9]{3,4}(?![0-9])"
+# Groups of digits parted by one blank or hyphen, 13 digits at least: one or more cards, phones and other numbers in a row. It ends
+# before a group that begins a date, mail address, address, social number or dotted phone.
+_DOTTED = r"[0-9]{2,4}\.[0-9]{3,4}[ .-]?[0-9]{3,4}(?![0-9])"
+RUN = (
+    r"(?<![0-9])(?=[0-9](?:[ -]?[0-9]){12})[0-9]++"
+    rf"(?:[ -](?!{_DATE_AHEAD}|{MAIL}|{ADDRESS}|(?<!-){SOCIAL}|{_DOTTED})[0-9]++)*+"
+)
+PATTERNS = {"mail": MAIL, "address": ADDRESS, "date": DATE, "social": SOCIAL, "run": RUN, "phone": PHONE}
+# How cards are grouped, likeliest first: 16 digits by fours before 16 digits and a security code, then 4-6-5, 4-6-4 and
+# shorter or longer ones, digits in one piece, and digit by digit.
+GROUPINGS = (
+    (4, 4, 4, 4), *((4, 4, 4, 4, n) for n in (3, 2, 1)), (4, 6, 5), (4, 6, 4), *((4, 4, 4, n) for n in (3, 2, 1)),
+    *((n,) for n in (16, 15, 14, 13, 19, 18, 17)), (1,) * 16, (1,) * 15,
+)
+LEAST_CARD, MOST_CARD = 13, 19
 # Part of every match of every pattern: 8.8.8.8 and 4-1-1-1 have no two digits side by side.
 NEEDED = "[0-9][0-9. -][0-9]|@"
 # Days from 1900-01-01 to 2099-12-31.
@@ -29,7 +44,7 @@ _COUNTRY = r"^\+[0-9]{1,3}(?=[ .(-])"
 
 def _combined() -> str:
     """All patterns as one; the back references of the date pattern count groups from the start."""
-    return "|".join(PATTERNS[k] for k in ("date", "mail", "address", "social", "card", "phone"))
+    return "|".join(PATTERNS[k] for k in ("date", "mail", "address", "social", "run", "phone"))
 
 
 def _keyed(key: str, kind: str, turn: Column, half: Column, size: Column) -> Column:
@@ -97,9 +112,7 @@ def _card(text: Column, key: str) -> Column:
     digits = _digits(text)
     body = F.substr(digits, F.lit(1), F.length(digits) - 1)
     new = _permuted_digits(body, key, "card")
-    # all zeros pass the sum but are no number
-    valid = (_check_digit(body) == F.substr(digits, F.length(digits), F.lit(1))) & body.rlike("[1-9]")
-    return F.when(valid, _put(text, F.concat(new, _check_digit(new))))
+    return _put(text, F.concat(new, _check_digit(new)))
 
 
 def _phone(text: Column, key: str) -> Column:
@@ -157,16 +170,133 @@ def _mail(text: Column, key: str) -> Column:
     return F.concat(F.lit("user"), F.substring(digest, 1, 16), F.lit("@example.org"))
 
 
-def pseudonym(found: Column, key: str) -> Column:
-    """Pseudonym of one candidate, null when it is not valid."""
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _spans(groups: Column, count_at, next_at) -> Column:
+    """Cards among groups of digits: array of (at, n), groups at .. at + n - 1, from left to right and apart.
+
+    ``count_at(i)`` is the number of groups of a valid card that begins with group i, or 0; ``next_at(i)`` where to look
+    next when there is none.
+    """
+    tried = F.transform(F.sequence(F.lit(1), F.size(groups)), lambda i: F.struct(i.alias("at"), count_at(i).alias("n"), next_at(i).alias("next")))
+    none = F.struct(F.lit(1).alias("next"), F.array().cast("array<struct<at: int, n: int>>").alias("cards"))
+    return F.aggregate(tried, none, lambda s, x: F.when(x["at"] < s["next"], s).when(
+        x["n"] > 0, F.struct((x["at"] + x["n"]).alias("next"), F.concat(s["cards"], F.array(F.struct(x["at"].alias("at"), x["n"].alias("n")))).alias("cards"))
+    ).otherwise(F.struct(x["next"].alias("next"), s["cards"].alias("cards"))))["cards"]
+
+
+def _joined(groups: Column, at: Column, n: Column) -> Column:
+    return F.array_join(F.slice(groups, at, n), "")
+
+
+def _is_card(digits: Column) -> Column:
+    body = F.substr(digits, F.lit(1), F.length(digits) - 1)
+    # all zeros pass the sum but are no number
+    return F.length(digits).between(LEAST_CARD, MOST_CARD) & (_check_digit(body) == F.substr(digits, F.length(digits), F.lit(1))) & body.rlike("[1-9]")
+
+
+def _grouped_cards(groups: Column) -> Column:
+    """Cards in one of ``GROUPINGS`` with the same mark between all groups."""
+    # a separator and a letter for the length of every group: b for 1, e for 4, t for 19 digits, z for more
+    letters = F.transform(groups, lambda g: F.concat(
+        F.regexp_replace(g, "[0-9]", ""), F.chr(F.least(F.length(_digits(g)), F.lit(25)).cast("long") + 97)
+    ))
+    known = F.array(*[F.struct(F.lit(mark.join(chr(97 + n) for n in sizes)).alias("shape"), F.lit(len(sizes)).alias("n"))
+                      for sizes in GROUPINGS for mark in (" ", "-")[: len(sizes)]])
+
+    def count_at(letters, i):
+        ahead = F.regexp_replace(_joined(letters, i, F.lit(max(map(len, GROUPINGS)))), "^[ -]", "")
+        fits = _let(ahead, lambda a: F.filter(known, lambda k: a.startswith(k["shape"]) & _is_card(_digits(_joined(groups, i, k["n"])))))
+        return F.coalesce(F.get(fits, F.lit(0))["n"], F.lit(0))
+
+    return _let(letters, lambda found: _spans(groups, lambda i: count_at(found, i), lambda i: i + 1))
+
+
+def _loose_cards(groups: Column) -> Column:
+    """Cards in any grouping: as many groups as a card can have, again from behind them when they are none."""
+
+    def most(i):
+        ends = F.aggregate(F.slice(groups, i, F.lit(MOST_CARD)), F.struct(F.lit(0).alias("n"), F.lit(0).alias("digits")), lambda s, g: F.struct(
+            F.when(s["digits"] + F.length(_digits(g)) <= MOST_CARD, s["n"] + 1).otherwise(s["n"]).alias("n"),
+            (s["digits"] + F.length(_digits(g))).alias("digits"),
+        ))
+        return ends["n"]
+
+    def count_at(i):
+        return _let(most(i), lambda n: F.when(_is_card(_digits(_joined(groups, i, n))), n).otherwise(0))
+
+    return _spans(groups, count_at, lambda i: i + F.greatest(most(i), F.lit(1)))
+
+
+def _piece(text: Column, kind: str) -> Column:
+    """Part of a text: ``kind`` is card (valid), one (candidate of another kind) or empty (stays)."""
+    return F.struct(text.alias("text"), F.lit(kind).alias("kind"))
+
+
+def _cut(groups: Column, cards: Column) -> Column:
+    """Pieces: the groups before a card, the card, and so on, the groups behind the last card at the end."""
+
+    def end(k):
+        return F.coalesce(F.get(cards, k)["at"] + F.get(cards, k)["n"], F.lit(1))
+
+    return F.concat(
+        F.flatten(F.transform(cards, lambda c, k: F.array(
+            _piece(_joined(groups, end(k - 1), c["at"] - end(k - 1)), ""), _piece(_joined(groups, c["at"], c["n"]), "card")
+        ))),
+        F.array(_piece(_joined(groups, end(F.size(cards) - 1), F.size(groups)), "")),
+    )
+
+
+def _cut_where(text: Column, cards) -> Column:
+    return _let(F.regexp_extract_all(text, F.lit("[ -]?[0-9]+"), F.lit(0)), lambda g: _let(cards(g), lambda c: _cut(g, c)))
+
+
+def _run(found: Column, glued: Column) -> Column:
+    """Pieces of a run: grouped cards, other kinds between them, cards in any grouping where other kinds leave digits.
+
+    ``glued`` says that a letter or + stands right before the run, which forbids a phone there.
+    """
+    others = "|".join(PATTERNS[k] for k in ("date", "social", "phone"))
+
+    def marked(piece, k):
+        return F.concat(F.when((k == 0) & glued, "A").otherwise(""), piece["text"])
+
+    def loose(piece, k):
+        left = F.regexp_replace(marked(piece, k), others, "").rlike("[0-9]")
+        many = F.length(_digits(piece["text"])) >= LEAST_CARD
+        return F.when((piece["kind"] == "") & many & left, _cut_where(piece["text"], _loose_cards)).otherwise(F.array(piece))
+
+    def other_kinds(text):
+        gaps, hits = F.split(text, others, -1), F.regexp_extract_all(text, F.lit(others), F.lit(0))
+        return F.flatten(F.transform(F.arrays_zip(gaps.alias("gap"), hits.alias("hit")), lambda x: F.array(
+            _piece(F.regexp_replace(x["gap"], "^A", ""), ""), _piece(F.coalesce(x["hit"], F.lit("")), "one")
+        )))
+
+    pieces = F.flatten(F.transform(_cut_where(found, _grouped_cards), loose))
+    return F.flatten(F.transform(pieces, lambda p, k: F.when(p["kind"] == "card", F.array(p)).otherwise(other_kinds(marked(p, k)))))
+
+
+def _pieces(found: Column, glued: Column) -> Column:
+    """Pieces of a match of the combined pattern: what holds digits, blanks and hyphens only may hold several values."""
+    whole = {kind: f"^(?:{PATTERNS[kind]})$" for kind in ("date", "social", "phone")}
+    single = found.rlike(whole["date"]) | found.rlike(whole["social"]) | (found.rlike(whole["phone"]) & ~glued)
+    return F.when(found.rlike("^[0-9][0-9 -]*$") & ~single, _run(found, glued)).otherwise(F.array(_piece(found, "one")))
+
+
+def pseudonym(piece: Column, key: str) -> Column:
+    """Pseudonym of one piece, null when it stays."""
     whole = {kind: f"^(?:{p})$" for kind, p in PATTERNS.items()}
-    return (
+    found = piece["text"]
+    return F.when(piece["kind"] == "card", _card(found, key)).when(
+        piece["kind"] == "one",
         F.when(found.contains("@"), _mail(found, key))
         .when(found.rlike(whole["date"]), _date(found, key))
         .when(found.rlike(whole["address"]), _address(found, key))
         .when(found.rlike(whole["social"]), _social(found, key))
-        .when(found.rlike(whole["card"]), _card(found, key))
-        .when(found.rlike(whole["phone"]), _phone(found, key))
+        .when(found.rlike(whole["phone"]), _phone(found, key)),
     )
 
 
@@ -180,11 +310,13 @@ def pseudonymise(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: st
     source = picked(docs, doc_id=id_col, text=text_col)
     # most texts have no candidate: one cheap look for what every pattern needs spares them the patterns
     seen = source.withColumn("hits", F.when(F.col("text").rlike(NEEDED), F.regexp_extract_all("text", pattern, F.lit(0))))
-    new = seen.withColumn("new", F.when(F.size("hits") > 0, F.transform("hits", lambda m: pseudonym(m, key))))
     gaps = F.split("text", _combined(), -1)
-    both = F.transform(gaps, lambda gap, i: F.concat(
-        gap, F.coalesce(F.get(F.col("new"), i), F.get(F.col("hits"), i), F.lit(""))
-    ))
+    pieces = F.flatten(F.transform(F.arrays_zip(gaps.alias("gap"), F.col("hits").alias("hit")), lambda x: F.when(
+        x["hit"].isNull(), F.array(_piece(x["gap"], ""))
+    ).otherwise(F.concat(F.array(_piece(x["gap"], "")), _pieces(x["hit"], x["gap"].rlike("[A-Za-z+]$"))))))
+    cut = seen.withColumn("pieces", F.when(F.size("hits") > 0, pieces))
+    new = cut.withColumn("new", F.transform("pieces", lambda p: pseudonym(p, key)))
+    both = F.transform("pieces", lambda p, i: F.coalesce(F.get(F.col("new"), i), p["text"]))
     return new.select(
         "doc_id",
         F.when(F.size("hits") > 0, F.array_join(both, "")).otherwise(F.col("text")).alias("text"),

@@ -394,6 +394,30 @@ def test_single_digits_are_candidates(spark):
     assert luhn(got[2][0][5:].replace(" ", "")) and got[2][0].replace(" ", "-").replace("card-", "card ") == got[3][0] != texts[3]
 
 
+def test_cards_and_phones_in_a_row(spark):
+    card, more = "4111 1111 1111 1111", "5500-0000-0000-0004"
+    texts = [f"card {card}", f"card {card} 12/27", f"card {card} 123", f"7 {card}", f"1234 {card} 123 {more}", f"card {card} 2019-01-31",
+             f"{card} a@b.org {card} 12@b.org", f"{card} 10.0.0.1 and {card} 31.12.1999", f"{card} 123-45-6789", f"Visa (2019) {card}",
+             "call 555-123-4567 555-987-6543", "call 555-123-4567", "call 555-987-6543", "3782 822463 10005 12", "41111111 11111111",
+             "030 1234567 030 7654321 1234", "no 1234 5678 9012 3456 7", f"4111111111111112 {card}", "A555-123-4567 1234567890123"]
+    got = pseudonyms(spark, texts)
+    new = got[0][0][5:]
+    assert re.fullmatch(r"\d{4} \d{4} \d{4} \d{4}", new) and new != card and luhn(new.replace(" ", ""))
+    assert [got[k] for k in (1, 2, 3, 9)] == [(f"card {new} 12/27", 1), (f"card {new} 123", 1), (f"7 {new}", 1), (f"Visa (2019) {new}", 1)]
+    assert got[4][1] == 2 and got[4][0].startswith(f"1234 {new} 123 ") and luhn(got[4][0][-19:].replace("-", "")) and more not in got[4][0]
+    assert got[5][1] == 2 and got[5][0].startswith(f"card {new} ") and "2019-01-31" not in got[5][0]
+    assert got[6][1] == 4 and got[6][0].count(new) == 2 and "a@b" not in got[6][0] and "12@b" not in got[6][0]
+    assert got[7][1] == 4 and got[7][0].count(new) == 2 and "10.0.0.1" not in got[7][0] and "31.12.1999" not in got[7][0]
+    assert got[8][1] == 2 and got[8][0].startswith(new) and not got[8][0].endswith("123-45-6789")
+    assert got[10] == (f"{got[11][0]} {got[12][0][5:]}", 2) and got[11][1] == got[12][1] == 1
+    assert got[13][1] == 1 and got[13][0].endswith(" 12") and luhn(got[13][0][:-3].replace(" ", ""))
+    assert got[14][1] == 1 and luhn(got[14][0].replace(" ", "")) and got[15][1] == 2 and got[15][0].endswith(" 1234")
+    assert got[17] == (f"4111111111111112 {new}", 1) and got[18][0].startswith("A555-123-4567")
+    # a table of numbers is one run of many groups
+    long = " ".join(["4111 1111 1111 1111"] * 500 + ["12"] * 5000)
+    assert pseudonyms(spark, [long])[0][0].startswith(" ".join([new] * 500))
+
+
 def test_feistel_is_a_permutation(spark):
     frame = spark.range(17 * 43).select(pii.permuted(F.col("id"), F.lit(17).cast("long"), F.lit(43).cast("long"), "k", "x").alias("p"))
     assert sorted(r["p"] for r in frame.collect()) == list(range(17 * 43))
