@@ -19,10 +19,17 @@ DATE = r"(?<![0-9])(?:(?:19|20)[0-9]{2}([-/.])[0-9]{1,2}\1[0-9]{1,2}|[0-9]{1,2}(
 # DATE inside a later part of the combined pattern, where its groups have other numbers.
 _DATE_AHEAD = DATE.replace("\\1", "\\3").replace("\\2", "\\4")
 SOCIAL = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]|-[0-9])"
-PHONE = r"(?<![0-9A-Za-z+])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)[ .-]?(?!(?:[0-9]{4}[ -]){3}[0-9]{4}(?![0-9]))|[0-9]{2,4}[ .-])[0-9]{3,4}[ .-]?[0-9]{3,4}(?![0-9])"
+# National and international numbers in groups of 3 and 4; international ones in pairs, with an unbroken rest, or unbroken; French
+# and Spanish ones in pairs. Unbroken national numbers look like any other number and are no candidates.
+PHONE = (
+    r"(?<![0-9A-Za-z+])(?:"
+    r"(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)[ .-]?(?!(?:[0-9]{4}[ -]){3}[0-9]{4}(?![0-9]))|[0-9]{2,4}[ .-])[0-9]{3,4}[ .-]?[0-9]{3,4}"
+    r"|\+[0-9]{1,3}[ .-]?(?:\(0\)[ .-]?)?[0-9]{1,4}(?:[ .-][0-9]{2}){3,5}|\+[0-9]{1,3}[ -](?:\(0\)[ .-]?)?[0-9]{7,12}|\+[0-9]{8,15}"
+    r"|0[1-9](?:[ .-][0-9]{2}){4}|[6-9][0-9]{2}(?:[ -][0-9]{2}){3})(?![0-9])"
+)
 # Groups of digits parted by one blank or hyphen, 13 digits at least: one or more cards, phones and other numbers in a row. It ends
 # before a group that begins a date, mail address, address, social number or dotted phone.
-_DOTTED = r"[0-9]{2,4}\.[0-9]{3,4}[ .-]?[0-9]{3,4}(?![0-9])"
+_DOTTED = r"(?:[0-9]{2,4}\.[0-9]{3,4}[ .-]?[0-9]{3,4}|0[1-9](?:\.[0-9]{2}){4})(?![0-9])"
 RUN = (
     r"(?<![0-9])(?=[0-9](?:[ -]?[0-9]){12})[0-9]++"
     rf"(?:[ -](?!{_DATE_AHEAD}|{MAIL}|{ADDRESS}|(?<!-){SOCIAL}|{_DOTTED})[0-9]++)*+"

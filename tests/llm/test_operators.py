@@ -418,6 +418,14 @@ def test_cards_and_phones_in_a_row(spark):
     assert pseudonyms(spark, [long])[0][0].startswith(" ".join([new] * 500))
 
 
+def test_phones_in_pairs_and_unbroken(spark):
+    phones = ["+33 1 23 45 67 89", "+4915112345678", "+49 15112345678", "01 23 45 67 89", "01.23.45.67.89", "+34 612 34 56 78", "612 34 56 78"]
+    got = pseudonyms(spark, [f"tel {p}, thanks" for p in phones] + ["no 5551234567 nor +3.14159265", "4111 1111 1111 1111 01.23.45.67.89"])
+    for phone, (text, n) in zip(phones, got):
+        assert n == 1 and phone not in text and re.sub("[0-9]", "0", text) == re.sub("[0-9]", "0", f"tel {phone}, thanks")
+    assert got[0][0].startswith("tel +33 ") and got[7][1] == 0 and got[8][1] == 2 and got[8][0][20:] == got[4][0][4:18]
+
+
 def test_feistel_is_a_permutation(spark):
     frame = spark.range(17 * 43).select(pii.permuted(F.col("id"), F.lit(17).cast("long"), F.lit(43).cast("long"), "k", "x").alias("p"))
     assert sorted(r["p"] for r in frame.collect()) == list(range(17 * 43))
