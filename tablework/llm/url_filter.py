@@ -10,6 +10,7 @@ who links to bad hosts is suspect. A page without a rule gets the verdict of its
 from __future__ import annotations
 
 import string
+from itertools import count
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -25,7 +26,8 @@ RULES = (
 )
 _URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 _LINK = r"""(?is)<a\s[^>]*?href\s*=\s*["']?\s*((?:[a-z][a-z0-9+.-]*:)?//[^"'\s>]+)"""
-ROUNDS = 20
+# Scores are settled when no host is new and none changed by more than this share of its score.
+TOLERANCE = 1e-4
 DAMPING = 0.85
 
 
@@ -60,10 +62,11 @@ def host_links(pages: DataFrame) -> DataFrame:
     return pairs.where("src != dst AND dst != ''").groupBy("src", "dst").agg(F.count(F.lit(1)).alias("n"))
 
 
-def propagated(links: DataFrame, seeds: DataFrame, rounds: int = ROUNDS, damping: float = DAMPING) -> DataFrame:
+def propagated(links: DataFrame, seeds: DataFrame, rounds: int | None = None, damping: float = DAMPING) -> DataFrame:
     """(host, score): personalised PageRank over (src, dst, n) with restart at (host, weight).
 
-    A host that links nowhere hands its score back to the seeds. Scores add up to 1. Without seeds there is no row.
+    A host that links nowhere hands its score back to the seeds. Scores add up to 1. Without seeds there is no row. Without
+    ``rounds`` it goes on until the scores are settled, however long the paths.
     """
     mass = seeds.agg(F.sum("weight")).first()[0]
     if not mass:
@@ -74,7 +77,7 @@ def propagated(links: DataFrame, seeds: DataFrame, rounds: int = ROUNDS, damping
     scores = start.select("host", F.col("start").alias("score"))
     if not edges.take(1):
         return scores
-    for _ in range(rounds):
+    for _ in count() if rounds is None else range(rounds):
         sent = (
             scores.join(edges, scores.host == edges.src).groupBy(F.col("dst").alias("host"))
             .agg((F.sum(F.col("score") * F.col("share")) * damping).alias("score"))
@@ -82,12 +85,17 @@ def propagated(links: DataFrame, seeds: DataFrame, rounds: int = ROUNDS, damping
         sent = stage(sent, "sent")
         rest = 1.0 - (sent.agg(F.sum("score")).first()[0] or 0.0)
         back = start.select("host", (F.col("start") * F.lit(rest)).alias("score"))
-        scores = stage(sent.unionByName(back).groupBy("host").agg(F.sum("score").alias("score")), "scores")
+        before, scores = scores, stage(sent.unionByName(back).groupBy("host").agg(F.sum("score").alias("score")), "scores")
+        if rounds is None:
+            old = before.withColumnRenamed("score", "old")
+            unsettled = F.col("old").isNull() | (F.abs(F.col("score") - F.col("old")) > F.col("score") * TOLERANCE)
+            if not scores.join(old, "host", "left").where(unsettled).take(1):
+                break
     return scores
 
 
 def judged(pages: DataFrame, rules=RULES, threshold: float = 0.5, id_col: str = "page_id", url_col: str = "url",
-           html_col: str = "html", rounds: int = ROUNDS) -> DataFrame:
+           html_col: str = "html", rounds: int | None = None) -> DataFrame:
     """(page_id, host, path, rule, verdict, trust, distrust), one row per input row.
 
     A null url, or one without ``://``, has empty host and path; no rule fits it and it is allowed, like every page of a

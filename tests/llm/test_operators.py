@@ -488,6 +488,14 @@ def test_trust_and_distrust_follow_links(spark):
     assert url_filter.judged(spark.createDataFrame([], PAGES)).count() == 0
 
 
+def test_distrust_reaches_hosts_behind_long_chains(spark):
+    hosts = ["spam.net", *[f"h{i}.org" for i in range(22)]]
+    rows = [(i, f"http://{h}/es/", f'<a href="http://{hosts[i - 1]}/">l</a>' if i else None, "r", 1) for i, h in enumerate(hosts)]
+    got = {r["host"]: r for r in url_filter.judged(spark.createDataFrame(rows, PAGES)).collect()}
+    want = brute_rank({(hosts[i - 1], hosts[i]): 1 for i in range(1, len(hosts))}, {"spam.net": 1.0}, 300)
+    assert all(r["verdict"] == "block" and r["distrust"] == pytest.approx(want[h], rel=1e-2) for h, r in got.items())
+
+
 # language
 
 def test_language_of_odd_texts(spark):
