@@ -354,6 +354,15 @@ def test_toxicity_features():
     assert toxicity.features(None, frozenset(), frozenset()) == [0.0] * len(toxicity.FEATURES)
 
 
+def test_missed_recall_is_logged(caplog):
+    sample = embedding_dedup.units(np.random.default_rng(1).standard_normal((200, 32)))
+    cuts = np.zeros(embedding_dedup.MOST_TABLES * 12)
+    assert embedding_dedup._calibrated(sample, cuts, 12, 1.2, 0.0, 11) == embedding_dedup.MOST_TABLES
+    assert "of the pairs at the threshold" in caplog.text
+    caplog.clear()
+    assert embedding_dedup._calibrated(sample, cuts, 12, 0.3, 10.0, 11) == 1 and not caplog.text
+
+
 # personal data
 
 def pseudonyms(spark, texts, key="k"):
