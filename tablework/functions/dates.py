@@ -8,10 +8,7 @@ from pyspark.sql import Column, functions as F
 
 # The relative-time words a listing page uses ("N minut temu", "wczoraj", ...).
 YESTERDAY = "wczoraj"
-YESTERDAY_MEANS = "1 dni temu"
-MINUTES_AGO = r"([0-9]+)\s+minut[ęy]?"
-HOURS_AGO = r"([0-9]+)\s+godzin[ęy]?"
-DAYS_AGO = r"([0-9]+)\s+dni"
+UNIT_SECONDS = {"minut": 60, "godzin": 3600, "dni": 86400}
 
 # First month of a season.
 SEASON_START_MONTH = 7
@@ -97,13 +94,11 @@ def try_date(text: Column | str, *patterns: str) -> Column:
 
 def relative_time(text: Column | str, anchor: Column) -> Column:
     """Resolve "N minutes/hours/days ago" against a fixed anchor; unknown wording gives null."""
-    t = F.replace(_col(text), F.lit(YESTERDAY), F.lit(YESTERDAY_MEANS))
-
-    def amount(pattern):
-        # a failed cast costs an exception per row, so "no match" becomes null before it
-        return F.nullif(F.regexp_extract(t, pattern, 1), F.lit("")).try_cast("int")
-
+    found = rf"([0-9]+)\s+({'|'.join(UNIT_SECONDS)})"
+    unit = F.regexp_extract(_col(text), found, 2)
+    # a failed cast costs an exception per row, so "no match" becomes null before it
+    amount = F.nullif(F.regexp_extract(_col(text), found, 1), F.lit("")).try_cast("decimal(18,0)")
+    seconds = F.coalesce(*[F.when(unit == name, amount * size) for name, size in UNIT_SECONDS.items()],
+                         F.when(_col(text).contains(YESTERDAY), F.lit(UNIT_SECONDS["dni"])))
     zero = F.lit(0)
-    steps = ((MINUTES_AGO, lambda n: (zero, zero, n)), (HOURS_AGO, lambda n: (zero, n, zero)),
-             (DAYS_AGO, lambda n: (n, zero, zero)))
-    return F.coalesce(*[anchor - F.make_dt_interval(*place(amount(p))) for p, place in steps])
+    return anchor - F.make_dt_interval(zero, zero, zero, seconds.cast("decimal(18,6)"))

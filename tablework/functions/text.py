@@ -13,9 +13,9 @@ MORSE = {
 }
 
 # Engine line of a car listing, for example "1 998 cm3 • 190 KM • Diesel estate".
-ENGINE_CAPACITY = r"^([0-9\s]+cm3\s+)"
+ENGINE_CAPACITY = r"(^[0-9\s]+cm3\s+)"
 ENGINE_POWER = r"•([0-9\s]*KM\s+)•"
-LAST_PART = r"•\s+([^•]+)$"
+LAST_PART = r"(•\s+)([^•]+$)"
 NOT_SPECIFIED = "NOT SPECIFIED"
 NOT_DEFINED = "NOT DEFINED"
 
@@ -58,8 +58,8 @@ def strip_unit(c: Column | str, unit: str, to: str = "bigint") -> Column:
     return _number(F.regexp_replace(_col(c), rf"\s|{unit}", ""), to)
 
 
-def extract_or(c: Column | str, pattern: str, default: str) -> Column:
-    return F.coalesce(F.nullif(F.regexp_extract(_col(c), pattern, 1), F.lit("")), F.lit(default))
+def extract_or(c: Column | str, pattern: str, default: str, group: int = 1) -> Column:
+    return F.coalesce(F.nullif(F.regexp_extract(_col(c), pattern, group), F.lit("")), F.lit(default))
 
 
 def unescape_unicode(c: Column | str) -> Column:

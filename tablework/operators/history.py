@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tablework.functions.dates import window_date
 from tablework.operators.aggs import first_per_key
 from tablework.operators.ordered import positions, shifted
+from tablework.sources.buckets import BucketTable
 from tablework.sources.landed import latest_per
 from tablework.sources.tables import stage
 
@@ -24,6 +25,11 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
     return joined.select(*[picked.get(c, F.col(c)) for c in columns])
 
 
+def upsert_table(table: BucketTable, source: DataFrame, keys: list[str]) -> int:
+    """``upsert`` into a stored table: only the buckets of the source's keys are read and written."""
+    return table.rewrite(source, lambda rows: upsert(rows, source, keys))
+
+
 def versions(changes: DataFrame, keys: list[str], value: str, since: str, written: list[str]) -> DataFrame:
     """Validity intervals from change rows in any order.
 
@@ -53,6 +59,14 @@ def scd2_apply(history: DataFrame, old: DataFrame, new: DataFrame, key: str, att
     return kept.select(key, *attrs, "valid_since", "valid_till").unionByName(added)
 
 
+def scd2_apply_table(history: BucketTable, old: DataFrame, new: DataFrame, key: str, attrs: list[str], as_of: Column) -> int:
+    """``scd2_apply`` to a stored history in buckets of ``key``: only those with a difference are read and written."""
+    before = old.select(F.col(key), F.struct(*attrs).alias("_old"))
+    after = new.select(F.col(key), F.struct(*attrs).alias("_new"))
+    keys = before.join(after, key, "full").where(~F.col("_old").eqNullSafe(F.col("_new"))).select(key)
+    return history.rewrite(keys, lambda rows: scd2_apply(rows, old, new, key, attrs, as_of))
+
+
 def snapshot(df: DataFrame, root: str, name: str, as_of: str) -> DataFrame:
     """Keep the current rows as the ``snapshot=YYYY-MM`` partition of their history."""
     return stage(df, root, name, snapshot=as_of[:7])

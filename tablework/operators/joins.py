@@ -74,6 +74,33 @@ def on_or_before(reports: DataFrame, daily: DataFrame, report_date: str, date: s
     return matched.groupBy(*reports.columns).agg(*aggregates)
 
 
+def _whole(df: DataFrame, name: str) -> Column:
+    """A date, timestamp or whole number as a long: days, microseconds or the number."""
+    kind = dict(df.dtypes)[name]
+    if kind == "date":
+        return F.unix_date(name).cast("long")
+    return F.unix_micros(F.col(name).cast("timestamp")) if kind.startswith("timestamp") else F.col(name).cast("long")
+
+
+def interval_join(points: DataFrame, intervals: DataFrame, keys: list[str], point: str, start: str, end: str) -> DataFrame:
+    """Every pair of a point and an interval of the same keys that holds it, bounds included.
+
+    An interval goes to the one or two bins it touches among bins at least as wide as itself, the next power of two; a
+    point goes to its bin of every width that occurs (64 at most). So short and long intervals are copied alike, a pair
+    meets in one bin only, and the join is an equi join on keys, width and bin with the bounds as a residual; Spark
+    splits a hot bin. Null keys, points and bounds match nothing. Beside the keys the two sides share no column name.
+    """
+    placed = intervals.na.drop(subset=[*keys, start, end]).withColumns({"_start": _whole(intervals, start), "_end": _whole(intervals, end)})
+    placed = placed.where("_start <= _end").withColumn("_width", F.expr("if(_end = _start, 0, length(bin(_end - _start)))"))
+    widths = sorted(r[0] for r in placed.select("_width").distinct().collect())
+    placed = placed.withColumn("_bin", F.explode(F.expr("array_distinct(array(shiftright(_start, _width), shiftright(_end, _width)))")))
+    spread = points.na.drop(subset=[*keys, point]).withColumn("_point", _whole(points, point)).withColumn(
+        "_width", F.explode(F.array(*[F.lit(w) for w in widths]).cast("array<int>")))
+    spread = spread.withColumn("_bin", F.expr("shiftright(_point, _width)"))
+    met = spread.join(placed, [*keys, "_width", "_bin"]).where("_point BETWEEN _start AND _end")
+    return met.drop("_start", "_end", "_width", "_bin", "_point")
+
+
 def new_rows(incoming: DataFrame, stored: DataFrame, keys: list[str]) -> DataFrame:
     """Incoming rows whose key is not stored yet, one for each key: the least by its other columns in order.
 

@@ -2,20 +2,24 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 import numpy as np
 import pandas as pd
 from pyspark.ml.feature import OneHotEncoder, VectorAssembler
 from pyspark.ml.regression import LinearRegression, LinearRegressionModel
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from tablework.operators.joins import with_group_value
+from tablework.operators.joins import top_rows, with_group_value
 from tablework.operators.ordered import positions
-from tablework.sources.tables import seeded_digest
+from tablework.sources.tables import seeded_digest, staged
 
-# Labelled rows that nearest neighbours are searched among, and test rows compared with them at once: 256 x 50,000
-# doubles are 100 MB in a task.
+# Training rows that every task may hold, and test rows compared with them at once: 256 x 50,000 doubles are 100 MB in a
+# task. More training rows are kept in cells round so many pivots, and in blocks of about so many rows.
 MAX_TRAIN = 50_000
 TEST_BLOCK = 256
+PIVOTS = 256
+BLOCK_ROWS = 5000
 
 
 def linear_model(df: DataFrame, features: list[str], label: str) -> tuple[LinearRegressionModel, DataFrame]:
@@ -60,6 +64,18 @@ def encode_categories(df: DataFrame, columns: list[str]) -> DataFrame:
     return encoder.fit(df).transform(df)
 
 
+def _lowest(distance: np.ndarray, k: int, limit: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, column, rank) of the k lowest entries of every row, of equal ones the first; none above the row's limit."""
+    last = np.partition(distance, k - 1, axis=1)[:, k - 1]
+    last = last if limit is None else np.minimum(last, limit)
+    row, column = np.nonzero(distance <= last[:, None])
+    order = np.lexsort((column, distance[row, column], row))
+    row, column = row[order], column[order]
+    rank = np.arange(len(row)) - np.searchsorted(row, row) + 1
+    near = rank <= k
+    return row[near], column[near], rank[near]
+
+
 def _nearest(k: int, train_id, matrix, labels, rows_at_once: int):
     squares = (matrix * matrix).sum(1)
 
@@ -71,13 +87,7 @@ def _nearest(k: int, train_id, matrix, labels, rows_at_once: int):
                 square = (a * a).sum(1)[:, None] + squares[None, :] - 2.0 * a @ matrix.T
                 # rounded so that equal vectors tie exactly; the lower id then comes first
                 distance = np.round(np.maximum(square, 0.0), 9)
-                last = np.partition(distance, k - 1, axis=1)[:, k - 1 : k]
-                row, column = np.nonzero(distance <= last)
-                order = np.lexsort((column, distance[row, column], row))
-                row, column = row[order], column[order]
-                rank = np.arange(len(row)) - np.searchsorted(row, row) + 1
-                near = rank <= k
-                row, column, rank = row[near], column[near], rank[near]
+                row, column, rank = _lowest(distance, k)
                 yield pd.DataFrame({
                     "id": part["id"].to_numpy()[row], "distance": distance[row, column], "neighbour": train_id[column],
                     "neighbour_label": labels[column], "rank": rank,
@@ -86,23 +96,143 @@ def _nearest(k: int, train_id, matrix, labels, rows_at_once: int):
     return in_batches
 
 
+class _Cells(NamedTuple):
+    """Training rows in cells round pivots, each cell cut into blocks, and what the driver knows of the cells."""
+
+    rows: DataFrame
+    pivots: np.ndarray
+    sizes: np.ndarray
+    nearest: np.ndarray
+    farthest: np.ndarray
+    blocks: np.ndarray
+
+
+def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    square = (a * a).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2.0 * a @ b.T
+    return np.maximum(square, 0.0)
+
+
+def _matrix(features) -> np.ndarray:
+    return np.stack(features).astype("float64")
+
+
+def _cells(train: DataFrame, pivot_rows: int, block_rows: int, seed: int) -> _Cells:
+    """Every training row goes to its nearest pivot; the pivots are ``pivot_rows`` rows drawn by a seeded digest."""
+    drawn = train.orderBy(seeded_digest(seed, "id"), "id").limit(pivot_rows).toPandas()
+    pivots = np.unique(_matrix(drawn["features"]), axis=0)
+
+    def assign(batches):
+        for batch in batches:
+            if len(batch):
+                square = _distances(_matrix(batch["features"]), pivots)
+                cell = square.argmin(1)
+                yield batch.assign(cell=cell.astype("int32"), reach=np.sqrt(square[np.arange(len(batch)), cell]))
+
+    placed = staged(train.mapInPandas(assign, train.schema.add("cell", "integer").add("reach", "double")), "cells")
+    known = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.min("reach").alias("low"), F.max("reach").alias("high")).collect()
+    sizes, low, high = np.zeros(len(pivots), np.int64), np.full(len(pivots), np.inf), np.zeros(len(pivots))
+    for row in known:
+        sizes[row["cell"]], low[row["cell"]], high[row["cell"]] = row["n"], row["low"], row["high"]
+    return _Cells(placed, pivots, sizes, low, high, -(-sizes // block_rows))
+
+
+def _per_cell(values: np.ndarray, cell: str = "cell") -> Column:
+    """A literal array with one number per pivot, at the row's cell."""
+    return F.get(F.array(*[F.lit(int(v)) for v in values]), F.col(cell))
+
+
+def _compared(pairs: DataFrame, cells: _Cells, k: int, test_rows: int) -> DataFrame:
+    """(t, distance, neighbour, neighbour_label): the k nearest rows of a cell's blocks for each (t, features, limit, cell).
+
+    A task compares at most about ``test_rows`` test rows with one block; a cell that many test rows ask for is read by several.
+    """
+    pairs = staged(pairs, "pairs")
+    asked = {r["cell"]: r["count"] for r in pairs.groupBy("cell").count().collect()}
+    shares = np.array([-(-asked.get(c, 0) // test_rows) for c in range(len(cells.sizes))])
+    up_to = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+    left = pairs.withColumn("block", up_to(_per_cell(cells.blocks))).withColumn(
+        "share", F.pmod(F.xxhash64("t"), _per_cell(np.maximum(shares, 1))).cast("int"))
+    wanted = cells.rows.where(_per_cell(shares) > 0)
+    right = wanted.withColumn("block", F.pmod(F.xxhash64("id"), _per_cell(cells.blocks)).cast("int")).withColumn("share", up_to(_per_cell(shares)))
+    kinds = dict(cells.rows.dtypes)
+
+    def nearest(tests: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
+        if not len(tests) or not len(block):
+            return pd.DataFrame({"t": [], "distance": [], "neighbour": [], "neighbour_label": []})
+        block = block.sort_values("id")
+        # rounded so that equal vectors tie exactly; the lower id then comes first
+        distance = np.round(_distances(_matrix(tests["features"]), _matrix(block["features"])), 9)
+        row, column, _ = _lowest(distance, min(k, len(block)), tests["limit"].to_numpy())
+        return pd.DataFrame({"t": tests["t"].to_numpy()[row], "distance": distance[row, column],
+                             "neighbour": block["id"].to_numpy()[column], "neighbour_label": block["label"].to_numpy()[column]})
+
+    on = ["cell", "block", "share"]
+    found = left.groupBy(*on).cogroup(right.groupBy(*on)).applyInPandas(
+        nearest, f"t long, distance double, neighbour {kinds['id']}, neighbour_label {kinds['label']}")
+    return top_rows(found, ["t"], [F.col("distance"), F.col("neighbour")], k)
+
+
+def searched_cells(tests: DataFrame, cells: _Cells, k: int) -> DataFrame:
+    """(t, features, limit, cell): cells that can hold one of the k nearest rows of (t, features, limit).
+
+    Without a limit (null) the nearest cells that hold k rows together; with one, the distance of the k-th row found there,
+    all other cells that the triangle inequality does not rule out.
+    """
+    pivots, sizes, low, high = cells.pivots, cells.sizes, cells.nearest, cells.farthest
+
+    def choose(batches):
+        for batch in batches:
+            if not len(batch):
+                continue
+            away = np.sqrt(_distances(_matrix(batch["features"]), pivots))
+            order = np.argsort(away, axis=1, kind="stable")
+            before = np.cumsum(sizes[order], axis=1) - sizes[order]
+            first = np.zeros(away.shape, bool)
+            np.put_along_axis(first, order, before < k, axis=1)
+            limit = batch["limit"].to_numpy(dtype="float64", na_value=np.nan)
+            radius = np.sqrt(np.nan_to_num(limit, nan=0.0))[:, None]
+            # a little more than the radius, for rounding
+            within = np.maximum(away - high, low - away) <= radius * (1 + 1e-9) + 1e-6
+            chosen = np.where(np.isnan(limit)[:, None], first, within & ~first) & (sizes > 0)
+            row, cell = np.nonzero(chosen)
+            yield pd.DataFrame({"t": batch["t"].to_numpy()[row], "features": batch["features"].to_numpy()[row],
+                                "limit": np.nan_to_num(limit, nan=np.inf)[row], "cell": cell.astype("int32")})
+
+    return tests.select("t", "features", "limit").mapInPandas(choose, "t long, features array<double>, limit double, cell int")
+
+
+def _in_cells(train: DataFrame, test: DataFrame, k: int, pivot_rows: int, block_rows: int, test_rows: int, seed: int) -> DataFrame:
+    cells = _cells(train, pivot_rows, block_rows, seed)
+    tests = staged(test.withColumn("t", F.monotonically_increasing_id()), "tests")
+    near = staged(_compared(searched_cells(tests.withColumn("limit", F.lit(None).cast("double")), cells, k), cells, k, test_rows), "near")
+    # every test row has found k rows here, or all there are
+    limits = near.groupBy("t").agg(F.max("distance").alias("limit"))
+    rest = _compared(searched_cells(tests.join(limits, "t"), cells, k), cells, k, test_rows)
+    best = near.unionByName(rest).withColumn("rank", F.row_number().over(W.partitionBy("t").orderBy("distance", "neighbour"))).where(F.col("rank") <= k)
+    return tests.select("t", "id").join(best, "t").select("id", "distance", "neighbour", "neighbour_label", "rank")
+
+
 def nearest_neighbours(train: DataFrame, test: DataFrame, id_col: str, features: str, label: str, k: int,
-                       test_block: int = TEST_BLOCK, max_train: int = MAX_TRAIN, seed: int = 0) -> DataFrame:
-    """Exact k nearest of the fitted training rows of every test row, by squared Euclidean distance.
+                       test_block: int = TEST_BLOCK, max_train: int = MAX_TRAIN, pivots: int = PIVOTS, seed: int = 0) -> DataFrame:
+    """Exact k nearest training rows of every test row, by squared Euclidean distance; of equal ones the lowest ids.
 
-    At most ``max_train`` labelled rows are fitted, drawn in the order of a seeded digest of their id, so the matrix that
-    every task holds has a bound; test rows are compared where they lie, ``test_block`` at a time, and never shuffled.
+    Up to ``max_train`` training rows every task holds them all, and test rows are compared where they lie, ``test_block`` at
+    a time, never shuffled. Beyond it training rows are kept in cells round ``pivots`` of them: a test row is compared
+    with its nearest cells first, and then only with the cells that the triangle inequality does not rule out, in blocks of
+    bounded size. Rows without features are left out.
     """
-    row = lambda df: df.select(F.col(id_col).alias("id"), F.col(features).alias("features"), F.col(label).alias("label"))
-    drawn = row(train).where("features IS NOT NULL").orderBy(seeded_digest(seed, "id"), "id").limit(max_train)
-    fitted = drawn.toPandas().sort_values("id")
+    row = lambda df: df.select(F.col(id_col).alias("id"), F.col(features).cast("array<double>").alias("features"),
+                               F.col(label).alias("label")).where("features IS NOT NULL")
     kinds = {f.name: f.dataType.simpleString() for f in row(train).schema}
     schema = f"id {row(test).schema['id'].dataType.simpleString()}, distance double, neighbour {kinds['id']}, neighbour_label {kinds['label']}, rank int"
+    fitted = row(train).limit(max_train + 1).toPandas()
+    if len(fitted) > max_train:
+        return _in_cells(row(train), row(test), k, pivots, BLOCK_ROWS, 4 * test_block, seed)
+    fitted = fitted.sort_values("id")
     if fitted.empty:
         return test.sparkSession.createDataFrame([], schema)
-    matrix = np.stack(fitted["features"]).astype("float64")
-    find = _nearest(min(k, len(fitted)), fitted["id"].to_numpy(), matrix, fitted["label"].to_numpy(), test_block)
-    return row(test).where("features IS NOT NULL").mapInPandas(find, schema)
+    find = _nearest(min(k, len(fitted)), fitted["id"].to_numpy(), _matrix(fitted["features"]), fitted["label"].to_numpy(), test_block)
+    return row(test).mapInPandas(find, schema)
 
 
 def knn_classify(train: DataFrame, test: DataFrame, id_col: str, features: str, label: str, ks: list[int],

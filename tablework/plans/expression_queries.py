@@ -77,7 +77,7 @@ def extract_with_default(spark, sf):
     return table(spark, sf, "part").select("p_partkey", *_alias(
         capacity=F.trim(text.extract_or(line, text.ENGINE_CAPACITY, text.NOT_SPECIFIED)),
         power=F.trim(text.extract_or(line, text.ENGINE_POWER, text.NOT_SPECIFIED)),
-        rest=text.extract_or(line, text.LAST_PART, text.NOT_DEFINED)))
+        rest=text.extract_or(line, text.LAST_PART, text.NOT_DEFINED, 2)))
 
 
 @query("H8", "SELECT p_partkey, CAST(p_partkey AS BIGINT) * 10000000 + p_size AS kilometres FROM part")
@@ -275,11 +275,22 @@ def weighted_channel_sum(spark, sf):
     b AS (SELECT k, label AS j, avg(v) AS v FROM a GROUP BY 1, 2)
     SELECT a.i, b.j, round(sum(a.v * b.v), 5) + 0.0::DOUBLE AS v FROM a JOIN b ON a.k = b.k GROUP BY 1, 2""")
 def matrix_product(spark, sf):
-    """Vectors times the matrix of label means, both in coordinate form."""
-    vectors = table(spark, sf, "embeddings")
-    a = matrix.coordinates(vectors, "vec_id", "embedding", "label")
-    b = a.groupBy("k", F.col("label").alias("j")).agg(F.avg("v").alias("v"))
-    return matrix.product(a.drop("label"), b).withColumn("v", F.round("v", 5))
+    """Vectors times the matrix of label means."""
+    vectors = table(spark, sf, "embeddings").withColumn("embedding", F.col("embedding").cast("array<double>"))
+    means = matrix.coordinates(vectors, "vec_id", "embedding", "label").groupBy("k", F.col("label").alias("j")).agg(F.avg("v").alias("v"))
+    return matrix.tiled_product(vectors, "vec_id", "embedding", staged(means, "means")).withColumn("v", F.round("v", 5) + F.lit(0.0))
+
+
+@query("H24", """
+    WITH a AS (SELECT label AS i, unnest(range(len(embedding))) AS k, CAST(unnest(embedding) AS DOUBLE) AS v FROM embeddings)
+    SELECT a.i, b.i AS j, round(sum(a.v * b.v), 4) + 0.0::DOUBLE AS v
+    FROM (SELECT i, k, avg(v) AS v FROM a GROUP BY 1, 2) a JOIN (SELECT i, k, avg(v) AS v FROM a GROUP BY 1, 2) b ON a.k = b.k GROUP BY 1, 2""")
+def matrix_by_coordinates(spark, sf):
+    """The matrix of label means times its transpose, both in coordinate form."""
+    cells = matrix.coordinates(table(spark, sf, "embeddings"), "vec_id", "embedding", "label")
+    means = cells.groupBy("label", "k").agg(F.avg("v").alias("v"))
+    a, b = means.withColumnRenamed("label", "i"), means.withColumnRenamed("label", "j")
+    return matrix.product(a, b).withColumn("v", F.round("v", 4) + F.lit(0.0))
 
 
 @query("H25", """

@@ -10,6 +10,7 @@ from tablework.operators import history, ml
 from tablework.operators.reshape import stack
 from tablework.plans.registry import query
 from tablework.session import scratch_path, table
+from tablework.sources.buckets import BucketTable
 from tablework.sources.tables import staged
 from tablework.streaming import ingest
 
@@ -34,7 +35,9 @@ def _new_customers(spark, sf):
     SELECT * FROM {NEW_SQL} UNION ALL SELECT * FROM customer WHERE c_custkey % 11 = 0""")
 def upsert_rows(spark, sf):
     old, new = _new_customers(spark, sf)
-    return history.upsert(old, new, ["c_custkey"])
+    stored = BucketTable(spark, scratch_path(spark, "customers")).create(old, ["c_custkey"], buckets=8)
+    history.upsert_table(stored, new, ["c_custkey"])
+    return stored.read()
 
 
 @query("J2", """
@@ -62,8 +65,9 @@ def snapshot_comparison_history(spark, sf):
                            F.lit(None).cast("date").alias("valid_till"))
     closed_rows = old.select("c_custkey", F.lit("NONE").alias("c_mktsegment"), "c_nationkey",
                              day("2022-01-01").alias("valid_since"), day("2023-01-01").alias("valid_till"))
-    return history.scd2_apply(open_rows.unionByName(closed_rows), old, new, "c_custkey",
-                              ["c_mktsegment", "c_nationkey"], day("2024-02-01"))
+    stored = BucketTable(spark, scratch_path(spark, "segments")).create(open_rows.unionByName(closed_rows), ["c_custkey"], buckets=8)
+    history.scd2_apply_table(stored, old, new, "c_custkey", ["c_mktsegment", "c_nationkey"], day("2024-02-01"))
+    return stored.read()
 
 
 @query("J4", f"""
@@ -204,7 +208,7 @@ def stream_running_max(spark, sf):
     out = scratch_path(spark, "highest")
     stream = ingest.read_files(spark, path, schema, files_per_batch=2)
     ingest.running_max(stream, ["user_id"], "value", out, f"{out}-checkpoint").awaitTermination()
-    return ingest.current(spark, out, "user_id bigint, highest double", ["user_id"], F.col("highest"))
+    return ingest.current(spark, [f"{out}-checkpoint"], ["user_id"])
 
 
 @query("L1", """
@@ -269,8 +273,7 @@ def stratified_split(spark, sf):
     WITH s AS ({_split_sql('embeddings', 'label', 'vec_id', 7)}),
     d AS (SELECT t.vec_id, t.label, r.vec_id AS n, r.label AS nl,
             round(list_sum(list_transform(list_zip(t.embedding, r.embedding), lambda z: (CAST(z[1] AS DOUBLE) - CAST(z[2] AS DOUBLE)) * (CAST(z[1] AS DOUBLE) - CAST(z[2] AS DOUBLE)))), 9) AS dist
-          FROM s t, (SELECT * FROM s WHERE part = 'train' QUALIFY row_number() OVER (ORDER BY md5('0-' || vec_id), vec_id) <= {ml.MAX_TRAIN}) r
-          WHERE t.part = 'test'),
+          FROM s t, (SELECT * FROM s WHERE part = 'train') r WHERE t.part = 'test'),
     k AS (SELECT vec_id, label, nl, row_number() OVER (PARTITION BY vec_id ORDER BY dist, n) AS rank FROM d),
     v AS (SELECT vec_id, label, ks.k, nl, count(*) AS c, min(rank) AS f FROM k JOIN (SELECT unnest(range(1, 11)) AS k) ks ON rank <= ks.k GROUP BY ALL),
     p AS (SELECT vec_id, label, k, arg_max(nl, (c, -f)) AS predicted FROM v GROUP BY ALL)

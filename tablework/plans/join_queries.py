@@ -10,6 +10,7 @@ from tablework.operators.filters import with_one_row
 from tablework.plans.registry import query
 from tablework.session import scratch_path, table
 from tablework.sources import delimited
+from tablework.sources.tables import staged
 
 
 def _t(spark, sf, *names):
@@ -143,6 +144,21 @@ def range_join_on_or_before(spark, sf):
         F.sum("n").alias("orders"), F.max("day").alias("latest"), F.round(F.sum("t"), 2).alias("total")])
 
 
+@query("C7", """
+    SELECT a.o_orderkey, b.o_orderkey AS later_orderkey, CAST(b.o_orderdate AS DATE) - CAST(a.o_orderdate AS DATE) AS days
+    FROM orders a JOIN orders b ON a.o_custkey = b.o_custkey AND CAST(b.o_orderdate AS DATE) >= CAST(a.o_orderdate AS DATE)
+      AND CAST(b.o_orderdate AS DATE) <= CAST(a.o_orderdate AS DATE) + CASE WHEN a.o_orderpriority = '1-URGENT' THEN 365 ELSE 30 END
+      AND a.o_orderkey <> b.o_orderkey""")
+def range_join_details(spark, sf):
+    """Later orders of the same customer, within a month or, after an urgent one, a year."""
+    orders = _t(spark, sf, "orders").select("o_custkey", "o_orderkey", F.to_date("o_orderdate").alias("since"), "o_orderpriority")
+    reach = F.when(F.col("o_orderpriority") == "1-URGENT", 365).otherwise(30)
+    spans = orders.select("o_custkey", "o_orderkey", "since", F.date_add("since", reach).alias("till"))
+    later = orders.select("o_custkey", F.col("o_orderkey").alias("later_orderkey"), F.col("since").alias("day"))
+    pairs = joins.interval_join(later, spans, ["o_custkey"], "day", "since", "till").where("o_orderkey != later_orderkey")
+    return pairs.select("o_orderkey", "later_orderkey", F.datediff("day", "since").cast("bigint").alias("days"))
+
+
 @query("C8", """
     SELECT o.o_orderkey, m.first_day, m.top_price, round(o.o_totalprice / m.top_price, 6) AS share
     FROM orders o CROSS JOIN (SELECT min(CAST(o_orderdate AS DATE)) AS first_day, max(o_totalprice) AS top_price FROM orders) m""")
@@ -222,10 +238,11 @@ def join_within_a_day(spark, sf):
 @query("C15", "SELECT p_partkey, p_name, p_size, p_retailprice FROM part")
 def zip_join_files(spark, sf):
     """Two column slices of one ordered table, written to a different number of files each."""
-    part = _t(spark, sf, "part").orderBy("p_partkey")
+    # ordered and written once, so that both slices meet the rows in one order
+    part = staged(_t(spark, sf, "part").orderBy("p_partkey"), "ordered_part")
     a, b = scratch_path(spark, "zip_a"), scratch_path(spark, "zip_b")
     delimited.write_delimited(part.select("p_partkey", "p_name"), a)
-    delimited.write_delimited(part.select("p_size", "p_retailprice").coalesce(3), b)
+    delimited.write_delimited(part.select("p_size", "p_retailprice"), b, maxRecordsPerFile=5_000)
     left = delimited.read_delimited(spark, a, "p_partkey bigint, p_name string")
     right = delimited.read_delimited(spark, b, "p_size int, p_retailprice double")
     return delimited.zip_join(left, right).drop("line")

@@ -413,7 +413,8 @@ def listing_ingest(spark, sf):
            lpad(CAST(o_orderkey % 9999 AS VARCHAR), 4, '0') AS payment, 'c' || lpad(CAST(o_custkey % 99999 AS VARCHAR), 5, '0') AS vehicle_code FROM orders""")
 def toll_consolidation(spark, sf):
     """Comma, tab and fixed-width slices of the same rows, joined line by line."""
-    orders = table(spark, sf, "orders").orderBy("o_orderkey").withColumn("day", F.to_date("o_orderdate"))
+    # ordered and written once, so that all slices meet the rows in one order
+    orders = staged(table(spark, sf, "orders").orderBy("o_orderkey"), "ordered").withColumn("day", F.to_date("o_orderdate"))
     key, cust = F.col("o_orderkey"), F.col("o_custkey")
     comma, tab, fixed = (scratch_path(spark, f"toll_{n}") for n in ("csv", "tsv", "fixed"))
     delimited.write_delimited(orders.select("o_orderkey", "o_custkey", "day", F.lower("o_orderpriority"), "o_orderstatus", "o_totalprice"), comma)

@@ -21,6 +21,33 @@ def csv_with_header(spark, sf):
     return delimited.read_delimited(spark, path, CUSTOMER, header=True)
 
 
+TEXTS = "doc_id bigint, text string, lang string, note string"
+TEXTS_SQL = """SELECT doc_id, text, lang, CASE doc_id % 5 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN '  "' || lang || '", ;  '
+    WHEN 3 THEN chr(10) || text || chr(13) || chr(10) ELSE '\\N' END AS note FROM documents"""
+
+
+def _texts(spark, sf):
+    """Whole texts with line breaks, and notes that are null, empty, blank at the ends, quoted or broken over lines."""
+    n = F.col("doc_id") % 5
+    note = F.when(n == 0, None).when(n == 1, "").when(n == 2, F.concat(F.lit('  "'), "lang", F.lit('", ;  '))).when(
+        n == 3, F.concat(F.lit("\n"), "text", F.lit("\r\n"))).otherwise("\\N")
+    return table(spark, sf, "documents").select("doc_id", "text", "lang", note.alias("note"))
+
+
+@query("A1 A13", TEXTS_SQL)
+def csv_whole_texts(spark, sf):
+    path = scratch_path(spark, "texts_csv")
+    delimited.write_delimited(_texts(spark, sf), path, header=True, maxRecordsPerFile=20_000)
+    return delimited.read_delimited(spark, path, TEXTS, header=True, multi_line=True)
+
+
+@query("A2 A14", TEXTS_SQL)
+def csv_semicolon_texts(spark, sf):
+    path = scratch_path(spark, "texts_semicolon")
+    delimited.write_delimited(_texts(spark, sf), path, sep=";", maxRecordsPerFile=20_000)
+    return delimited.read_delimited(spark, path, TEXTS, sep=";", multi_line=True)
+
+
 @query("A2 A14", "SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier")
 def csv_semicolon(spark, sf):
     path = scratch_path(spark, "supplier_semicolon")

@@ -8,15 +8,28 @@ from tablework.functions.text import strip_cr
 from tablework.operators.ordered import running
 
 
+# Quotes inside a quoted field are doubled, and blanks at the ends of a field belong to it, for readers and writers alike.
+_TEXT = {"escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+# Stands for a quoted empty field while a file is read: Spark would take it for the unquoted one, which is null.
+_EMPTY = "\u0001empty\u0001"
+
+
 def read_delimited(spark: SparkSession, path: str, schema: str, sep: str = ",", header: bool = False,
-                   columns: list[str] | None = None) -> DataFrame:
-    """Read with a declared schema; ``columns`` keeps only some fields (pruned in the scan)."""
-    df = spark.read.schema(schema).option("sep", sep).option("header", header).csv(path)
-    return df.select(*columns) if columns else df
+                   columns: list[str] | None = None, multi_line: bool = False) -> DataFrame:
+    """Read with a declared schema; ``columns`` keeps only some fields (pruned in the scan).
+
+    Texts come back as they were written, an empty one quoted and null as nothing. ``multi_line`` reads quoted fields with line
+    breaks; a file is then one task, so write many files of moderate size.
+    """
+    reader = spark.read.schema(schema).option("sep", sep).option("header", header).option("multiLine", multi_line)
+    df = reader.options(**_TEXT, emptyValue=_EMPTY).csv(path)
+    df = df.select(*columns) if columns else df
+    return df.select(*[F.when(F.col(c) == _EMPTY, "").otherwise(F.col(c)).alias(c) if t == "string" else F.col(c) for c, t in df.dtypes])
 
 
-def write_delimited(df: DataFrame, path: str, sep: str = ",", header: bool = False, mode: str = "errorifexists"):
-    df.write.mode(mode).option("sep", sep).option("header", header).csv(path)
+def write_delimited(df: DataFrame, path: str, sep: str = ",", header: bool = False, mode: str = "errorifexists", **options):
+    """Fields are quoted where they need it; ``options`` go to the writer (for example maxRecordsPerFile)."""
+    df.write.mode(mode).option("sep", sep).option("header", header).options(**_TEXT, **options).csv(path)
 
 
 def read_tab_fields(spark: SparkSession, path: str, schema: str, columns: list[str]) -> DataFrame:

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 LOG_PAIR_SEP = r"\|"
 LOG_VALUE_SEP = r" \? "
 
+NO_JSON = "no JSON"
+
 
 def read_pages(spark: SparkSession, path: str, row_schema: str) -> DataFrame:
     """Landed API pages to rows: one row per element of ``response``; pages that report errors are skipped.
@@ -34,6 +36,30 @@ def read_items(spark: SparkSession, path: str, schema: str, array: str, tag_patt
     )
 
 
+def variant_fields(df: DataFrame, text: str, fields: dict[str, tuple[str, str]]) -> tuple[DataFrame, DataFrame]:
+    """Fields ``{name: (path, type)}`` of JSON texts of any shape: (rows with the fields, rejected rows with the reason).
+
+    A text is parsed once, without a schema. A field that is missing or null is null; a text that is no JSON, or whose field
+    holds something that does not fit its type, is rejected with the names of these fields, instead of becoming null
+    without a trace. A null text is kept, all its fields null. Keep ``df`` cheap or stage it: both sides read it.
+    """
+    parsed = df.withColumn("_v", F.try_parse_json(text))
+    values = {name: F.try_variant_get("_v", path, kind) for name, (path, kind) in fields.items()}
+    held = {name: F.try_variant_get("_v", path, "variant") for name, (path, _) in fields.items()}
+    misfits = F.array_compact(F.array(*[
+        F.when(held[name].isNotNull() & ~F.is_variant_null(held[name]) & values[name].isNull(), F.lit(name)) for name in fields]))
+    reason = F.when(F.col(text).isNotNull() & F.col("_v").isNull(), F.lit(NO_JSON)).otherwise(F.nullif(F.array_join(misfits, ","), F.lit("")))
+    judged = parsed.select(*df.columns, *[v.alias(name) for name, v in values.items()], reason.alias("_reason"))
+    good = judged.where("_reason IS NULL").drop("_reason")
+    bad = judged.where("_reason IS NOT NULL").select(*df.columns, F.col("_reason").alias("reason"))
+    return good, bad
+
+
+def variant_schema(df: DataFrame, text: str, *by: str) -> DataFrame:
+    """The merged schema of all JSON texts, per group: what a reader of them has to expect."""
+    return df.groupBy(*by).agg(F.schema_of_variant_agg(F.try_parse_json(text)).alias("schema"))
+
+
 def kv_pairs(line: Column | str) -> Column:
     """Key and value of each pair of a line, in order."""
     parts = F.transform(F.split(line, LOG_PAIR_SEP), lambda p: F.split(p, LOG_VALUE_SEP, 2))

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
-from pyspark.sql.streaming import StreamingQuery
+from contextlib import contextmanager
+from functools import reduce
+
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F, types as T
+from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
 
 # The topics of the sensor feed.
 TOPICS = ("vehicle_data", "gps_data", "traffic_data", "weather_data", "emergency_data")
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 
 def kafka_options(servers: str, topics: list[str], starting: str = "earliest") -> dict[str, str]:
     return {"kafka.bootstrap.servers": servers, "subscribe": ",".join(topics), "startingOffsets": starting}
@@ -50,37 +55,89 @@ def _batch_path(path: str, run: str, batch: int) -> str:
     return f"{path}/run={run}/batch={batch}"
 
 
-def _stored_before(spark: SparkSession, path: str, schema, run: str, batch: int) -> DataFrame | None:
-    """Rows of other runs and of earlier batches, so that a repeated batch does not meet its own first attempt."""
+def _stored(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
-        return None
-    return spark.read.schema(schema).parquet(path).where((F.col("run") != run) | (F.col("batch") < batch))
-
-
-def append_unseen(stream: DataFrame, keys: list[str], order: list[str], path: str, checkpoint: str) -> StreamingQuery:
+    exists = folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+    return spark.read.schema(schema).parquet(path) if exists else None
+
+
+@contextmanager
+def _state_on_disk(spark: SparkSession):
+    """Settings for streams started inside: state in RocksDB, and a stream on available data ends when it has read them."""
+    names = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB, "spark.sql.streaming.noDataMicroBatches.enabled": "false"}
+    before = {name: spark.conf.get(name, None) for name in names}
+    for name, value in names.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def _first_seen(order: list[str], time: str | None, forget_ms: int | None) -> StatefulProcessor:
+    """Per key: the first row of the first batch that has the key. Rows behind the watermark come out marked late."""
+
+    class FirstSeen(StatefulProcessor):
+        def init(self, handle):
+            self.seen = handle.getValueState("seen", "known boolean", forget_ms)
+
+        def handleInputRows(self, key, rows, timers):
+            mark = timers.getCurrentWatermarkInMs() if time else None
+            first = least = None
+            for row in rows:
+                if mark and row[time] is not None and row[time].timestamp() * 1000 < mark:
+                    yield Row(**row.asDict(), _late=True)
+                    continue
+                # nulls first
+                at = tuple((row[c] is not None, row[c]) for c in order)
+                if first is None or at < least:
+                    first, least = row, at
+            if first is not None and not self.seen.exists():
+                self.seen.update((True,))
+                yield Row(**first.asDict(), _late=False)
+
+        def handleInitialState(self, key, stored, timers):
+            self.seen.update((True,))
+
+        def close(self):
+            pass
+
+    return FirstSeen()
+
+
+def append_unseen(stream: DataFrame, keys: list[str], order: list[str], path: str, checkpoint: str, *, time: str | None = None,
+                  lateness: str | None = None, forget_ms: int | None = None) -> StreamingQuery:
     """Write only rows whose key was not stored by an earlier batch; the first row wins inside a batch.
 
-    All keys ever stored are compared, those of other runs as well, so nothing is accepted twice. Each batch owns the
-    folder ``run=<stream id>/batch=<id>`` and overwrites it when it is retried; a stream that starts anew on a filled
-    store, with batch 0 of a new checkpoint, writes beside the stored rows. A null key is a key like any other.
+    The keys are state of the stream, in RocksDB: a batch looks up its own keys, whatever the number of stored ones. A stream
+    that starts with a new checkpoint on a filled store reads the stored keys once, as its initial state, so that
+    nothing is accepted twice. Each batch owns the folder ``run=<stream id>/batch=<id>`` and overwrites it when it is retried.
+    A null key is a key like any other.
+
+    With ``time`` (a timestamp column) and ``lateness`` (an interval such as ``"1 hour"``), rows that lie further behind the
+    newest row of earlier batches are written below ``<path>-late`` instead, and their keys are not looked up. ``forget_ms``
+    drops a key that long after it was accepted, by the clock, so that the state stays bounded; it comes back as a new one.
     """
-    rest = [c for c in stream.columns if c not in keys]
-    schema = T.StructType([*stream.schema.fields, T.StructField("run", T.StringType()), T.StructField("batch", T.LongType())])
+    spark, columns = stream.sparkSession, stream.columns
+    schema = T.StructType([*stream.schema.fields, T.StructField("_late", T.BooleanType())])
+    known = _stored(spark, path, stream.schema) if not _stored(spark, f"{checkpoint}/metadata", stream.schema) else None
+    timed = stream.withWatermark(time, lateness) if time else stream
+    clock = "ProcessingTime" if time or forget_ms else "None"
+    first = timed.groupBy(*keys).transformWithState(
+        _first_seen(order, time, forget_ms), schema, "Append", clock, known.select(*keys).distinct().groupBy(*keys) if known else None)
 
     def write(rows: DataFrame, batch: int):
-        unique = rows.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.struct(*order)).alias("_r")).select(*keys, "_r.*")
-        run = _run_of(rows.sparkSession, checkpoint)
-        stored = _stored_before(rows.sparkSession, path, schema, run, batch)
-        if stored is not None:
-            known = stored.select(*[F.col(k).alias(f"_known_{k}") for k in keys])
-            unique = unique.join(known, [F.col(k).eqNullSafe(F.col(f"_known_{k}")) for k in keys], "left_anti")
-        unique.write.mode("overwrite").parquet(_batch_path(path, run, batch))
+        here = _run_of(rows.sparkSession, checkpoint)
+        if not time:
+            return rows.select(*columns).write.mode("overwrite").parquet(_batch_path(path, here, batch))
+        rows = rows.persist()
+        rows.where("NOT _late").select(*columns).write.mode("overwrite").parquet(_batch_path(path, here, batch))
+        rows.where("_late").select(*columns).write.mode("overwrite").parquet(_batch_path(f"{path}-late", here, batch))
+        rows.unpersist()
 
-    return (
-        stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True).start()
-    )
+    with _state_on_disk(spark):
+        return first.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def unseen_within(stream: DataFrame, keys: list[str], time: str, horizon: str) -> DataFrame:
@@ -95,13 +152,15 @@ def running_max(stream: DataFrame, keys: list[str], value: str, path: str, check
     def write(rows: DataFrame, batch: int):
         rows.write.mode("overwrite").parquet(_batch_path(path, _run_of(rows.sparkSession, checkpoint), batch))
 
-    return (
-        highest.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True).start()
-    )
+    with _state_on_disk(stream.sparkSession):
+        return (
+            highest.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True).start()
+        )
 
 
-def current(spark: SparkSession, path: str, schema: str, keys: list[str], value: Column) -> DataFrame:
-    """State of a running maximum over all batches and runs: it only grows, so the largest row per key counts."""
-    rows = spark.read.schema(f"{schema}, run string, batch bigint").parquet(path)
-    return rows.groupBy(*keys).agg(F.max(value).alias("highest"))
+def current(spark: SparkSession, checkpoints: list[str], keys: list[str]) -> DataFrame:
+    """(keys, highest) of running maxima, from the state of their streams: one row per key and stream, whatever was read."""
+    states = [spark.read.format("statestore").load(checkpoint) for checkpoint in checkpoints]
+    rows = [s.select(*[F.col(f"key.{k}") for k in keys], F.col("value")[s.schema["value"].dataType.names[0]].alias("highest")) for s in states]
+    return reduce(DataFrame.unionByName, rows).groupBy(*keys).agg(F.max("highest").alias("highest"))

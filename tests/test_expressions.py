@@ -45,7 +45,7 @@ def test_dates(one):
 @pytest.mark.parametrize("words, expected", [
     ("Opublikowano 9 minut temu", datetime.datetime(2025, 1, 10, 11, 51)),
     ("1 minutę temu", datetime.datetime(2025, 1, 10, 11, 59)), ("3 godziny temu", datetime.datetime(2025, 1, 10, 9)),
-    ("wczoraj", datetime.datetime(2025, 1, 9, 12)), ("2 dni temu", datetime.datetime(2025, 1, 8, 12)), ("dawno", None),
+    ("wczoraj", datetime.datetime(2025, 1, 9, 12)), ("2 dni temu", datetime.datetime(2025, 1, 8, 12)), ("dawno", None), ("dni", None), (None, None), ("9" * 30 + " dni", None),
 ])
 def test_relative_time(one, words, expected):
     anchor = F.lit("2025-01-10 12:00:00").cast("timestamp_ntz")
@@ -67,7 +67,7 @@ def test_text(one):
     line = "1 234 cm3 • 99 KM • Roomy estate"
     assert one(text.extract_or("t", text.ENGINE_CAPACITY, "-"), t=line) == "1 234 cm3 "
     assert one(text.extract_or("t", text.ENGINE_POWER, "-"), t=line) == " 99 KM "
-    assert one(text.extract_or("t", text.LAST_PART, "-"), t=line) == "Roomy estate"
+    assert one(text.extract_or("t", text.LAST_PART, "-", 2), t=line) == "Roomy estate"
     assert one(text.extract_or("t", text.ENGINE_POWER, "-"), t="electric") == "-"
 
 

@@ -151,18 +151,145 @@ def test_linear_model_equals_least_squares(spark):
     assert [model.intercept, *model.coefficients] == pytest.approx(list(expected))
 
 
-def test_knn_fits_a_bounded_number_of_rows(spark):
-    points = [(i, [float(i)], i) for i in range(50)] + [(50, None, 1), (51, [7.0], None)]
+def test_knn_searches_all_rows_in_cells(spark):
+    """Beyond max_train rows the cells give what the comparison with every row gives, ties, repeats and null rows included."""
+    import numpy as np
+
+    rng = np.random.default_rng(9)
+    centres = rng.normal(size=(12, 4)) * 20
+    points = [(i, (centres[i % 12] + rng.integers(0, 3, 4)).tolist(), i % 5) for i in range(900)]
+    points += [(2000 + i, points[0][1], 7) for i in range(300)] + [(5000, None, 1), (5001, points[3][1], None)]
     df = spark.createDataFrame(points, "id bigint, x array<double>, y int")
-    near = ml.nearest_neighbours(df, df, "id", "x", "y", 3, max_train=10).collect()
-    assert len({r["neighbour"] for r in near}) <= 10 and len(near) == 51 * 3
-    assert near == ml.nearest_neighbours(df.repartition(3), df, "id", "x", "y", 3, max_train=10).collect()
+    test, train = df.where("id % 7 = 0"), df.where("id % 7 != 0")
+    whole = ml.nearest_neighbours(train, test, "id", "x", "y", 6)
+    parts = ml.nearest_neighbours(train, test, "id", "x", "y", 6, max_train=50, pivots=40, test_block=8)
+    same = lambda r: (r["id"], r["rank"], r["neighbour"], round(r["distance"], 6), r["neighbour_label"])
+    assert sorted(map(same, whole.collect()), key=str) == sorted(map(same, parts.collect()), key=str)
+    few = ml.nearest_neighbours(df.where("id < 4"), df.where("id < 2"), "id", "x", "y", 6, max_train=2, pivots=2).collect()
+    assert len(few) == 2 * 4
     assert ml.nearest_neighbours(df.limit(0), df, "id", "x", "y", 3).count() == 0
 
 
+def test_knn_leaves_cells_out(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(9)
+    points = [(i, (np.eye(10)[i % 10] * 50 + rng.normal(size=10)).tolist(), 1) for i in range(1000)]
+    rows = spark.createDataFrame(points, "id bigint, features array<double>, label int")
+    cells = ml._cells(rows, 30, 100, 0)
+    tests = rows.limit(100).withColumn("t", F.col("id")).withColumn("limit", F.lit(100.0))
+    pairs = sum(cells.sizes[r["cell"]] for r in ml.searched_cells(tests, cells, 5).collect())
+    assert 0 < pairs < 100 * 1000 / 3
+
+
 def test_category_index_and_slots(spark):
     df = spark.createDataFrame([(i, "abca"[i % 4] if i % 10 else None) for i in range(50)], "id int, c string")
     got = {r["c"]: (r["c_index"], r["c_hot"].indices.tolist()) for r in ml.encode_categories(df, ["c"]).collect()}
     counts = df.groupBy("c").count().collect()
     order = sorted(counts, key=lambda r: (-r["count"], r["c"] is None, r["c"] or ""))
     assert got == {r["c"]: (float(i), [i]) for i, r in enumerate(order)}
+
+
+def test_a_hot_key_takes_one_exchange_of_rows(spark, skewed):
+    """Cut by fixed bounds: rows are exchanged once, on (block, key); nothing is staged."""
+    for made in (ordered.running(skewed, ["k"], ORDER, outputs(), group_rows=70), ordered.positions(skewed, ["k"], ORDER, group_rows=70)):
+        physical = made._jdf.queryExecution().executedPlan().toString()
+        rows_moved = [line for line in physical.splitlines() if "Exchange hashpartitioning(" in line and "k#" in line and "_ord_block" in line]
+        # one exchange of the rows, one of the totals per block
+        assert len(rows_moved) == 2 and "rangepartitioning" not in physical
+
+
+def test_blocks_are_bounded(spark, skewed):
+    blocked = ordered._blocked(skewed, ["k"], ORDER, 70, False)
+    sizes = blocked.groupBy("k", "_ord_block").count().where("_ord_block > 0 OR k = 0").toPandas()
+    assert len(sizes) > 20 and sizes["count"].max() < 300
+    assert blocked.where("NOT _ord_hot").select("_ord_block").distinct().collect() == [(0,)]
+
+
+def test_frames_that_span_whole_blocks(skewed, rows):
+    """Blocks shorter than the frame: the edge rows of several blocks stand in one row."""
+    out = {"s": ("sum", F.col("v")), "n": ("count", F.lit(1))}
+    plain = ordered.rolling(skewed, ["k"], ORDER, 40, out, bounded=True)
+    assert rows(plain) == rows(ordered.rolling(skewed, ["k"], ORDER, 40, out, group_rows=9).select(plain.columns))
+
+
+def test_descending_orders_and_no_keys(skewed, rows):
+    order = [F.col("t").desc_nulls_last(), F.col("id").desc()]
+    plain = ordered.running(skewed, ["k"], order, outputs(), bounded=True)
+    assert rows(plain) == rows(ordered.running(skewed, ["k"], order, outputs(), group_rows=70).select(plain.columns))
+    out = {"next": (F.col("id"), -1), "s": (F.col("v"), 3)}
+    plain = ordered.shifted(skewed, [], ["id"], out, bounded=True)
+    assert rows(plain) == rows(ordered.shifted(skewed, [], ["id"], out, group_rows=200).select(plain.columns))
+
+
+@pytest.mark.parametrize("accuracy", [10_000, 50])
+def test_quantiles_from_brackets(spark, accuracy):
+    import numpy as np
+
+    values = np.concatenate([np.random.default_rng(1).lognormal(0, 4, 5000), np.full(3000, 2.5), -np.arange(500.0), [0.0]])
+    df = spark.createDataFrame([(float(v), None if i % 3 else int(v) % 7, None) for i, v in enumerate(values)], "a double, b int, c int")
+    probs = {"low": 0.0, "q1": 0.123, "half": 0.5, "q9": 0.987, "top": 1.0}
+    got = {r["column"]: r for r in aggs.exact_quantiles(df, ["a", "b", "c"], probs, accuracy=accuracy).collect()}
+    few = [int(v) % 7 for v in values[::3]]
+    for name, p in probs.items():
+        assert got["a"][name] == pytest.approx(np.quantile(values, p), rel=1e-12)
+        assert got["b"][name] == pytest.approx(np.quantile(few, p))
+    assert "c" not in got and aggs.exact_quantiles(df.where("false"), ["a"], probs).count() == 0
+
+
+def test_products_that_leave_the_range_on_the_way(spark):
+    from fractions import Fraction
+    from math import prod
+
+    rng = __import__("random").Random(1)
+    groups = {
+        1: [100.0] * 200 + [0.01] * 200, 2: [1e-300, 1e-300, 1e300, 1e300, 3.0], 3: [2.0, 0.0, -5.0], 4: [0.0, 0.0], 5: [-1.5],
+        6: [rng.choice([1e3, 1e-3, -7.0, 1 / 7]) for _ in range(10_000)], None: [4.0, 0.25],
+    }
+    df = spark.createDataFrame([(k, i, v) for k, vs in groups.items() for i, v in enumerate(vs)], "k int, i int, v double")
+    got = {(r["k"], r["i"]): r["o"] for r in aggs.product_of_others(df, ["k"], "v", "o").collect()}
+    assert len(got) == sum(map(len, groups.values()))
+    for k, vs in groups.items():
+        zeros, whole = vs.count(0.0), prod(Fraction(v) for v in vs if v)
+        for i in {0, 1, len(vs) - 1} & set(range(len(vs))):
+            want = whole / Fraction(vs[i]) if not zeros else whole if zeros == 1 and not vs[i] else 0
+            try:
+                want = float(want)
+            except OverflowError:
+                want = float("inf") if want > 0 else float("-inf")
+            assert got[k, i] == pytest.approx(want, rel=1e-11)
+
+
+def test_interval_join_against_all_pairs(spark, rows):
+    rng = __import__("random").Random(3)
+    points = [(rng.choice([1, 1, 1, 2, None]), i, rng.choice([None, rng.randrange(-5000, 5000)])) for i in range(300)]
+    spans = []
+    for i in range(200):
+        start = rng.randrange(-5000, 5000)
+        spans.append((rng.choice([1, 1, 2, 3, None]), i, start, rng.choice([start, start + rng.randrange(10), start + rng.randrange(9000), start - 5, None])))
+    left = spark.createDataFrame(points, "k int, p int, at long")
+    right = spark.createDataFrame(spans, "k int, s int, a long, b long")
+    want = [(k, p, s) for k, p, at in points for q, s, a, b in spans if k is not None and k == q and None not in (at, b) and a <= at <= b]
+    joined = joins.interval_join(left, right, ["k"], "at", "a", "b")
+    assert rows(joined.select("k", "p", "s")) == sorted(want, key=str) and joined.columns == ["k", "p", "at", "s", "a", "b"]
+    assert "NestedLoop" not in joined._jdf.queryExecution().executedPlan().toString()
+    days = [F.date_add(F.lit("2020-01-01").cast("date"), F.col(c).cast("int")).alias(c) for c in ("a", "b")]
+    dated = joins.interval_join(left.select("k", "p", F.date_add(F.lit("2020-01-01").cast("date"), F.col("at").cast("int")).alias("at")),
+                                right.select("k", "s", *days), ["k"], "at", "a", "b")
+    assert rows(dated.select("k", "p", "s")) == sorted(want, key=str)
+    assert joins.interval_join(left, right.where("false"), ["k"], "at", "a", "b").count() == 0
+
+
+def test_tiled_product_of_wide_rows(spark):
+    import numpy as np
+
+    from tablework.operators import matrix
+
+    rng = np.random.default_rng(2)
+    a, b = rng.standard_normal((9, 23)), rng.standard_normal((23, 7))
+    b[5, 2] = 0.0
+    left = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(a)] + [(99, None)], "i long, v array<double>")
+    right = spark.createDataFrame([(k, j, float(b[k, j])) for k in range(23) for j in range(7) if (k, j) != (5, 2)], "k int, j int, v double")
+    for tile in (4, 64):
+        got = {(r["i"], r["j"]): r["v"] for r in matrix.tiled_product(left, "i", "v", right, tile).collect()}
+        assert len(got) == 63 and all(abs(got[i, j] - (a @ b)[i, j]) < 1e-12 for i, j in got)

@@ -10,6 +10,7 @@ from tablework.operators import history, joins, quality, reshape
 from tablework.plans import reports
 from tablework.session import owned_scratch, scratch_path
 from tablework.sources import delimited, html, landed, tables
+from tablework.sources.buckets import BucketTable, ChangedMeanwhile
 from tablework.streaming import ingest
 
 DAY = datetime.date
@@ -261,7 +262,7 @@ def test_a_new_checkpoint_keeps_what_is_stored(spark, rows):
     run([(i, i) for i in range(10)] + [(None, 1)], "first")
     run([(3, 1), (11, 5), (12, 6), (None, 2)], "second")
     assert rows(spark.read.schema(schema).parquet(out).select("id")) == sorted([(i,) for i in [*range(10), 11, 12, None]], key=str)
-    state = ingest.current(spark, top, "id bigint, highest bigint", ["id"], F.col("highest"))
+    state = ingest.current(spark, [f"{top}-first", f"{top}-second"], ["id"])
     assert dict(state.where("id IN (3, 11)").collect()) == {3: 3, 11: 5}
 
 
@@ -315,3 +316,116 @@ def test_owned_scratch_is_dropped(spark):
         assert kept.count() == 5 and not os.path.exists(inner.removeprefix("file:"))
     assert not os.path.exists(outer.removeprefix("file:"))
     assert scratch_path(spark, "rows").rsplit("/", 1)[0] == outside.rsplit("/", 1)[0]
+
+
+def test_a_batch_reads_no_stored_row(spark):
+    """Batches look their keys up in the state: neither the store nor earlier input is scanned again."""
+    path, out = scratch_path(spark, "in"), scratch_path(spark, "out")
+    for part in range(4):
+        spark.range(part * 50, part * 50 + 100).select("id", F.col("id").alias("at")).coalesce(1).write.mode("append").parquet(path)
+    stream = ingest.read_files(spark, path, "id bigint, at bigint", files_per_batch=1)
+    query = ingest.append_unseen(stream, ["id"], ["at"], out, f"{out}-checkpoint")
+    query.awaitTermination()
+    progress = [p for p in query.recentProgress if p["numInputRows"]]
+    assert [p["numInputRows"] for p in progress] == [100] * 4
+    assert progress[-1]["stateOperators"][0]["numRowsTotal"] == spark.read.parquet(out).count() == 250
+
+
+def test_late_rows_go_aside_and_keys_are_forgotten(spark, rows):
+    path, out = scratch_path(spark, "in"), scratch_path(spark, "out")
+    at = lambda seconds: F.timestamp_seconds(F.lit(1_700_000_000) + seconds)
+    batch = lambda ids, seconds: spark.createDataFrame([(i,) for i in ids], "id bigint").select("id", at(seconds).alias("ts")).coalesce(1)
+    schema = "id bigint, ts timestamp"
+    for ids, seconds in (([1, 2], 0), ([3], 10_000), ([1, 4, 3], 9_000), ([5, 2], 100), ([6], 10_001)):
+        batch(ids, seconds).write.mode("append").parquet(path)
+        stream = ingest.read_files(spark, path, schema)
+        ingest.append_unseen(stream, ["id"], ["ts"], out, f"{out}-checkpoint", time="ts", lateness="1 hour").awaitTermination()
+    read = lambda folder: rows(spark.read.schema(schema).parquet(folder).select("id"))
+    assert read(out) == [(1,), (2,), (3,), (4,), (6,)] and read(f"{out}-late") == [(2,), (5,)]
+
+
+def test_keys_come_back_after_they_were_forgotten(spark, rows):
+    path, out = scratch_path(spark, "in"), scratch_path(spark, "out")
+    for _ in range(2):
+        spark.range(3).select("id", F.col("id").alias("at")).coalesce(1).write.mode("append").parquet(path)
+        stream = ingest.read_files(spark, path, "id bigint, at bigint")
+        ingest.append_unseen(stream, ["id"], ["at"], out, f"{out}-checkpoint", forget_ms=1).awaitTermination()
+    assert rows(spark.read.schema("id bigint").parquet(out).select("id")) == [(0,), (0,), (1,), (1,), (2,), (2,)]
+
+
+# tables in buckets
+
+
+def test_untouched_buckets_keep_their_files(spark, rows):
+    stored = BucketTable(spark, scratch_path(spark, "table")).create(spark.range(1000).select("id", F.lit("old").alias("v")), ["id"], buckets=16)
+    before = set(stored.files())
+    fresh = spark.createDataFrame([(3, "new"), (2000, None)], "id bigint, v string")
+    assert history.upsert_table(stored, fresh, ["id"]) == 2
+    after = set(stored.files())
+    assert len(before - after) <= 2 and len(before & after) >= len(before) - 2
+    got = {r["id"]: r["v"] for r in stored.read().collect()}
+    assert got == {**{i: "old" for i in range(1000)}, 3: "new", 2000: None}
+    assert stored.read(1).where("v = 'old'").count() == 1000
+    stored.drop_unused()
+    assert set(stored.files()) == after and stored.read().count() == 1001
+
+
+def test_one_of_two_changes_fails(spark):
+    stored = BucketTable(spark, scratch_path(spark, "table")).create(spark.range(10), ["id"], buckets=2)
+
+    def overtaken(rows):
+        if stored.version() == 1:
+            history.upsert_table(BucketTable(spark, stored.path), spark.range(20, 21), ["id"])
+        return rows
+
+    with pytest.raises(ChangedMeanwhile):
+        stored.rewrite(spark.range(3), overtaken)
+    assert stored.version() == 2 and stored.read().count() == 11
+
+
+def test_buckets_with_null_keys_and_without_rows(spark, rows):
+    empty = BucketTable(spark, scratch_path(spark, "table")).create(spark.createDataFrame([], "k string, v int"), ["k"], buckets=4)
+    assert empty.read().count() == 0
+    assert history.upsert_table(empty, spark.createDataFrame([("a", 1)], "k string, v int"), ["k"]) == 2
+    assert empty.rewrite(spark.createDataFrame([], "k string"), lambda r: r) == 2
+    assert empty.rewrite(spark.createDataFrame([("a",)], "k string"), lambda r: r.where("false")) == 3
+    assert rows(empty.read()) == []
+
+
+# files and pages
+
+
+def test_texts_come_back_as_they_were(spark, rows):
+    texts = [None, "", " ", "  pad ", "a\nb", "\r\n", "a\rb", 'say "x"', '"', ",", ";", "\\", '\\"', "#", "\\N", "null", "\t", "é漢", "x" * 100_000, '""', "\n\n"]
+    df = spark.createDataFrame([(i, t, t) for i, t in enumerate(texts)], "id int, a string, b string")
+    for sep in (",", ";"):
+        for header in (True, False):
+            path = scratch_path(spark, "texts")
+            delimited.write_delimited(df, path, sep=sep, header=header, maxRecordsPerFile=4)
+            back = delimited.read_delimited(spark, path, df.schema, sep=sep, header=header, multi_line=True)
+            assert rows(back) == rows(df)
+            assert rows(delimited.read_delimited(spark, path, df.schema, sep=sep, header=header, multi_line=True, columns=["b", "id"])) == rows(df.select("b", "id"))
+
+
+@pytest.mark.parametrize("piece", ["<a ", "<dd><p>", "<article data-id='1'>", "x ", "<h3>", "<dd class='w'></dd>", "<", '<a target="_self">'])
+def test_long_cards_without_closing_tags(spark, piece):
+    """Time grows with the length of a card, not with its square."""
+    import time
+
+    page = f"<article data-id='9'><a target='_self' href='l'>t</a>{piece * (1_000_000 // len(piece))}"
+    df = spark.createDataFrame([(page,)], "html string")
+    begin = time.perf_counter()
+    found = html.parse_listings(df, "html", F.lit("2025-01-10 12:00:00").cast("timestamp_ntz")).where("listing_id = 9").collect()
+    assert time.perf_counter() - begin < 60
+    assert [(r["notice_name"], r["link"]) for r in found] == [("t", "l")]
+
+
+def test_variants_keep_their_misfits(spark, rows):
+    texts = ['{"a": 1}', '{"a": "2"}', '{"a": {"b": 3}}', '{"a": null}', "{}", "[1]", "5", '{"a": [1, {"b": "x"}]}', "{", None, '{"a": 1e400}']
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, t string")
+    good, bad = landed.variant_fields(df, "t", {"a": ("$.a", "bigint"), "b": ("$.a.b", "string")})
+    assert {r["id"]: (r["a"], r["b"]) for r in good.collect()} == {
+        0: (1, None), 1: (2, None), 3: (None, None), 4: (None, None), 5: (None, None), 6: (None, None), 9: (None, None)}
+    assert {r["id"]: r["reason"] for r in bad.collect()} == {2: "a", 7: "a", 8: "no JSON", 10: "a"}
+    schemas = landed.variant_schema(df.where("id IN (0, 1, 3)"), "t").collect()
+    assert [r["schema"] for r in schemas] == ["OBJECT<a: VARIANT>"]
