@@ -80,23 +80,49 @@ class Scanner:
         """(item id, distance) of every item within its budget somewhere in the text."""
         body = plain(text) if self.items else ""
         best: dict[int, int] = {}
-        tried: set[tuple[int, int]] = set()
         if not body:
             return []
+        # where each item may begin, as ranges: pieces of one place in the item are met from left to right
+        begins: dict[tuple[int, int], list[list[int]]] = {}
         for end, owners in self.automaton.iter(body):
             for number, offset, length in owners:
-                _, item, errors = self.items[number]
-                start = end - length + 1 - offset
-                if best.get(number) == 0 or (number, start) in tried:
+                errors = self.items[number][2]
+                if not errors:
+                    best[number] = 0
+                if best.get(number) == 0:
                     continue
-                tried.add((number, start))
-                region = body[max(0, start - errors) : start + len(item) + errors]
+                start = end - length + 1 - offset
+                ranges = begins.setdefault((number, offset), [])
+                if ranges and start - ranges[-1][1] <= errors:
+                    ranges[-1][1] = start
+                else:
+                    ranges.append([start, start])
+        by_item: dict[int, list[list[int]]] = {}
+        for (number, _), ranges in begins.items():
+            by_item.setdefault(number, []).extend(ranges)
+        for number, ranges in by_item.items():
+            _, item, errors = self.items[number]
+            for low, high in _merged(ranges, errors):
+                region = body[max(0, low - errors) : high + len(item) + errors]
                 distance = 0 if item in region else least_distance(item, region)
                 if distance <= errors:
                     best[number] = min(distance, best.get(number, distance))
+                if best.get(number) == 0:
+                    break
         return [(self.items[number][0], distance) for number, distance in best.items()]
 
 
+def _merged(ranges: list[list[int]], gap: int) -> list[list[int]]:
+    """Ranges at most ``gap`` apart as one, so that no part of a text is compared again and again."""
+    out: list[list[int]] = []
+    for low, high in sorted(ranges):
+        if out and low - out[-1][1] <= gap:
+            out[-1][1] = max(out[-1][1], high)
+        else:
+            out.append([low, high])
+    return out
+
+
 def _shards(items: DataFrame, shard_chars: int) -> Iterator[list[tuple[int, str]]]:
     """Items in lists of about ``shard_chars`` characters."""
     chars = items.agg(F.sum(F.length("text"))).first()[0] or 0

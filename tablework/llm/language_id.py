@@ -8,6 +8,7 @@ embedding and the filters are folded into tables of byte pairs, so a window cost
 
 from __future__ import annotations
 
+import logging
 import re
 from dataclasses import dataclass
 
@@ -18,6 +19,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tablework.llm.common import fold, picked, prepare
 
+_log = logging.getLogger(__name__)
+
 WINDOW = 256
 WIDTHS = (2, 3, 4)
 FILTERS = 12
@@ -239,7 +242,13 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
 
 def keep_identified(docs: DataFrame, least_score: float = 0.3, id_col: str = "doc_id", text_col: str = "text",
                     lang_col: str = "lang") -> DataFrame:
-    """The rows of ``docs``, all columns, whose language is recognised with at least ``least_score``."""
+    """The rows of ``docs``, all columns, whose language is recognised with at least ``least_score``.
+
+    Without a label to learn from nothing is recognised and nothing rejected: all rows stay, and a warning says so.
+    """
     network = fit(docs, id_col, text_col, lang_col)
+    if not network:
+        _log.warning("no labelled text to learn languages from: all documents stay")
+        return docs
     p = prediction(F.col(f"`{text_col}`"), network)
-    return docs.where((p["lang_pred"] != UNKNOWN) & (p["score"] >= least_score)) if network else docs.limit(0)
+    return docs.where((p["lang_pred"] != UNKNOWN) & (p["score"] >= least_score))

@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tablework.llm.common import picked
 
 ROUNDS = 8
-MAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]++\.)+[A-Za-z]{2,}"
+# A domain has 127 labels at most; a loop without a bound recurses once per label in the JVM and can end it.
+MAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]++\.){1,126}[A-Za-z]{2,}"
 ADDRESS = r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9]|\.[0-9])"
 DATE = r"(?<![0-9])(?:(?:19|20)[0-9]{2}([-/.])[0-9]{1,2}\1[0-9]{1,2}|[0-9]{1,2}([-/.])[0-9]{1,2}\2(?:19|20)[0-9]{2})(?![0-9])"
 # DATE inside a later part of the combined pattern, where its groups have other numbers.
@@ -119,7 +120,7 @@ def _card(text: Column, key: str) -> Column:
     digits = _digits(text)
     body = F.substr(digits, F.lit(1), F.length(digits) - 1)
     new = _permuted_digits(body, key, "card")
-    return _put(text, F.concat(new, _check_digit(new)))
+    return _let(new, lambda n: _put(text, F.concat(n, _check_digit(n))))
 
 
 def _phone(text: Column, key: str) -> Column:
@@ -200,9 +201,13 @@ def _joined(groups: Column, at: Column, n: Column) -> Column:
 
 
 def _is_card(digits: Column) -> Column:
-    body = F.substr(digits, F.lit(1), F.length(digits) - 1)
-    # all zeros pass the sum but are no number
-    return F.length(digits).between(LEAST_CARD, MOST_CARD) & (_check_digit(body) == F.substr(digits, F.length(digits), F.lit(1))) & body.rlike("[1-9]")
+    def passes(found, body):
+        # all zeros pass the sum but are no number
+        return (_check_digit(body) == F.substr(found, F.length(found), F.lit(1))) & body.rlike("[1-9]")
+
+    # a value named by several terms is made for each of them, so the digits and all but the last are made first
+    return _let(digits, lambda d: F.length(d).between(LEAST_CARD, MOST_CARD)
+                & _let(F.substr(d, F.lit(1), F.length(d) - 1), lambda body: passes(d, body)))
 
 
 def _grouped_cards(groups: Column) -> Column:

@@ -33,7 +33,8 @@ SECOND_PERSON = frozenset(
 # Signs written for letters.
 LEET = str.maketrans("013457@$!", "oieastasi")
 _WORD = re.compile(r"\w+")
-_MIXED = re.compile(r"[^\W\d_]+[0-9@$!*]+[^\W\d_][\w@$!*]*|[0-9@$]+[^\W\d_]{2,}[\w@$!*]*")
+# Runs are taken whole, from their first sign: a later start would fail for the same reason, so long runs cost one pass.
+_MIXED = re.compile(r"(?<![^\W\d_])[^\W\d_]++[0-9@$!*]++[^\W\d_][\w@$!*]*+|(?<![0-9@$])[0-9@$]++[^\W\d_]{2,}+[\w@$!*]*+")
 _SIGN_IN_WORD = re.compile(r"[0-9@$!*]")
 _SPACED = re.compile(r"(?<!\w)(?:[^\W\d_][ .\-_*]){3,}[^\W\d_](?!\w)")
 _STRETCHED = re.compile(r"([^\W\d_])\1{2,}")

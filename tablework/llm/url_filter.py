@@ -25,7 +25,8 @@ RULES = (
     ("block", "net/fr/"),
 )
 _URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
-_LINK = r"""(?is)<a\s[^>]*?href\s*=\s*["']?\s*((?:[a-z][a-z0-9+.-]*:)?//[^"'\s>]+)"""
+# A tag that never closes ends where the next one begins.
+_LINK = r"""(?is)<a\s[^<>]*?href\s*=\s*["']?\s*((?:[a-z][a-z0-9+.-]*:)?//[^"'\s>]+)"""
 # Scores are settled when no host is new and none changed by more than this share of its score.
 TOLERANCE = 1e-4
 DAMPING = 0.85
