@@ -419,8 +419,8 @@ def toll_consolidation(spark, sf):
     comma, tab, fixed = (scratch_path(spark, f"toll_{n}") for n in ("csv", "tsv", "fixed"))
     delimited.write_delimited(orders.select("o_orderkey", "o_custkey", "day", F.lower("o_orderpriority"), "o_orderstatus", "o_totalprice"), comma)
     tabbed = orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", (key % 7).alias("axles"),
-                           F.concat(F.lit("T"), cust).alias("tag"), F.concat(F.lit("plaza"), key % 9, F.lit("\r")).alias("plaza"))
-    delimited.write_delimited(tabbed, tab, sep="\t")
+                           F.concat(F.lit("T"), cust).alias("tag"), F.concat(F.lit("plaza"), key % 9).alias("plaza"))
+    delimited.write_lines(tabbed, tab, end="\r")
     line = F.concat(F.rpad(F.concat_ws(" ", "o_orderstatus", "o_orderpriority"), 58, " "),
                     F.lpad((key % 9999).cast("string"), 4, "0"), F.lit("c"), F.lpad((cust % 99999).cast("string"), 5, "0"))
     orders.select(line.alias("value")).write.text(fixed)

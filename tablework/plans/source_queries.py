@@ -68,10 +68,9 @@ def csv_supplied_names(spark, sf):
 def tsv_fields(spark, sf):
     path = scratch_path(spark, "part_tsv")
     part = table(spark, sf, "part")
-    # seven fields, the last one with a stray carriage return
-    seven = part.select("p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice",
-                        F.concat("p_brand", F.lit("!\r")).alias("tail"))
-    delimited.write_delimited(seven, path, sep="\t")
+    # seven fields, and a stray carriage return at the end of each line
+    seven = part.select("p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice", F.concat("p_brand", F.lit("!")).alias("tail"))
+    delimited.write_lines(seven, path, end="\r")
     return delimited.read_tab_fields(spark, path, f"{PART}, tail string", ["p_size", "p_retailprice", "tail"])
 
 

@@ -32,6 +32,12 @@ def write_delimited(df: DataFrame, path: str, sep: str = ",", header: bool = Fal
     df.write.mode(mode).option("sep", sep).option("header", header).options(**_TEXT, **options).csv(path)
 
 
+def write_lines(df: DataFrame, path: str, sep: str = "\t", end: str = ""):
+    """Plain lines, fields parted by ``sep`` and never quoted, null as nothing; ``end`` comes before each line break."""
+    fields = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in df.columns]
+    df.select(F.concat(F.concat_ws(sep, *fields), F.lit(end)).alias("value")).write.text(path)
+
+
 def read_tab_fields(spark: SparkSession, path: str, schema: str, columns: list[str]) -> DataFrame:
     """Tab-separated fields by name; a stray carriage return at the end of a line is dropped."""
     df = read_delimited(spark, path, schema, sep="\t", columns=columns)
