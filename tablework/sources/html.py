@@ -54,12 +54,10 @@ def tokens(html: Column) -> tuple[Column, Column, Column]:
     return raw, heads, texts
 
 
-def listing_kind(head: Column) -> Column:
+def listing_kind(head: Column, name: Column) -> Column:
     """What a token opens or closes: the tag's name, ``self`` for a link that opens in place, ``dd:name`` for a named value."""
-    name = F.regexp_extract(head, "^(/?[a-z][a-z0-9]*)", 1)
-    named = F.nullif(F.regexp_extract(head, _NAMED, 1), F.lit(""))
     return F.when((name == "a") & head.rlike(_IN_PLACE), "self").when(
-        (name == "dd") & named.isNotNull(), F.concat(F.lit("dd:"), named)).otherwise(name)
+        (name == "dd") & head.rlike(_NAMED), F.concat(F.lit("dd:"), F.regexp_extract(head, _NAMED, 1))).otherwise(name)
 
 
 def _blank(text: Column) -> Column:
@@ -83,7 +81,8 @@ def parse_listings(pages: DataFrame, html: str, anchor: Column) -> DataFrame:
     cards = pages.select(F.explode(F.slice(F.split(text, LISTING_START), 2, 2_147_483_646)).alias("card"))
     raw, heads, texts = tokens(F.col("card"))
     cut = cards.select("card", raw.alias("raw"), heads.alias("heads"), texts.alias("texts"))
-    cut = cut.withColumn("kinds", F.transform("heads", listing_kind)).drop("heads")
+    cut = cut.withColumn("names", F.transform("heads", lambda h: F.regexp_extract(h, "^(/?[a-z][a-z0-9]*)", 1)))
+    cut = cut.withColumn("kinds", F.transform("heads", lambda h, i: listing_kind(h, F.get("names", i)))).drop("heads", "names")
     at = lambda kind: F.array_position("kinds", kind).cast("int")
     kind, words = lambda i: F.get("kinds", i - 1), lambda i: F.get("texts", i - 1)
     # the nearest paragraph behind the title's end, and values without a name that follow a value and begin with a paragraph

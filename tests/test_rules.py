@@ -329,6 +329,16 @@ def test_a_batch_reads_no_stored_row(spark):
     progress = [p for p in query.recentProgress if p["numInputRows"]]
     assert [p["numInputRows"] for p in progress] == [100] * 4
     assert progress[-1]["stateOperators"][0]["numRowsTotal"] == spark.read.parquet(out).count() == 250
+    assert dict(spark.read.schema("id bigint, at bigint, run string, batch bigint").parquet(out).groupBy("batch").count().collect()) == {0: 100, 1: 50, 2: 50, 3: 50}
+
+
+def test_the_first_row_of_a_batch_wins(spark, rows):
+    path, out = scratch_path(spark, "in"), scratch_path(spark, "out")
+    schema = "id bigint, at bigint, name string"
+    for batch in ([(1, 5, "late"), (1, 2, "early"), (None, 1, "none"), (2, None, "null first"), (2, 0, "zero")], [(1, 0, "too late"), (3, 3, None)]):
+        spark.createDataFrame(batch, schema).coalesce(1).write.mode("append").parquet(path)
+        ingest.append_unseen(ingest.read_files(spark, path, schema), ["id"], ["at"], out, f"{out}-checkpoint").awaitTermination()
+    assert rows(spark.read.schema(schema).parquet(out).select("id", "name")) == sorted([(1, "early"), (None, "none"), (2, "null first"), (3, None)], key=str)
 
 
 def test_late_rows_go_aside_and_keys_are_forgotten(spark, rows):
@@ -339,7 +349,7 @@ def test_late_rows_go_aside_and_keys_are_forgotten(spark, rows):
     for ids, seconds in (([1, 2], 0), ([3], 10_000), ([1, 4, 3], 9_000), ([5, 2], 100), ([6], 10_001)):
         batch(ids, seconds).write.mode("append").parquet(path)
         stream = ingest.read_files(spark, path, schema)
-        ingest.append_unseen(stream, ["id"], ["ts"], out, f"{out}-checkpoint", time="ts", lateness="1 hour").awaitTermination()
+        ingest.append_unseen_for_a_time(stream, ["id"], ["ts"], out, f"{out}-checkpoint", time="ts", lateness="1 hour").awaitTermination()
     read = lambda folder: rows(spark.read.schema(schema).parquet(folder).select("id"))
     assert read(out) == [(1,), (2,), (3,), (4,), (6,)] and read(f"{out}-late") == [(2,), (5,)]
 
@@ -349,7 +359,7 @@ def test_keys_come_back_after_they_were_forgotten(spark, rows):
     for _ in range(2):
         spark.range(3).select("id", F.col("id").alias("at")).coalesce(1).write.mode("append").parquet(path)
         stream = ingest.read_files(spark, path, "id bigint, at bigint")
-        ingest.append_unseen(stream, ["id"], ["at"], out, f"{out}-checkpoint", forget_ms=1).awaitTermination()
+        ingest.append_unseen_for_a_time(stream, ["id"], ["at"], out, f"{out}-checkpoint", forget_ms=1).awaitTermination()
     assert rows(spark.read.schema("id bigint").parquet(out).select("id")) == [(0,), (0,), (1,), (1,), (2,), (2,)]
 
 
