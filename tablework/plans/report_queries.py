@@ -399,8 +399,10 @@ def listing_ingest(spark, sf):
         added, F.lit('</p></dd></dl><article class="f"><ol></ol></article><h3 class="p">\n '), size, F.lit(" 000\n</h3></div></section></article>"))
     pages = table(spark, sf, "part").groupBy(F.floor(key / 20).alias("page")).agg(
         F.concat(F.lit("<html>"), F.array_join(F.collect_list(card), ""), F.lit("</html>")).alias("html"))
-    # half of the pages arrive with their bytes read as Latin-1; a few large pages would lie in one task
-    pages = pages.repartition(spark.sparkContext.defaultParallelism, "page").withColumn("html", F.when(p("page") % 2 == 0, F.decode(F.encode("html", "UTF-8"), "ISO-8859-1")).otherwise(p("html")))
+    # half of the pages arrive with their bytes read as Latin-1
+    pages = pages.withColumn("html", F.when(p("page") % 2 == 0, F.decode(F.encode("html", "UTF-8"), "ISO-8859-1")).otherwise(p("html")))
+    # landed in several files: a few large pages would lie in one task
+    pages = staged(pages.repartition(spark.sparkContext.defaultParallelism, "page"), "pages")
     # parsed once: the rows are compared with the stored ids and appended to them
     parsed = staged(html.parse_listings(pages, "html", F.lit("2025-01-10 12:00:00").cast("timestamp_ntz")), "listings")
     stored = parsed.where("listing_id % 3 = 0")

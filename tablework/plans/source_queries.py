@@ -140,6 +140,35 @@ def nested_json_items(spark, sf):
     return items.select("region", "kind", "id", "snippet.title", "snippet.assignable")
 
 
+MIXED_SQL = """(SELECT event_id, event_type, CASE event_id % 6 WHEN 0 THEN props WHEN 1 THEN '{"k": "' || k || '"}' WHEN 2 THEN '{"k": {"n": ' || k || '}}'
+    WHEN 3 THEN '{"x": [1, 2], "k": null}' WHEN 4 THEN '{"k": ' || k || '.0, "x": {"y": [{"z": ' || k || '}, 5]}}' ELSE '{"k": ' || k END AS props
+    FROM (SELECT *, json_extract_string(props, '$.k') AS k FROM events))"""
+
+
+def _mixed_props(spark, sf):
+    """JSON of several shapes: the number as such, as text, in an object, null, with a fraction, and JSON cut off."""
+    k, n = F.get_json_object("props", "$.k"), F.col("event_id") % 6
+    text = F.when(n == 0, F.col("props")).when(n == 1, F.concat(F.lit('{"k": "'), k, F.lit('"}'))).when(
+        n == 2, F.concat(F.lit('{"k": {"n": '), k, F.lit("}}"))).when(n == 3, '{"x": [1, 2], "k": null}').when(
+        n == 4, F.concat(F.lit('{"k": '), k, F.lit('.0, "x": {"y": [{"z": '), k, F.lit("}, 5]}}"))).otherwise(F.concat(F.lit('{"k": '), k))
+    return table(spark, sf, "events").select("event_id", "event_type", text.alias("props"))
+
+
+@query("A8 H27", f"""
+    SELECT event_id, CAST(CAST(json_extract_string(props, '$.k') AS DOUBLE) AS BIGINT) AS k, CAST(json_extract_string(props, '$.x.y[0].z') AS BIGINT) AS z
+    FROM {MIXED_SQL} WHERE event_id % 6 NOT IN (2, 5)""")
+def variant_fields(spark, sf):
+    good, _ = landed.variant_fields(_mixed_props(spark, sf), "props", {"k": ("$.k", "bigint"), "z": ("$.x.y[0].z", "bigint")})
+    return good.select("event_id", "k", "z")
+
+
+@query("A8 H27", f"""
+    SELECT event_id, props, CASE WHEN json_valid(props) THEN 'k' ELSE 'no JSON' END AS reason FROM {MIXED_SQL} WHERE event_id % 6 IN (2, 5)""")
+def variant_misfits(spark, sf):
+    _, bad = landed.variant_fields(_mixed_props(spark, sf), "props", {"k": ("$.k", "bigint"), "z": ("$.x.y[0].z", "bigint")})
+    return bad.select("event_id", "props", "reason")
+
+
 @query("A9 A17", """
     SELECT event_type AS endpoint, event_id AS request, CAST(max_value AS VARCHAR) AS finished FROM (
       SELECT event_type, event_id, CASE WHEN value > 50 THEN 'True' ELSE 'False' END AS max_value,
