@@ -402,7 +402,7 @@ def listing_ingest(spark, sf):
     # half of the pages arrive with their bytes read as Latin-1
     pages = pages.withColumn("html", F.when(p("page") % 2 == 0, F.decode(F.encode("html", "UTF-8"), "ISO-8859-1")).otherwise(p("html")))
     # landed in several files: a few large pages would lie in one task
-    pages = staged(pages.repartition(spark.sparkContext.defaultParallelism, "page"), "pages")
+    pages = staged(pages.repartition(spark.sparkContext.defaultParallelism, F.xxhash64("page")), "pages")
     # parsed once: the rows are compared with the stored ids and appended to them
     parsed = staged(html.parse_listings(pages, "html", F.lit("2025-01-10 12:00:00").cast("timestamp_ntz")), "listings")
     stored = parsed.where("listing_id % 3 = 0")
