@@ -182,6 +182,14 @@ def test_knn_leaves_cells_out(spark):
     assert 0 < pairs < 100 * 1000 / 3
 
 
+def test_cells_leave_the_schema_of_the_rows(spark):
+    """The frame keeps its schema; with the cell's columns added to that very object, later steps look for columns it lacks."""
+    rows = spark.createDataFrame([(i, [float(i), 1.0], i % 2) for i in range(20)], "id bigint, features array<double>, label int")
+    cells = ml._cells(rows, 4, 5, 0)
+    assert rows.columns == ["id", "features", "label"] and cells.rows.columns == ["id", "features", "label", "cell", "reach"]
+    assert cells.rows.count() == 20
+
+
 def test_category_index_and_slots(spark):
     df = spark.createDataFrame([(i, "abca"[i % 4] if i % 10 else None) for i in range(50)], "id int, c string")
     got = {r["c"]: (r["c_index"], r["c_hot"].indices.tolist()) for r in ml.encode_categories(df, ["c"]).collect()}
