@@ -5,13 +5,15 @@ one set of cuts per table. A vector lives in its own cell and visits every cell
 ``REACH`` touches, so a pair meets unless a cut falls between the two and outside both windows. Inside a cell the other
 projections count: a pair whose values differ by at most ``WINDOW`` on ``least`` of ``COUNTED`` directions is verified with
 its exact cosine. ``least`` follows from the wanted recall of a pair right at the threshold, and the number of tables from
-the recall measured on a bounded sample of the vectors, each paired with an artificial partner at the threshold.
+the recall measured on all vectors, each paired with an artificial partner at the threshold; there are as many tables as
+that recall takes.
 """
 
 from __future__ import annotations
 
 import logging
 import math
+import zlib
 
 import numpy as np
 import pandas as pd
@@ -24,8 +26,7 @@ COUNTED = 16
 # Vectors per cell that the number of cuts aims at, and rows of one side of a block that one task compares at once.
 CELL = 128
 BLOCK = 1024
-# Bound of the sample that calibrates the number of tables.
-SAMPLE = 2000
+# Most tables of the first try; twice as many are tried as long as they do not reach the recall.
 MOST_TABLES = 16
 RECALL = 0.995
 _OUT = "id long, links long, a long, b long"
@@ -93,25 +94,70 @@ def _coded(tables: int, levels: int, reach: float) -> Column:
     return made("values", "cuts")
 
 
-def _calibrated(sample: np.ndarray, cuts: np.ndarray, levels: int, distance: float, reach: float, seed: int) -> int:
-    """Number of tables in which pairs right at the threshold are met with probability ``RECALL``."""
-    if not levels or not len(sample):
-        return 1
-    rng = np.random.default_rng(seed)
-    other = rng.standard_normal(sample.shape)
-    other -= (other * sample).sum(axis=1, keepdims=True) * sample
+def partners(unit: np.ndarray, distance: float, seed: int) -> np.ndarray:
+    """For every unit vector another one at ``distance``, in a direction that the vector itself seeds."""
+    if unit.shape[1] < 2:  # nothing lies at a distance there but the opposite
+        return unit
+    other = np.array([np.random.default_rng([seed, zlib.crc32(x.tobytes())]).standard_normal(len(x)) for x in unit])
+    other -= (other * unit).sum(axis=1, keepdims=True) * unit
     cosine = 1 - distance * distance / 2
-    partner = cosine * sample + math.sqrt(1 - cosine * cosine) * units(other)
-    axes = directions(sample.shape[1], MOST_TABLES * levels + COUNTED, seed)[:, : MOST_TABLES * levels]
-    a, a_open = codes(sample @ axes, cuts, reach, levels)
-    b, b_open = codes(partner @ axes, cuts, reach, levels)
-    met = meets(a, b, b_open) | meets(b, a, a_open)
-    found = np.maximum.accumulate(met, axis=1).mean(axis=0)
-    enough = np.nonzero(found >= RECALL)[0]
-    if not len(enough):
-        logging.getLogger(__name__).warning("%d tables meet %.4f of the pairs at the threshold, %.4f wanted", MOST_TABLES, found[-1], RECALL)
-        return MOST_TABLES
-    return int(enough[0]) + 1
+    return cosine * unit + math.sqrt(1 - cosine * cosine) * units(other)
+
+
+def meetings(unit: np.ndarray, values: np.ndarray, cuts: np.ndarray, levels: int, distance: float, reach: float, seed: int) -> np.ndarray:
+    """Does a vector with these projections meet its artificial partner? One column per table."""
+    used = cuts.shape[-1]
+    # as many directions as the vectors were projected on: another number would be other directions
+    axes = directions(unit.shape[1], used + COUNTED, seed)[:, :used]
+    there = (partners(unit, distance, seed) @ axes).astype(np.float32).astype(np.float64)
+    a, a_open = codes(values, cuts, reach, levels)
+    b, b_open = codes(there, cuts, reach, levels)
+    return meets(a, b, b_open) | meets(b, a, a_open)
+
+
+def _enough(found: list[float]) -> int | None:
+    """Number of tables that reach ``RECALL``, from the share of pairs met by the first table, the first two, ..."""
+    for tables, recall in enumerate(found, 1):
+        if recall >= RECALL:
+            return tables
+    logging.getLogger(__name__).warning("%d tables meet %.4f of the pairs at the threshold, %.4f wanted", len(found), found[-1], RECALL)
+    return None
+
+
+def _calibrated(vectors: np.ndarray, cuts: np.ndarray, levels: int, distance: float, reach: float, seed: int) -> int:
+    """Number of tables, out of ``MOST_TABLES``, that vectors in memory need; all of them if they do not reach the recall."""
+    if not levels or not len(vectors):
+        return 1
+    values = vectors @ directions(vectors.shape[1], len(cuts) + COUNTED, seed)[:, : len(cuts)]
+    met = meetings(vectors, values, cuts, levels, distance, reach, seed)
+    return _enough(list(np.maximum.accumulate(met, axis=1).mean(axis=0))) or MOST_TABLES
+
+
+def _first_meeting(tables: int, levels: int, distance: float, reach: float, seed: int) -> Column:
+    """Number of the table, from 0, in which a vector first meets its artificial partner; ``tables`` if in none."""
+
+    @F.pandas_udf("int")
+    def made(vectors: pd.Series, values: pd.Series, cuts: pd.Series) -> pd.Series:
+        out, sizes = np.full(len(vectors), tables, np.int32), vectors.map(len).to_numpy()
+        for size in np.unique(sizes):
+            at = np.nonzero(sizes == size)[0]
+            unit = np.frombuffer(b"".join(vectors.iloc[at]), np.float64).reshape(len(at), -1)
+            v, c = (np.array(part.iloc[at].tolist(), np.float64)[:, : tables * levels] for part in (values, cuts))
+            met = meetings(unit, v, c, levels, distance, reach, seed)
+            out[at] = np.where(met.any(axis=1), met.argmax(axis=1), tables)
+        return pd.Series(out)
+
+    return made("vector", "values", "cuts")
+
+
+def recall_by_tables(placed: DataFrame, tables: int, levels: int, distance: float, reach: float, seed: int) -> list[float]:
+    """Share of all vectors of (dim, vector, values, cuts) that meet a partner at the threshold in the first table, the first two, ...
+
+    Of several lengths of vectors the one with the lowest share counts.
+    """
+    first = placed.select("dim", _first_meeting(tables, levels, distance, reach, seed).alias("first"))
+    shares = first.groupBy("dim").agg(*[F.avg((F.col("first") <= t).cast("double")).alias(f"t{t}") for t in range(tables)])
+    return list(shares.agg(*[F.min(f"t{t}") for t in range(tables)]).first())
 
 
 def compare_block(block: pd.DataFrame, table: int, cosine: float, window: float, least: int) -> pd.DataFrame:
@@ -209,27 +255,31 @@ def _linked(classes: DataFrame, cosine: float, seed: int) -> tuple[DataFrame, Da
     least = least_collisions(window, distance)
     total = classes.count()
     levels = max(0, math.ceil(math.log2(total / CELL))) if total else 0
-    cutting = MOST_TABLES * levels
-    projected = stage(
-        classes.select("id", "copies", F.size("vector").alias("dim"), _projected(F.col("vector"), cutting + COUNTED, seed).alias("p"))
-        .select("id", "copies", "dim", "p.*"),
-        "projected",
-    )
-    medians = projected.groupBy("dim").agg(
-        F.count(F.lit(1)).alias("n"), F.array(*[F.percentile_approx(F.col("values")[i], 0.5, 200) for i in range(cutting)]).cast("array<float>").alias("cuts")
-    )
-    medians = stage(medians, "cuts")
-    # the most frequent length calibrates the number of tables
-    main = medians.orderBy(F.desc("n"), "dim").first()
-    tables = 1
-    if main is not None and levels:
-        share = min(1.0, SAMPLE / main["n"])
-        picked_rows = projected.where((F.col("dim") == main["dim"]) & (F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < share * (1 << 20)))
-        sample = np.frombuffer(b"".join(bytes(r["vector"]) for r in picked_rows.select("vector").collect()), np.float64).reshape(-1, main["dim"])
-        tables = _calibrated(sample, np.array(main["cuts"]), levels, distance, reach, seed)
+    at_hand, tables = MOST_TABLES, 1
+    while True:
+        cutting = at_hand * levels
+        projected = stage(
+            classes.select("id", "copies", F.size("vector").alias("dim"), _projected(F.col("vector"), cutting + COUNTED, seed).alias("p"))
+            .select("id", "copies", "dim", "p.*"),
+            "projected",
+        )
+        medians = stage(
+            projected.groupBy("dim").agg(
+                F.array(*[F.percentile_approx(F.col("values")[i], 0.5, 200) for i in range(cutting)]).cast("array<float>").alias("cuts")
+            ),
+            "cuts",
+        )
+        placed = projected.join(medians, "dim")
+        if not levels:
+            break
+        enough = _enough(recall_by_tables(placed, at_hand, levels, distance, reach, seed))
+        if enough:
+            tables = enough
+            break
+        at_hand *= 2
     counted = F.slice("values", cutting + 1, COUNTED)
     coded = stage(
-        projected.join(medians.drop("n"), "dim").select("id", "copies", "dim", "vector", counted.alias("counted"), _coded(tables, levels, reach).alias("c"))
+        placed.select("id", "copies", "dim", "vector", counted.alias("counted"), _coded(tables, levels, reach).alias("c"))
         .select("id", "copies", "dim", "vector", "counted", "c.*"),
         "coded",
     )

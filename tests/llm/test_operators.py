@@ -577,3 +577,17 @@ def test_embedding_links(spark, monkeypatch):
     assert all(by_id[i]["n_links"] == 0 and by_id[i]["kept"] for i in range(503, 508)) and by_id[508]["component_id"] == 508 == by_id[509]["component_id"]
     assert by_id[500]["component_id"] == by_id[502]["component_id"] == by_id[3]["component_id"] <= 3
     assert embedding_dedup.near_duplicates(frame.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("most", [1, 16])
+def test_every_vector_counts_for_the_number_of_tables(spark, monkeypatch, most):
+    """Most vectors have few components and meet in one table; the pairs at the threshold among the long ones need more, whatever the first try."""
+    monkeypatch.setattr(embedding_dedup, "CELL", 8)
+    monkeypatch.setattr(embedding_dedup, "MOST_TABLES", most)
+    rng = np.random.default_rng(6)
+    short = np.eye(8)[0] + 0.01 * rng.standard_normal((300, 8))
+    long = embedding_dedup.units(rng.standard_normal((100, 64)))
+    rows = [(i, v.tolist()) for i, v in enumerate([*short, *long, *embedding_dedup.partners(long, np.sqrt(2 - 2 * 0.9505), 3)])]
+    got = embedding_dedup.near_duplicates(spark.createDataFrame([(*r, 1, 1) for r in rows], VECTORS)).collect()
+    assert sum(r["n_links"] for r in got if r["vec_id"] < 300) == 300 * 299
+    assert sum(r["n_links"] for r in got if r["vec_id"] >= 300) >= 0.97 * 200
