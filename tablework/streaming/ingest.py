@@ -63,8 +63,15 @@ def _stored(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame |
 
 @contextmanager
 def _state_on_disk(spark: SparkSession):
-    """Settings for streams started inside: state in RocksDB, and a stream on available data ends when it has read them."""
-    names = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB, "spark.sql.streaming.noDataMicroBatches.enabled": "false"}
+    """Settings for streams started inside: state in RocksDB, and a stream on available data ends when it has read them.
+
+    Every batch commits every partition of the state, so a batch must not cost more the more keys are stored: it saves its
+    changes and not the files of the store, and the state has no more partitions than a few per core, whatever the
+    number that suits a join of the whole table. A stream that is started again keeps the number it has.
+    """
+    partitions = min(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)
+    names = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB, "spark.sql.streaming.noDataMicroBatches.enabled": "false",
+             "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true", "spark.sql.shuffle.partitions": str(partitions)}
     before = {name: spark.conf.get(name, None) for name in names}
     for name, value in names.items():
         spark.conf.set(name, value)

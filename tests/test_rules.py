@@ -332,6 +332,26 @@ def test_a_batch_reads_no_stored_row(spark):
     assert dict(spark.read.schema("id bigint, at bigint, run string, batch bigint").parquet(out).groupBy("batch").count().collect()) == {0: 100, 1: 50, 2: 50, 3: 50}
 
 
+def test_a_batch_commits_few_partitions_and_only_its_changes(spark):
+    """However many partitions joins use and keys are stored; the session's own number stays as it is."""
+    import pathlib
+
+    path, out = scratch_path(spark, "in"), scratch_path(spark, "out")
+    for part in range(2):
+        spark.range(part * 50, part * 50 + 100).select("id", F.col("id").alias("at")).coalesce(1).write.mode("append").parquet(path)
+    most, before = 2 * spark.sparkContext.defaultParallelism, spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(most + 5))
+    try:
+        query = ingest.append_unseen(ingest.read_files(spark, path, "id bigint, at bigint", files_per_batch=1), ["id"], ["at"], out, f"{out}-checkpoint")
+        query.awaitTermination()
+        assert spark.conf.get("spark.sql.shuffle.partitions") == str(most + 5)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert {p["stateOperators"][0]["numShufflePartitions"] for p in query.recentProgress if p["numInputRows"]} == {most}
+    assert list(pathlib.Path(f"{out}-checkpoint".removeprefix("file:")).glob("state/0/*/*.changelog"))
+    assert spark.read.parquet(out).count() == 150
+
+
 def test_the_first_row_of_a_batch_wins(spark, rows):
     path, out = scratch_path(spark, "in"), scratch_path(spark, "out")
     schema = "id bigint, at bigint, name string"
