@@ -1,9 +1,14 @@
 """Plain windows against the split path for hot keys, and the running-maximum vectors."""
 
+from collections import Counter
+from pathlib import Path
+
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from tablework.operators import aggs, joins, ml, ordered, windows
+from tablework.session import owned_scratch
 
 
 @pytest.fixture(scope="module")
@@ -190,6 +195,87 @@ def test_cells_leave_the_schema_of_the_rows(spark):
     assert cells.rows.count() == 20
 
 
+def _brute_force(train, test, k):
+    """(test id, rank): (neighbour, label, distance); rows are (id, vector, label), vectors with null or not finite numbers are left out."""
+    import numpy as np
+
+    whole = lambda rows: [r for r in rows if r[1] is not None and None not in r[1] and np.isfinite(r[1]).all()]
+    found = []
+    for i, x, _ in whole(test):
+        near = sorted((round(float(((np.array(x) - np.array(z)) ** 2).sum()), 9), j, str(y)) for j, z, y in whole(train))[:k]
+        found += [(i, rank, j, y, round(d, 6)) for rank, (d, j, y) in enumerate(near, 1)]
+    return sorted(found)
+
+
+def test_knn_over_many_tiles_equals_brute_force(spark, monkeypatch):
+    """Blocks of cells and test rows in every combination: clusters far from the origin, a vector that half of all rows have, repeated ids, odd numbers."""
+    import numpy as np
+
+    monkeypatch.setattr(ml, "BLOCK_ROWS", 60)
+    monkeypatch.setattr(ml, "TASK_TESTS", 2)
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(9, 5)) * 3000
+    points = [(i, (centres[i % 9] + rng.integers(0, 3, 5)).tolist(), i % 4) for i in range(400)]
+    points += [(1000 + i, points[5][1], i % 3) for i in range(400)]
+    points += [(i, points[i + 1][1], None) for i in range(0, 40, 2)]
+    points += [(5000, None, 1), (5001, [float("nan")] * 5, 1), (5002, [float("inf"), 1.0, 1.0, 1.0, 1.0], 2), (5003, [None, 1.0, 1.0, 1.0, 1.0], 3)]
+    train, test = [p for p in points if p[0] % 4], [p for p in points if p[0] % 4 == 0] + points[-3:]
+    frame = lambda rows: spark.createDataFrame(rows, "id bigint, x array<double>, y int")
+    near = ml.nearest_neighbours(frame(train), frame(test), "id", "x", "y", 7, test_block=8, max_train=50, pivots=20)
+    assert sorted((r["id"], r["rank"], r["neighbour"], str(r["neighbour_label"]), round(r["distance"], 6)) for r in near.collect()) == _brute_force(train, test, 7)
+
+
+def test_knn_writes_no_row_per_test_row_and_cell(spark, tmp_path):
+    """Where no cell can be left out, intermediate results stay in proportion to the rows."""
+    import numpy as np
+
+    points = [(i, x.tolist(), 1) for i, x in enumerate(np.random.default_rng(6).normal(size=(600, 30)))]
+    df = spark.createDataFrame(points, "id bigint, x array<float>, y int")
+    with owned_scratch(spark) as folder:
+        ml.nearest_neighbours(df.where("id >= 100"), df.where("id < 100"), "id", "x", "y", 3, max_train=50, pivots=64).collect()
+        root, written = Path(folder.removeprefix("file:")), Counter()
+        for p in root.rglob("*.parquet"):
+            written[p.relative_to(root).parts[0]] += pq.ParquetFile(p).metadata.num_rows
+    assert written and max(written.values()) <= 1000
+
+
+def test_knn_cells_are_named_in_small_pieces(spark, monkeypatch):
+    """A batch of test rows that ask for every cell does not become one frame with a row for each of them and cell."""
+    import numpy as np
+    import pandas as pd
+
+    rng = np.random.default_rng(8)
+    rows = spark.createDataFrame([(i, x.tolist(), 1) for i, x in enumerate(rng.normal(size=(300, 30)))], "id bigint, features array<double>, label int")
+    cells = ml._cells(rows, 64, 100, 0)
+    tests = rows.limit(1).withColumn("t", F.col("id")).withColumn("limit", F.lit(100.0))
+    caught = []
+    monkeypatch.setattr(type(tests), "mapInPandas", lambda self, f, schema: caught.append(f))
+    ml.searched_cells(tests, cells, 5)
+    batch = pd.DataFrame({"t": range(2000), "features": list(rng.normal(size=(2000, 30))), "limit": 1000.0})
+    sizes = [len(x) for x in caught[0](iter([batch]))]
+    assert sum(sizes) > 2000 * 50 and max(sizes) <= 10_000
+
+
+def test_knn_memory_is_bounded_where_all_tie(monkeypatch):
+    import tracemalloc
+
+    import numpy as np
+
+    monkeypatch.setattr(ml, "TRAIN_BLOCK", 256)
+    matrix, number = np.ones((20_000, 8)), np.arange(20_000)
+    matrix[::2] += np.random.default_rng(2).integers(0, 2, (10_000, 8))
+    expected = np.flatnonzero((matrix == 1.0).all(1))[:10]
+    tracemalloc.start()
+    best = ml._Best(np.ones((3000, 8)), 10, 64)
+    for part in ml._parts(number, matrix, 10):
+        best.meet(np.arange(3000), part)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert (best.number == expected).all() and not best.distance.any()
+    # 3000 x 20,000 distances would be 480 MB
+    assert peak < 30_000_000
+
+
 def test_category_index_and_slots(spark):
     df = spark.createDataFrame([(i, "abca"[i % 4] if i % 10 else None) for i in range(50)], "id int, c string")
     got = {r["c"]: (r["c_index"], r["c_hot"].indices.tolist()) for r in ml.encode_categories(df, ["c"]).collect()}
